@@ -1,34 +1,32 @@
-"""Number handling that has to follow IEEE and banker's rules under Spark's ANSI mode."""
+"""Number and day arithmetic as SQL expressions, following IEEE and banker's rules under ANSI mode."""
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-
-def ieee_divide(numerator: Column, denominator: Column) -> Column:
+def ieee_divide(numerator: str, denominator: str) -> str:
     """Divide doubles with IEEE results for a zero divisor (signed infinity, or NaN for 0/0).
 
     ANSI division raises on zero and ``try_divide`` gives NULL, which would drop the value from
-    later window frames. ``pow(0.0, -1)`` is a signed infinity without an error.
+    later window frames. ``pow(0, -1)`` is a signed infinity without an error.
     """
-    return F.when(denominator != 0.0, numerator / denominator).otherwise(
-        numerator * F.pow(denominator, F.lit(-1.0))
+    return (
+        f"CASE WHEN {denominator} <> 0D THEN {numerator} / {denominator} "
+        f"ELSE {numerator} * pow({denominator}, -1D) END"
     )
 
 
-def nan_to_null(value: Column) -> Column:
-    return F.when(~F.isnan(value), value)
+def nan_to_null(value: str) -> str:
+    return f"CASE WHEN NOT isnan({value}) THEN {value} END"
 
 
-def round_to_bigint(value: Column) -> Column:
+def round_to_bigint(value: str) -> str:
     """Round half to even, then cast; a plain cast would truncate."""
-    return F.rint(nan_to_null(value)).cast("bigint")
+    return f"bigint(rint({nan_to_null(value)}))"
 
 
-def weekdays_before(day: Column) -> Column:
+def weekdays_before(day: str) -> str:
     """Count Monday-Friday days from a fixed Monday up to, not including, ``day``."""
-    offset = F.datediff(day, F.lit("1970-01-05").cast("date"))
-    return F.floor(offset / 7) * 5 + F.least(F.pmod(offset, F.lit(7)), F.lit(5))
+    offset = f"datediff({day}, DATE '1970-01-05')"
+    return f"(floor({offset} / 7) * 5 + least(pmod({offset}, 7), 5))"
 
 
-def is_weekday(day: Column) -> Column:
-    return F.weekday(day) < 5
+def is_weekday(day: str) -> str:
+    return f"weekday({day}) < 5"

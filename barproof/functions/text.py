@@ -1,7 +1,8 @@
-"""Flag details, prompt text and report wording as native string expressions."""
+"""Flag details, prompt text and report wording as SQL expressions.
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+Each function takes and returns SQL text, to be handed to ``expr`` once: one parsed expression
+instead of some hundred Python-to-JVM calls, and it still runs inside generated code.
+"""
 
 from barproof.functions.numeric import ieee_divide
 
@@ -26,50 +27,57 @@ NO_FLAGS_NOTE = "No flags recorded."
 NO_TICKER_FLAGS_NOTE = "No flags for this ticker."
 
 
-def fixed(value: Column, decimals: int) -> Column:
+def quoted(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def joined(*parts: str) -> str:
+    return f"concat({', '.join(parts)})"
+
+
+def fixed(value: str, decimals: int) -> str:
     """Format a double with fixed decimals, rounding its exact binary value half to even."""
-    pattern = "0." + "0" * decimals
     return (
-        F.when(value.isNull() | F.isnan(value), "nan")
-        .when(value == float("inf"), "inf")
-        .when(value == float("-inf"), "-inf")
-        .otherwise(F.call_function("format_number", value, F.lit(pattern)))
+        f"CASE WHEN {value} IS NULL OR isnan({value}) THEN 'nan' "
+        f"WHEN {value} = double('Infinity') THEN 'inf' "
+        f"WHEN {value} = double('-Infinity') THEN '-inf' "
+        f"ELSE format_number({value}, '0.{'0' * decimals}') END"
     )
 
 
-def missing_date_details(day: Column) -> Column:
-    return F.concat(
-        F.lit("No price row found for expected trading day "), day.cast("string"), F.lit(".")
-    )
+def missing_date_details(day: str) -> str:
+    return joined("'No price row found for expected trading day '", f"string({day})", "'.'")
 
 
-def stale_price_details(close: Column, length: Column) -> Column:
-    return F.concat(
-        F.lit("close unchanged at "),
+def stale_price_details(close: str, length: str) -> str:
+    return joined(
+        "'close unchanged at '",
         fixed(close, 2),
-        F.lit(" for "),
-        length.cast("string"),
-        F.lit(" consecutive trading days"),
+        "' for '",
+        f"string({length})",
+        "' consecutive trading days'",
     )
 
 
-def outlier_return_details(ret: Column, mean: Column, deviation: Column) -> Column:
-    return F.concat(
-        F.lit("daily return "),
+def outlier_return_details(ret: str, mean: str, deviation: str) -> str:
+    distance = ieee_divide(f"({ret} - {mean})", deviation)
+    return joined(
+        "'daily return '",
         fixed(ret, 2),
-        F.lit("% vs trailing 30-day mean "),
+        "'% vs trailing 30-day mean '",
         fixed(mean, 2),
-        F.lit("% (std "),
+        "'% (std '",
         fixed(deviation, 2),
-        F.lit("%) — "),
-        fixed(ieee_divide(ret - mean, deviation), 1),
-        F.lit(" std devs from mean"),
+        "'%) — '",
+        fixed(distance, 1),
+        "' std devs from mean'",
     )
 
 
-def duplicate_row_details(occurrences: Column) -> Column:
-    return F.concat(
-        occurrences.cast("string"), F.lit(" duplicate rows found for this ticker/date combination")
+def duplicate_row_details(occurrences: str) -> str:
+    return joined(
+        f"string({occurrences})", "' duplicate rows found for this ticker/date combination'"
     )
 
 
@@ -83,71 +91,65 @@ BAR_RULES = [
 ]
 
 
-def _violated(left: str, sign: str, right: str) -> Column:
-    return F.col(left) < F.col(right) if sign == "<" else F.col(left) > F.col(right)
+def breaks_bar_rule() -> str:
+    """True if any rule is violated; a NULL price hides only the rules it takes part in."""
+    return "(" + " OR ".join(" ".join(rule) for rule in BAR_RULES) + ")"
 
 
-def breaks_bar_rule() -> Column:
-    """True if any rule is violated; a NULL price hides only the rules it takes part in."""
-    condition = F.lit(False)
-    for rule in BAR_RULES:
-        condition = condition | _violated(*rule)
-    return condition
-
-
-def bar_rule_details() -> Column:
-    return F.concat_ws(
-        "; ",
-        *[
-            F.when(
-                _violated(left, sign, right),
-                F.concat(
-                    F.lit(f"{left} ("),
-                    fixed(F.col(left), 2),
-                    F.lit(f") {sign} {right} ("),
-                    fixed(F.col(right), 2),
-                    F.lit(")"),
-                ),
-            )
-            for left, sign, right in BAR_RULES
-        ],
-    )
+def bar_rule_details() -> str:
+    """Every violated rule with its two prices; ``concat_ws`` skips the NULLs of the others."""
+    texts = [
+        f"CASE WHEN {left} {sign} {right} THEN "
+        + joined(
+            f"'{left} ('", fixed(left, 2), f"') {sign} {right} ('", fixed(right, 2), "')'"
+        )
+        + " END"
+        for left, sign, right in BAR_RULES
+    ]
+    return f"concat_ws('; ', {', '.join(texts)})"
 
 
-def history_line(bar: Column) -> Column:
+def history_line(bar: str) -> str:
     """One line of price history for a prompt, from a struct holding a bar."""
-    return F.concat(
-        bar["date"].cast("string"),
-        F.lit(" 00:00:00  open="),
-        fixed(bar["open"], 2),
-        F.lit(" high="),
-        fixed(bar["high"], 2),
-        F.lit(" low="),
-        fixed(bar["low"], 2),
-        F.lit(" close="),
-        fixed(bar["close"], 2),
-        F.lit(" volume="),
-        F.coalesce(bar["volume"].cast("string"), F.lit("NA")),
-        F.lit(" adj_close="),
-        fixed(bar["adj_close"], 2),
-    )
+    parts = [f"string({bar}.date)", "' 00:00:00  open='", fixed(f"{bar}.open", 2)]
+    for name in ("high", "low", "close"):
+        parts += [f"' {name}='", fixed(f"{bar}.{name}", 2)]
+    parts += ["' volume='", f"coalesce(string({bar}.volume), 'NA')"]
+    parts += ["' adj_close='", fixed(f"{bar}.adj_close", 2)]
+    return joined(*parts)
 
 
-def prompt_text(history: Column) -> Column:
+def prompt_text(history: str) -> str:
     """The whole prompt of one flag; ``history`` holds the bar lines, already in date order."""
-    day = F.coalesce(F.concat(F.col("date").cast("string"), F.lit(" 00:00:00")), F.lit("NaT"))
-    return F.concat(
-        F.lit(PROMPT_OPENING + "\n\nTicker: "),
-        F.col("ticker"),
-        F.lit("\nDate: "),
-        day,
-        F.lit("\nFlag type: "),
-        F.col("flag_type"),
-        F.lit("\nSeverity: "),
-        F.col("severity"),
-        F.lit("\nDescription: "),
-        F.col("details"),
-        F.lit("\n\n" + PROMPT_HISTORY + "\n\n"),
-        F.array_join(history, "\n"),
-        F.lit("\n\n" + PROMPT_CLOSING),
+    return joined(
+        quoted(PROMPT_OPENING + "\n\nTicker: "),
+        "ticker",
+        quoted("\nDate: "),
+        "coalesce(concat(string(date), ' 00:00:00'), 'NaT')",
+        quoted("\nFlag type: "),
+        "flag_type",
+        quoted("\nSeverity: "),
+        "severity",
+        quoted("\nDescription: "),
+        "details",
+        quoted("\n\n" + PROMPT_HISTORY + "\n\n"),
+        f"array_join({history}, '\n')",
+        quoted("\n\n" + PROMPT_CLOSING),
+    )
+
+
+def report_entry() -> str:
+    """The lines of one flag in the report."""
+    return joined(
+        "'### '",
+        "coalesce(string(date), 'NaT')",
+        "' — '",
+        "flag_type",
+        "' ('",
+        "severity",
+        quoted(")\n- Details: "),
+        "details",
+        quoted("\n- Explanation: "),
+        "explanation",
+        quoted("\n"),
     )

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barproof.functions import text
 from barproof.functions.numeric import ieee_divide, is_weekday, weekdays_before
-from barproof.operators.series import BLOCK, MAX_ROWS, POSITION, Series, arrange
+from barproof.operators.series import BLOCK, CONTEXT, MAX_ROWS, POSITION, Series, arrange
 from barproof.schemas import FLAG_COLUMNS
 from barproof.sources.calendar import Calendar
 
@@ -28,18 +28,20 @@ TRAILING = 30
 REACH = TRAILING + 1
 
 
-def _flag(day: Column, flag_type: str, details: Column) -> Column:
-    return F.struct(
-        day.alias("date"),
-        F.lit(flag_type).alias("flag_type"),
-        F.lit(SEVERITY[flag_type]).alias("severity"),
-        details.alias("details"),
+def _flag(day: str, flag_type: str, details: str) -> str:
+    return (
+        f"named_struct('date', {day}, 'flag_type', '{flag_type}', "
+        f"'severity', '{SEVERITY[flag_type]}', 'details', {details})"
     )
 
 
-def _as_flags(df: DataFrame, flag_type: str, details: Column) -> DataFrame:
-    return df.select("ticker", F.inline(F.array(_flag(F.col("date"), flag_type, details)))).select(
-        *FLAG_COLUMNS
+def _as_flags(df: DataFrame, flag_type: str, details: str) -> DataFrame:
+    return df.selectExpr(
+        "ticker",
+        "date",
+        f"'{flag_type}' AS flag_type",
+        f"'{SEVERITY[flag_type]}' AS severity",
+        f"{details} AS details",
     )
 
 
@@ -53,14 +55,18 @@ def _with_streaks(series: Series, df: DataFrame) -> DataFrame:
     differ from anything, so it continues the streak.
     """
     window = series.window()
-    previous = F.lag("close").over(window)
-    starts = previous.isNull() | F.coalesce(F.col("close") != previous, F.lit(False))
     so_far = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    df = df.withColumn("_start_here", F.when(starts, F.col(POSITION)))
+    # Context rows do not count as starts, since their own previous bar may be out of sight.
+    starts = (
+        f"CASE WHEN NOT {CONTEXT} AND (_previous_close IS NULL OR close <> _previous_close) "
+        f"THEN {POSITION} END"
+    )
+    df = df.withColumn("_previous_close", F.lag("close").over(window)).withColumn(
+        "_start_here", F.expr(starts)
+    )
+    start = F.max("_start_here").over(so_far)
     if series.is_cut:
         # A block may begin inside a streak: take over the last start found in earlier blocks.
-        # Context rows do not count as starts, since their own previous bar may be missing.
-        df = df.withColumn("_start_here", F.when(Series.own_rows(), F.col("_start_here")))
         earlier = (
             Window.partitionBy("ticker")
             .orderBy(BLOCK)
@@ -72,9 +78,7 @@ def _with_streaks(series: Series, df: DataFrame) -> DataFrame:
             .select("ticker", BLOCK, F.max("_last_start").over(earlier).alias("_carried"))
         )
         df = df.join(carried, ["ticker", BLOCK])
-        start = F.coalesce(F.max("_start_here").over(so_far), F.col("_carried"))
-    else:
-        start = F.max("_start_here").over(so_far)
+        start = F.coalesce(start, F.col("_carried"))
     return df.withColumn("streak_length", F.col(POSITION) - start + 1)
 
 
@@ -82,47 +86,45 @@ def _with_returns(series: Series, df: DataFrame) -> DataFrame:
     """Add the percent return and the mean and sample deviation of the trailing returns."""
     window = series.window()
     trailing = window.rowsBetween(-TRAILING, -1)
-    ratio = ieee_divide(F.col("adj_close"), F.lag("adj_close").over(window))
     return (
-        df.withColumn("pct_return", (ratio - 1) * 100)
-        .withColumn("rolling_mean", F.avg("pct_return").over(trailing))
-        .withColumn("rolling_std", F.stddev_samp("pct_return").over(trailing))
+        df.withColumn("_previous_adj", F.lag("adj_close").over(window))
+        .withColumn("pct_return", F.expr(f"({ieee_divide('adj_close', '_previous_adj')} - 1) * 100"))
+        .withColumns(
+            {
+                "rolling_mean": F.avg("pct_return").over(trailing),
+                "rolling_std": F.stddev_samp("pct_return").over(trailing),
+            }
+        )
     )
 
 
 def _with_gaps(series: Series, df: DataFrame) -> DataFrame:
     """Add the previous bar's day, and the weekdays strictly between the two days."""
-    day_after = F.date_add(F.col("previous_date"), 1)
+    skipped = (
+        "CASE WHEN datediff(date, previous_date) > 1 "
+        f"THEN {weekdays_before('date')} - {weekdays_before('date_add(previous_date, 1)')} "
+        "ELSE 0 END"
+    )
     return df.withColumn("previous_date", F.lag("date").over(series.window())).withColumn(
-        "weekdays_skipped",
-        F.when(
-            F.datediff("date", "previous_date") > 1,
-            weekdays_before(F.col("date")) - weekdays_before(day_after),
-        ).otherwise(0),
+        "weekdays_skipped", F.expr(skipped)
     )
 
 
-def _has_stale_price(n: int) -> Column:
-    return F.col("streak_length") > F.lit(int(n))
-
-
-def _is_outlier(k: float) -> Column:
-    distance = F.abs(F.col("pct_return") - F.col("rolling_mean"))
-    return (F.col("rolling_std") > 0) & (distance > F.lit(float(k)) * F.col("rolling_std"))
-
+def _has_stale_price(n: int) -> str:
+    return f"streak_length > {int(n)}"
 
-def _days_between() -> Column:
-    return F.sequence(F.date_add("previous_date", 1), F.date_sub("date", 1))
 
+def _is_outlier(k: float) -> str:
+    return (
+        "rolling_std > 0 AND "
+        f"abs(pct_return - rolling_mean) > double('{float(k)}') * rolling_std"
+    )
 
-def _stale_details() -> Column:
-    return text.stale_price_details(F.col("close"), F.col("streak_length"))
 
-
-def _outlier_details() -> Column:
-    return text.outlier_return_details(
-        F.col("pct_return"), F.col("rolling_mean"), F.col("rolling_std")
-    )
+HAS_GAP = "weekdays_skipped > 0"
+DAYS_BETWEEN = "sequence(date_add(previous_date, 1), date_sub(date, 1))"
+STALE_DETAILS = text.stale_price_details("close", "streak_length")
+OUTLIER_DETAILS = text.outlier_return_details("pct_return", "rolling_mean", "rolling_std")
 
 
 # --- single checks --------------------------------------------------------------------------
@@ -152,21 +154,21 @@ def _missing_dates(series: Series, calendar: Calendar) -> DataFrame:
     df = _with_gaps(series, series.with_context(before=1))
     if series.is_cut:
         bounds = ticker_bounds(series.rows).select(
-            "ticker", "exchange", calendar.known(F.col("exchange")).alias("_known")
+            "ticker", "exchange", calendar.known("exchange").alias("_known")
         )
-        df = df.drop("exchange").join(bounds, "ticker")
-        wanted = F.col("_known") & Series.own_rows() & (F.col("weekdays_skipped") > 0)
+        df = df.drop("exchange").join(bounds, "ticker").where(f"_known AND NOT {CONTEXT}")
     else:
         whole = Window.partitionBy("ticker")
-        df = df.withColumn("exchange", F.min("exchange").over(whole))
-        wanted = calendar.known(F.col("exchange")) & (F.col("weekdays_skipped") > 0)
+        df = df.withColumn("exchange", F.min("exchange").over(whole)).where(
+            calendar.known("exchange")
+        )
     days = (
-        df.where(wanted)
-        .select("ticker", "exchange", F.explode(_days_between()).alias("date"))
-        .where(is_weekday(F.col("date")))
+        df.where(HAS_GAP)
+        .selectExpr("ticker", "exchange", f"explode({DAYS_BETWEEN}) AS date")
+        .where(is_weekday("date"))
     )
     expected = calendar.drop_holidays(days, "exchange")
-    return _as_flags(expected, "MISSING_DATES", text.missing_date_details(F.col("date")))
+    return _as_flags(expected, "MISSING_DATES", text.missing_date_details("date"))
 
 
 def stale_price(
@@ -178,8 +180,8 @@ def stale_price(
 
 def _stale_price(series: Series, n: int) -> DataFrame:
     df = _with_streaks(series, series.with_context(before=1))
-    stale = df.where(Series.own_rows() & _has_stale_price(n))
-    return _as_flags(stale, "STALE_PRICE", _stale_details())
+    stale = df.where(f"NOT {CONTEXT} AND {_has_stale_price(n)}")
+    return _as_flags(stale, "STALE_PRICE", STALE_DETAILS)
 
 
 def outlier_return(
@@ -191,14 +193,14 @@ def outlier_return(
 
 def _outlier_return(series: Series, k: float) -> DataFrame:
     df = _with_returns(series, series.with_context(before=REACH))
-    outliers = df.where(Series.own_rows() & _is_outlier(k))
-    return _as_flags(outliers, "OUTLIER_RETURN", _outlier_details())
+    outliers = df.where(f"NOT {CONTEXT} AND {_is_outlier(k)}")
+    return _as_flags(outliers, "OUTLIER_RETURN", OUTLIER_DETAILS)
 
 
 def duplicate_rows(prices: DataFrame) -> DataFrame:
     """Flag each (ticker, date) that occurs more than once."""
-    repeated = prices.groupBy("ticker", "date").count().where(F.col("count") > 1)
-    return _as_flags(repeated, "DUPLICATE_ROW", text.duplicate_row_details(F.col("count")))
+    repeated = prices.groupBy("ticker", "date").count().where("count > 1")
+    return _as_flags(repeated, "DUPLICATE_ROW", text.duplicate_row_details("count"))
 
 
 def ohlc_inconsistency(prices: DataFrame) -> DataFrame:
@@ -241,40 +243,38 @@ def all_flags(
 def _all_flags_in_one_pass(series: Series, calendar: Calendar, n: int, k: float) -> DataFrame:
     df = series.with_context(before=REACH)
     df = _with_gaps(series, _with_returns(series, _with_streaks(series, df)))
-    # Both windows below need no further shuffle or sort: the rows of a ticker are already together.
-    same_day = Window.partitionBy("ticker", "date")
-    df = df.withColumn("exchange", F.min("exchange").over(Window.partitionBy("ticker")))
-    df = df.withColumn("occurrences", F.count(F.lit(1)).over(same_day))
-
-    first_of_day = F.col("previous_date").isNull() | (F.col("previous_date") != F.col("date"))
-    today = F.col("date")
-    on_this_bar = F.array_compact(
-        F.array(
-            F.when(_has_stale_price(n), _flag(today, "STALE_PRICE", _stale_details())),
-            F.when(_is_outlier(k), _flag(today, "OUTLIER_RETURN", _outlier_details())),
-            F.when(
-                (F.col("occurrences") > 1) & first_of_day,
-                _flag(today, "DUPLICATE_ROW", text.duplicate_row_details(F.col("occurrences"))),
-            ),
-            F.when(
-                text.breaks_bar_rule(),
-                _flag(today, "OHLC_INCONSISTENCY", text.bar_rule_details()),
-            ),
-        )
+    # The rows of a ticker are together by now: neither window shuffles or sorts again.
+    df = df.withColumns(
+        {
+            "exchange": F.min("exchange").over(Window.partitionBy("ticker")),
+            "occurrences": F.count(F.lit(1)).over(Window.partitionBy("ticker", "date")),
+        }
     )
-    in_the_gap = F.when(
-        F.col("weekdays_skipped") > 0,
-        F.transform(
-            F.filter(_days_between(), is_weekday),
-            lambda day: _flag(day, "MISSING_DATES", text.missing_date_details(day)),
+    first_of_day = "(previous_date IS NULL OR previous_date <> date)"
+    on_this_bar = [
+        (_has_stale_price(n), _flag("date", "STALE_PRICE", STALE_DETAILS)),
+        (_is_outlier(k), _flag("date", "OUTLIER_RETURN", OUTLIER_DETAILS)),
+        (
+            f"occurrences > 1 AND {first_of_day}",
+            _flag("date", "DUPLICATE_ROW", text.duplicate_row_details("occurrences")),
         ),
-    ).otherwise(F.array().cast("array<struct<date:date,flag_type:string,severity:string,details:string>>"))
-
-    flags = df.where(calendar.known(F.col("exchange"))).select(
-        "ticker", "exchange", F.inline(F.concat(on_this_bar, in_the_gap))
+        (
+            text.breaks_bar_rule(),
+            _flag("date", "OHLC_INCONSISTENCY", text.bar_rule_details()),
+        ),
+    ]
+    cases = ", ".join(f"CASE WHEN {condition} THEN {flag} END" for condition, flag in on_this_bar)
+    missing = _flag("day", "MISSING_DATES", text.missing_date_details("day"))
+    in_the_gap = (
+        f"CASE WHEN {HAS_GAP} THEN "
+        f"transform(filter({DAYS_BETWEEN}, day -> {is_weekday('day')}), day -> {missing}) "
+        "ELSE array() END"
+    )
+    flags = df.where(calendar.known("exchange")).selectExpr(
+        "ticker", "exchange", f"inline(concat(array_compact(array({cases})), {in_the_gap}))"
     )
     # Only missing days are compared with the holidays; a NULL exchange matches none.
-    flags = flags.withColumn(
-        "_calendar", F.when(F.col("flag_type") == "MISSING_DATES", F.col("exchange"))
+    flags = flags.selectExpr(
+        "*", "CASE WHEN flag_type = 'MISSING_DATES' THEN exchange END AS _calendar"
     )
     return calendar.drop_holidays(flags, "_calendar").select(*FLAG_COLUMNS)

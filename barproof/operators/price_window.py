@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barproof.operators.series import MAX_ROWS, Series, arrange
+from barproof.functions.text import history_line
+from barproof.operators.series import CONTEXT, MAX_ROWS, Series, arrange
 from barproof.schemas import BAR_VALUES, KEY, PRICE_COLUMNS
 
 #: Bars on either side of the flagged one.
@@ -35,17 +36,17 @@ def _anchored(prices: DataFrame, targets: DataFrame, keyed: bool, max_rows: int,
     return series, series.with_context(before=span, after=span)
 
 
-def _collect_around(series: Series, df: DataFrame, span: int, item: Column) -> DataFrame:
-    """Keep the anchors, each with ``history``: the items of its surrounding bars in order."""
+def _collect_around(series: Series, df: DataFrame, span: int) -> DataFrame:
+    """Keep the anchors, each with ``history``: its surrounding bars in order."""
     frame = series.window().rowsBetween(-span, span)
+    bar = F.struct("date", *BAR_VALUES)
     # Every bar within reach of an anchor survives this filter, so frames around anchors stay whole,
     # while arrays are built only near anchors.
-    near = F.max(F.coalesce(F.col(_ANCHOR), F.lit(False))).over(frame)
     return (
-        df.withColumn("_near", near)
+        df.withColumn("_near", F.max(_ANCHOR).over(frame))
         .where("_near")
-        .withColumn("history", F.collect_list(item).over(frame))
-        .where(F.col(_ANCHOR) & Series.own_rows())
+        .withColumn("history", F.collect_list(bar).over(frame))
+        .where(f"{_ANCHOR} AND NOT {CONTEXT}")
     )
 
 
@@ -61,22 +62,20 @@ def price_window(
     A target without a bar on its very day yields nothing. Each bar on a target day opens a window
     of its own, should a day be repeated.
     """
-    series, df = _anchored(prices, targets, keyed, max_rows, span)
-    bar = F.struct("date", *BAR_VALUES)
-    return _collect_around(series, df, span, bar).select(
-        "ticker", F.col("date").alias("target_date"), F.inline("history")
-    )
+    anchors = _collect_around(*_anchored(prices, targets, keyed, max_rows, span), span)
+    return anchors.selectExpr("ticker", "date AS target_date", "inline(history)")
 
 
-def history_lines(prices: DataFrame, targets: DataFrame, line, span: int = SPAN) -> DataFrame:
+def history_lines(prices: DataFrame, targets: DataFrame, span: int = SPAN) -> DataFrame:
     """One row per target day that has a bar, with ``history``: its surrounding bars as lines.
 
     The prices must be keyed; a repeated day fails the query rather than doubling a history.
     """
-    series, df = _anchored(prices, targets, True, MAX_ROWS, span)
-    anchors = _collect_around(series, df, span, F.struct("date", *BAR_VALUES))
-    days = F.transform("history", lambda bar: bar["date"])
-    unique = F.when(F.size(F.array_distinct(days)) == F.size("history"), F.col("history")).otherwise(
-        F.raise_error(F.concat(F.lit("Repeated day in the bars of "), F.col("ticker")))
+    anchors = _collect_around(*_anchored(prices, targets, True, MAX_ROWS, span), span)
+    unique = (
+        "CASE WHEN size(array_distinct(history.date)) = size(history) THEN history "
+        "ELSE raise_error(concat('Repeated day in the bars of ', ticker)) END"
+    )
+    return anchors.selectExpr(
+        *KEY, f"transform({unique}, bar -> {history_line('bar')}) AS history"
     )
-    return anchors.select(*KEY, F.transform(unique, line).alias("history"))

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from barproof.schemas import BAR_VALUES, PRICE_COLUMNS
@@ -52,35 +52,25 @@ class Series:
         """Return rows with ``_position``, plus context copies if the series are cut.
 
         ``before`` and ``after`` say how many neighbouring rows a frame reaches. Context copies are
-        marked and must be dropped with :meth:`own_rows` once the windows are computed.
+        marked in ``_context`` and must be dropped once the windows are computed.
         """
         if not self.is_cut:
-            return self.rows.withColumn(
-                POSITION, F.row_number().over(self.window()).cast("bigint")
-            ).withColumn(CONTEXT, F.lit(False))
+            position = F.row_number().over(self.window()).cast("bigint")
+            return self.rows.withColumns({POSITION: position, CONTEXT: F.lit(False)})
         size = self.block_rows
         if max(before, after) > size:
             raise ValueError(f"A frame of {max(before, after)} rows does not fit blocks of {size}.")
-        block = F.floor(F.col(POSITION) / size)
-        place = F.pmod(F.col(POSITION), F.lit(size))
-        copies = F.array_compact(
-            F.array(
-                F.struct(block.alias(BLOCK), F.lit(False).alias(CONTEXT)),
-                F.when(
-                    place >= size - before,
-                    F.struct((block + 1).alias(BLOCK), F.lit(True).alias(CONTEXT)),
-                ),
-                F.when(
-                    place < after,
-                    F.struct((block - 1).alias(BLOCK), F.lit(True).alias(CONTEXT)),
-                ),
-            )
-        )
-        return self.rows.select("*", F.inline(copies))
+        block, place = f"{POSITION} div {size}", f"pmod({POSITION}, {size})"
+
+        def copy(to: str, context: str) -> str:
+            return f"named_struct('{BLOCK}', {to}, '{CONTEXT}', {context})"
 
-    @staticmethod
-    def own_rows() -> Column:
-        return ~F.col(CONTEXT)
+        copies = (
+            f"array_compact(array({copy(block, 'false')}, "
+            f"CASE WHEN {place} >= {size - before} THEN {copy(f'{block} + 1', 'true')} END, "
+            f"CASE WHEN {place} < {after} THEN {copy(f'{block} - 1', 'true')} END))"
+        )
+        return self.rows.selectExpr("*", f"inline({copies})")
 
 
 def arrange(
@@ -125,11 +115,7 @@ def number_rows(df: DataFrame, order: list[str], parts: int) -> DataFrame:
         .drop("_source")
         .withColumn("_id", F.monotonically_increasing_id())
         .checkpoint()
-        .select(
-            "*",
-            F.shiftright("_id", 33).alias("_part"),
-            F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)).alias("_place"),
-        )
+        .selectExpr("*", "shiftright(_id, 33) AS _part", f"_id & {(1 << 33) - 1} AS _place")
     )
     # One row per range partition, so a single-task window and a broadcast are both bounded.
     until = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barproof.functions.text import history_line, prompt_text
+from barproof.functions.text import prompt_text
 from barproof.operators.flag_joins import unexplained_flags
 from barproof.operators.price_window import SPAN, history_lines
 from barproof.schemas import EXPLANATIONS, FLAG_COLUMNS, FLAG_KEY, FLAGS, KEY, conform
@@ -30,12 +30,11 @@ FAILED = "failed"
 
 def prompts(prices: DataFrame, flags: DataFrame, span: int = SPAN) -> DataFrame:
     """Add ``prompt`` to each flag; a flag whose day has no bar gets an empty history."""
-    history = history_lines(prices, flags, history_line, span)
-    lines = F.coalesce(F.col("history"), F.array().cast("array<string>"))
+    prompt = prompt_text("coalesce(history, array())")
     return (
         flags.select(*FLAG_COLUMNS)
-        .join(history, KEY, "left")
-        .select(*FLAG_COLUMNS, prompt_text(lines).alias("prompt"))
+        .join(history_lines(prices, flags, span), KEY, "left")
+        .selectExpr(*FLAG_COLUMNS, f"{prompt} AS prompt")
     )
 
 

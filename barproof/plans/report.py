@@ -5,13 +5,13 @@ from __future__ import annotations
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barproof.functions import text
 from barproof.operators.flag_joins import with_explanations
 from barproof.operators.summaries import flag_counts, pass_rate, scope_stats
-from barproof.schemas import EXPLANATIONS, FLAGS
+from barproof.schemas import EXPLANATIONS, FLAG_COLUMNS, FLAGS
 from barproof.sources.tables import read_prices, read_table
 
 #: Characters of all ticker names together that may be put into one row.
@@ -20,30 +20,33 @@ ONE_ROW_CHARS = 16_000_000
 # Sections in document order.
 HEAD, TICKERS, TOTAL, COUNTS, AFTER_COUNTS, BY_TICKER, RESULT = range(7)
 
-_ORDER = ["section", "ticker", "entry", "date", "flag_type", "severity", "place"]
-_COLUMNS = [*_ORDER, "text"]
+# Columns that place a text inside its section, in sorting order.
+_PLACE = {
+    "ticker": "string",
+    "entry": "int",
+    "date": "date",
+    "flag_type": "string",
+    "severity": "string",
+    "place": "string",
+}
 
 
-def _text_or_none(value: Column) -> Column:
-    return F.coalesce(value.cast("string"), F.lit("None"))
-
-
-def _line(df: DataFrame, section: int, content: Column, **keys: Column) -> DataFrame:
+def _text(df: DataFrame, section: int, content: str, **keys: str) -> DataFrame:
     """Turn each row into text with its place in the document."""
-    types = {"ticker": "string", "entry": "int", "date": "date", "flag_type": "string",
-             "severity": "string", "place": "string"}
-    columns = [keys.get(name, F.lit(None)).cast(kind).alias(name) for name, kind in types.items()]
-    return df.select(F.lit(section).alias("section"), *columns, content.alias("text"))
+    columns = [
+        f"CAST({keys.get(name, 'NULL')} AS {kind}) AS {name}" for name, kind in _PLACE.items()
+    ]
+    return df.selectExpr(f"{section} AS section", *columns, f"{content} AS text")
 
 
 def _names_fit(names: DataFrame, limit: int) -> bool:
-    size = names.agg(F.coalesce(F.sum(F.length("ticker") + 2), F.lit(0))).first()[0]
+    size = names.selectExpr("coalesce(sum(length(ticker) + 2), 0) AS size").first().size
     return size <= limit
 
 
-def _joined(names: DataFrame, separator: str) -> Column:
-    """All names in one string, as a scalar; only for names that were found to fit one row."""
-    return names.agg(F.array_join(F.array_sort(F.collect_set("ticker")), separator)).scalar()
+def _all_names(names: DataFrame, separator: str) -> DataFrame:
+    """All names in one row; only for names that were found to fit."""
+    return names.selectExpr(f"array_join(array_sort(collect_set(ticker)), '{separator}') AS names")
 
 
 def _ticker_lines(prices: DataFrame, limit: int) -> DataFrame:
@@ -53,118 +56,89 @@ def _ticker_lines(prices: DataFrame, limit: int) -> DataFrame:
     """
     names = prices.select("ticker").distinct()
     if _names_fit(names, limit):
-        one = prices.sparkSession.range(1)
-        return _line(one, TICKERS, F.concat(F.lit("- Tickers: "), _joined(names, ", ")))
-    bounds = names.agg(F.min("ticker").alias("first"), F.max("ticker").alias("last"))
-    first, last = bounds.select("first").scalar(), bounds.select("last").scalar()
-    name = F.col("ticker")
-    wrapped = F.concat(
-        F.when(name == first, "- Tickers: ").otherwise("  "),
-        name,
-        F.when(name == last, "").otherwise(","),
+        return _text(_all_names(names, ", "), TICKERS, "concat('- Tickers: ', names)")
+    wrapped = names.select(
+        "ticker",
+        names.agg(F.min("ticker")).scalar().alias("first"),
+        names.agg(F.max("ticker")).scalar().alias("last"),
     )
-    return _line(names, TICKERS, wrapped, ticker=name)
+    line = (
+        "concat(CASE WHEN ticker = first THEN '- Tickers: ' ELSE '  ' END, ticker, "
+        "CASE WHEN ticker = last THEN '' ELSE ',' END)"
+    )
+    return _text(wrapped, TICKERS, line, ticker="ticker")
 
 
 def report_entries(prices: DataFrame, flags: DataFrame, explanations: DataFrame) -> DataFrame:
     """Flags of the tickers in ``prices``, each with its explanation or a fallback note."""
     known = prices.select("ticker").distinct()
-    fallback = F.when(F.col("flag_type") == "MISSING_DATES", text.HOLIDAY_NOTE).otherwise(
-        text.NO_EXPLANATION_NOTE
+    fallback = (
+        f"CASE WHEN flag_type = 'MISSING_DATES' THEN {text.quoted(text.HOLIDAY_NOTE)} "
+        f"ELSE {text.quoted(text.NO_EXPLANATION_NOTE)} END"
     )
     # Flags stay on the left of both joins, the side Spark can split when a key is hot.
     return (
         with_explanations(flags, explanations)
         .join(known, "ticker", "left_semi")
-        .select(
-            "ticker",
-            "date",
-            "flag_type",
-            "severity",
-            "details",
-            F.coalesce("explanation", fallback).alias("explanation"),
-        )
+        .selectExpr(*FLAG_COLUMNS, f"coalesce(explanation, {fallback}) AS explanation")
     )
 
 
 def _summary(prices: DataFrame, flags: DataFrame, limit: int) -> list[DataFrame]:
-    head = F.concat(
-        F.lit("# Data Quality Report\n\n## Summary\n\n- Date range: "),
-        _text_or_none(F.col("min_date")),
-        F.lit(" to "),
-        _text_or_none(F.col("max_date")),
+    head = text.joined(
+        text.quoted("# Data Quality Report\n\n## Summary\n\n- Date range: "),
+        "coalesce(string(min_date), 'None')",
+        "' to '",
+        "coalesce(string(max_date), 'None')",
     )
-    total = F.concat(F.lit("- Total rows: "), F.col("total_rows").cast("string"), F.lit("\n"))
+    total = "concat('- Total rows: ', total_rows, '\n')"
     scope = scope_stats(prices)
-    counts = flags.groupBy("flag_type", "severity").agg(F.count(F.lit(1)).alias("count"))
-    table_head = counts.agg(
-        F.when(F.count(F.lit(1)) == 0, text.NO_FLAGS_NOTE)
-        .otherwise("| Flag Type | Severity | Count |\n|---|---|---|")
-        .alias("text")
-    )
-    row = F.concat_ws(
-        " ", F.lit("|"), "flag_type", F.lit("|"), "severity", F.lit("|"), F.col("count"), F.lit("|")
+    counts = flag_counts(flags)
+    table_head = text.quoted("| Flag Type | Severity | Count |\n|---|---|---|")
+    heading = counts.selectExpr(
+        f"CASE WHEN count(*) = 0 THEN {text.quoted(text.NO_FLAGS_NOTE)} ELSE {table_head} END AS text"
     )
-    first, then = F.lit(0), F.lit(1)
+    row = "concat_ws(' ', '|', flag_type, '|', severity, '|', count, '|')"
     return [
-        _line(scope, HEAD, head),
+        _text(scope, HEAD, head),
         _ticker_lines(prices, limit),
-        _line(scope, TOTAL, total),
-        _line(table_head, COUNTS, F.col("text"), entry=first),
-        _line(
-            counts, COUNTS, row, entry=then, flag_type=F.col("flag_type"), severity=F.col("severity")
-        ),
-        _line(prices.sparkSession.range(1), AFTER_COUNTS, F.lit("")),
+        _text(scope, TOTAL, total),
+        _text(heading, COUNTS, "text", entry="0"),
+        _text(counts, COUNTS, row, entry="1", flag_type="flag_type", severity="severity"),
+        _text(prices.sparkSession.range(1), AFTER_COUNTS, "''"),
     ]
 
 
 def _by_ticker(prices: DataFrame, flags: DataFrame, explanations: DataFrame) -> list[DataFrame]:
     known = prices.select("ticker").distinct()
-    flagged = flags.select("ticker").distinct()
-    entries = report_entries(prices, flags, explanations)
-    entry = F.concat(
-        F.lit("### "),
-        F.coalesce(F.col("date").cast("string"), F.lit("NaT")),
-        F.lit(" — "),
-        F.col("flag_type"),
-        F.lit(" ("),
-        F.col("severity"),
-        F.lit(")\n- Details: "),
-        F.col("details"),
-        F.lit("\n- Explanation: "),
-        F.col("explanation"),
-        F.lit("\n"),
-    )
-    ticker = F.col("ticker")
-    note = F.lit(text.NO_TICKER_FLAGS_NOTE + "\n")
-    first, then = F.lit(0), F.lit(1)
+    unflagged = known.join(flags.select("ticker").distinct(), "ticker", "left_anti")
+    note = text.quoted(text.NO_TICKER_FLAGS_NOTE + "\n")
     return [
-        _line(
-            known, BY_TICKER, F.concat(F.lit("## "), ticker, F.lit("\n")), ticker=ticker, entry=first
-        ),
-        _line(
-            known.join(flagged, "ticker", "left_anti"), BY_TICKER, note, ticker=ticker, entry=then
-        ),
-        _line(
-            entries,
+        _text(known, BY_TICKER, "concat('## ', ticker, '\n')", ticker="ticker", entry="0"),
+        _text(unflagged, BY_TICKER, note, ticker="ticker", entry="1"),
+        _text(
+            report_entries(prices, flags, explanations),
             BY_TICKER,
-            entry,
-            ticker=ticker,
-            entry=then,
-            date=F.col("date"),
-            flag_type=F.col("flag_type"),
-            severity=F.col("severity"),
-            place=F.concat_ws("\n", "details", "explanation"),
+            text.report_entry(),
+            ticker="ticker",
+            entry="1",
+            date="date",
+            flag_type="flag_type",
+            severity="severity",
+            place="concat_ws('\n', details, explanation)",
         ),
     ]
 
 
 def _result(prices: DataFrame, flags: DataFrame) -> DataFrame:
-    rate = text.fixed(F.col("pass_rate"), 1)
     # Without any ticker, the empty ticker section leaves a blank line of its own.
-    gap = F.when(F.col("total_rows") == 0, "\n").otherwise("")
-    content = F.concat(gap, F.lit("## Result\n\n"), rate, F.lit("% of rows passed all validation checks."))
-    return _line(pass_rate(prices, flags), RESULT, content)
+    content = text.joined(
+        "CASE WHEN total_rows = 0 THEN '\n' ELSE '' END",
+        text.quoted("## Result\n\n"),
+        text.fixed("pass_rate", 1),
+        "'% of rows passed all validation checks.'",
+    )
+    return _text(pass_rate(prices, flags), RESULT, content)
 
 
 def report_text(
@@ -180,9 +154,8 @@ def report_text(
         _result(prices, flags),
     ]
     whole = reduce(DataFrame.unionByName, parts)
-    return whole.orderBy(
-        *[F.col(name).asc_nulls_last() if name == "date" else F.col(name) for name in _ORDER]
-    ).select(*_COLUMNS)
+    order = [F.asc_nulls_last(name) if name == "date" else F.asc(name) for name in whole.columns]
+    return whole.orderBy(*order[:-1])
 
 
 def save_report(report: DataFrame, path: str) -> None:
@@ -198,14 +171,18 @@ def scope_hash(prices: DataFrame, one_row_chars: int = ONE_ROW_CHARS) -> DataFra
     """
     names = prices.select("ticker").distinct()
     if _names_fit(names, one_row_chars):
-        scope = _joined(names, ",")
+        scope = _all_names(names, ",")
     else:
-        piece = F.conv(F.substring(F.sha2("ticker", 256), 1, 15), 16, 10).cast("decimal(20,0)")
-        scope = names.agg(F.concat_ws(",", F.count(F.lit(1)), F.sum(piece))).scalar()
-    basis = F.concat_ws(
-        "|", scope, _text_or_none(F.col("min_date")), _text_or_none(F.col("max_date"))
+        piece = "decimal(conv(substr(sha2(ticker, 256), 1, 15), 16, 10))"
+        scope = names.selectExpr(f"concat_ws(',', count(*), sum({piece})) AS names")
+    basis = (
+        "concat_ws('|', names, coalesce(string(min_date), 'None'), coalesce(string(max_date), 'None'))"
+    )
+    return (
+        scope_stats(prices)
+        .withColumn("names", scope.scalar())
+        .selectExpr(f"substr(sha2({basis}, 256), 1, 8) AS scope_hash")
     )
-    return scope_stats(prices).select(F.substring(F.sha2(basis, 256), 1, 8).alias("scope_hash"))
 
 
 def report_name(prices: DataFrame, report_date: date | None = None) -> DataFrame:

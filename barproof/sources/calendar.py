@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from datetime import date
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barproof.functions.text import quoted
 from barproof.schemas import HOLIDAYS, conform
 
 
@@ -23,20 +27,26 @@ class Calendar:
 
     @classmethod
     def of(
-        cls, spark: SparkSession, holidays: list[tuple], exchanges: tuple[str, ...]
+        cls,
+        spark: SparkSession,
+        holidays: list[tuple[str, date]],
+        exchanges: tuple[str, ...],
     ) -> Calendar:
-        return cls(spark.createDataFrame(holidays, HOLIDAYS), exchanges)
+        # An Arrow table becomes a local relation, whose size the optimizer knows.
+        names, days = zip(*holidays) if holidays else ((), ())
+        table = pa.table({"exchange": pa.array(names, pa.string()), "date": pa.array(days, pa.date32())})
+        return cls(spark.createDataFrame(table, HOLIDAYS), exchanges)
 
     @classmethod
     def read(cls, spark: SparkSession, path: str, exchanges: tuple[str, ...]) -> Calendar:
         return cls(conform(spark.read.parquet(path), HOLIDAYS), exchanges)
 
-    def known(self, exchange: Column) -> Column:
+    def known(self, exchange: str) -> Column:
         """True for a known exchange; fails the query otherwise."""
-        return F.when(exchange.isin(*self.exchanges), True).otherwise(
-            F.raise_error(
-                F.concat(F.lit("No trading calendar for exchange "), F.coalesce(exchange, F.lit("NULL")))
-            ).cast("boolean")
+        names = ", ".join(quoted(name) for name in self.exchanges)
+        return F.expr(
+            f"CASE WHEN {exchange} IN ({names}) THEN true ELSE boolean(raise_error("
+            f"concat('No trading calendar for exchange ', coalesce({exchange}, 'NULL')))) END"
         )
 
     def drop_holidays(self, days: DataFrame, exchange: str) -> DataFrame:
@@ -44,10 +54,6 @@ class Calendar:
 
         Rows with a NULL there are kept.
         """
-        closed = self.holidays.select(
-            F.col("exchange").alias("_closed_exchange"), F.col("date").alias("_closed_date")
-        )
-        matches = (F.col(exchange) == F.col("_closed_exchange")) & (
-            F.col("date") == F.col("_closed_date")
-        )
+        closed = self.holidays.selectExpr("exchange AS _closed_exchange", "date AS _closed_date")
+        matches = F.expr(f"{exchange} = _closed_exchange AND date = _closed_date")
         return days.join(closed, matches, "left_anti")

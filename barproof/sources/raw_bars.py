@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barproof.functions.numeric import nan_to_null, round_to_bigint
-from barproof.schemas import PRICE_COLUMNS
+from barproof.functions.text import quoted
 
 # Raw column names and the price columns they become.
 RAW_COLUMNS = {
@@ -87,18 +87,16 @@ def look_back(raw: DataFrame, period: str, as_of: date) -> DataFrame:
     return raw.where(F.col("Date") >= F.date_sub(first, 1).cast(raw.schema["Date"].dataType))
 
 
-def _local_date(df: DataFrame, zones: dict[str, str] | None) -> Column:
+def _local_date(raw: DataFrame, zones: dict[str, str] | None) -> str:
     """The day of a bar on the clock of its exchange."""
-    stamp = F.col("Date")
-    if not isinstance(df.schema["Date"].dataType, T.TimestampType) or not zones:
-        return F.to_date(stamp)
-    pairs = [F.lit(part) for pair in zones.items() for part in pair]
-    exchange = F.col("exchange")
-    zone = F.coalesce(
-        F.create_map(*pairs)[exchange],
-        F.raise_error(F.concat(F.lit("No time zone for exchange "), exchange)),
+    if not zones or not isinstance(raw.schema["Date"].dataType, T.TimestampType):
+        return "to_date(Date)"
+    cases = " ".join(f"WHEN {quoted(name)} THEN {quoted(zone)}" for name, zone in zones.items())
+    zone = (
+        f"CASE exchange {cases} "
+        "ELSE raise_error(concat('No time zone for exchange ', exchange)) END"
     )
-    return F.to_date(F.convert_timezone(F.current_timezone(), zone, stamp.cast("timestamp_ntz")))
+    return f"to_date(convert_timezone(current_timezone(), {zone}, CAST(Date AS TIMESTAMP_NTZ)))"
 
 
 def normalize_bars(
@@ -109,20 +107,19 @@ def normalize_bars(
     Absent columns become NULL, NaN becomes NULL, a fractional volume is rounded half to even, and a
     zoned timestamp becomes the day in ``zones[exchange]``.
     """
-    stamped = raw.join(universe.select("symbol", "exchange"), "symbol")
-    types = {"volume": "bigint"}
-    columns = [F.col("symbol").alias("ticker"), F.col("exchange"), _local_date(stamped, zones).alias("date")]
+    columns = ["symbol AS ticker", "exchange", f"{_local_date(raw, zones)} AS date"]
     for source, target in RAW_COLUMNS.items():
+        kind = "bigint" if target == "volume" else "double"
         if source not in raw.columns:
-            value = F.lit(None).cast(types.get(target, "double"))
-        elif target != "volume":
-            value = nan_to_null(F.col(source).cast("double"))
+            value = "NULL"
+        elif kind == "double":
+            value = nan_to_null(f"double(`{source}`)")
         elif isinstance(raw.schema[source].dataType, T.IntegralType):
-            value = F.col(source).cast("bigint")
+            value = f"`{source}`"
         else:
-            value = round_to_bigint(F.col(source).cast("double"))
-        columns.append(value.alias(target))
-    return stamped.select(*columns).select(*PRICE_COLUMNS)
+            value = round_to_bigint(f"double(`{source}`)")
+        columns.append(f"CAST({value} AS {kind}) AS {target}")
+    return raw.join(universe.select("symbol", "exchange"), "symbol").selectExpr(*columns)
 
 
 def missing_tickers(universe: DataFrame, raw: DataFrame) -> DataFrame:

@@ -2,69 +2,74 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from datetime import date
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barproof.functions.numeric import is_weekday
-from barproof.schemas import EXPLANATIONS, PRICE_COLUMNS, PRICES, conform
+from barproof.schemas import EXPLANATIONS, conform
 from barproof.sources.calendar import Calendar
 
 EXCHANGES = ("NYSE", "LSE")
-HOLIDAYS = [("NYSE", "2024-01-01"), ("NYSE", "2024-01-15"), ("LSE", "2024-01-01")]
+HOLIDAYS = [
+    ("NYSE", date(2024, 1, 1)),
+    ("NYSE", date(2024, 1, 15)),
+    ("LSE", date(2024, 1, 1)),
+]
 ZONES = {"NYSE": "America/New_York", "LSE": "Europe/London"}
 
 
 def sample_calendar(spark: SparkSession) -> Calendar:
-    from datetime import date
-
-    return Calendar.of(spark, [(e, date.fromisoformat(d)) for e, d in HOLIDAYS], EXCHANGES)
+    return Calendar.of(spark, HOLIDAYS, EXCHANGES)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _exchange(number: Column) -> Column:
-    return F.when(number % 2 == 0, "NYSE").otherwise("LSE")
+def _exchange(number: str) -> str:
+    return f"CASE WHEN {number} % 2 = 0 THEN 'NYSE' ELSE 'LSE' END AS exchange"
 
 
 def event_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One bar per user and trading day of ``events``, with a few planted defects; keyed."""
-    number, day = F.col("user_id"), F.dayofmonth("date")
-    daily = (
+    ticks = (
         _table(spark, sf_dir, "events")
-        .select("user_id", "event_id", "value", F.to_date("ts").alias("date"))
-        .where(is_weekday(F.col("date")))
+        .selectExpr("user_id", "event_id", "value", "to_date(ts) AS date", _exchange("user_id"))
+        .where(is_weekday("date"))
+    )
+    daily = (
+        sample_calendar(spark)
+        .drop_holidays(ticks, "exchange")
         .groupBy("user_id", "date")
         .agg(
             F.min_by("value", "event_id").alias("open"),
             F.max("value").alias("top"),
             F.min("value").alias("low"),
             F.max_by("value", "event_id").alias("last"),
-            (F.count(F.lit(1)) * 100).alias("volume"),
+            F.count(F.lit(1)).alias("n"),
         )
     )
-    impossible = F.pmod(number * 7 + day, F.lit(41)) == 0
-    frozen = (F.pmod(number, F.lit(10)) == 3) & day.between(8, 12)
-    bars = daily.select(
-        F.concat(F.lit("U"), number.cast("string")).alias("ticker"),
-        _exchange(number).alias("exchange"),
+    impossible = "(user_id * 7 + dayofmonth(date)) % 41 = 0"
+    frozen = "user_id % 10 = 3 AND dayofmonth(date) BETWEEN 8 AND 12"
+    return daily.selectExpr(
+        "concat('U', user_id) AS ticker",
+        _exchange("user_id"),
         "date",
         "open",
-        F.when(impossible, F.col("low") - 1).otherwise(F.col("top")).alias("high"),
+        f"CASE WHEN {impossible} THEN low - 1 ELSE top END AS high",
         "low",
-        F.when(frozen, 50.0).otherwise(F.col("last")).alias("close"),
-        "volume",
-        F.col("last").alias("adj_close"),
+        f"CASE WHEN {frozen} THEN 50D ELSE last END AS close",
+        "n * 100 AS volume",
+        "last AS adj_close",
     )
-    return sample_calendar(spark).drop_holidays(bars, "exchange").select(*PRICE_COLUMNS)
 
 
 def repeating_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The event bars with some of them repeated; unkeyed."""
     bars = event_bars(spark, sf_dir)
-    number = F.substring("ticker", 2, 20).cast("bigint")
-    again = bars.where(F.pmod(number * 3 + F.dayofmonth("date"), F.lit(53)) == 0)
+    again = bars.where("(bigint(substr(ticker, 2)) * 3 + dayofmonth(date)) % 53 = 0")
     return bars.unionByName(again)
 
 
@@ -74,76 +79,70 @@ def supplier_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
         _supplier_ticks(spark, sf_dir)
         .groupBy("l_suppkey", "date")
         .agg(
-            F.min("price").alias("open"),
-            F.max("price").alias("high"),
             F.min("price").alias("low"),
-            F.max("price").alias("close"),
+            F.max("price").alias("high"),
             F.sum("quantity").alias("volume"),
-            F.max("price").alias("adj_close"),
         )
     )
-    return _as_supplier_prices(daily)
+    return daily.selectExpr(
+        "concat('S', l_suppkey) AS ticker",
+        _exchange("l_suppkey"),
+        "date",
+        "low AS open",
+        "high",
+        "low",
+        "high AS close",
+        "volume",
+        "high AS adj_close",
+    )
 
 
 def supplier_tick_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line item as a bar of its own: several per supplier and day; unkeyed."""
-    hundreds = F.floor(F.col("price") / 100).cast("double") * 100
-    ticks = _supplier_ticks(spark, sf_dir).select(
-        "l_suppkey",
+    hundreds = "double(floor(price / 100)) * 100"
+    return _supplier_ticks(spark, sf_dir).selectExpr(
+        "concat('S', l_suppkey) AS ticker",
+        _exchange("l_suppkey"),
         "date",
-        F.col("price").alias("open"),
-        F.col("price").alias("high"),
-        F.when(F.col("quantity") == 13, F.col("price") + 1).otherwise(hundreds).alias("low"),
-        hundreds.alias("close"),
-        F.col("quantity").alias("volume"),
-        F.col("price").alias("adj_close"),
+        "price AS open",
+        "price AS high",
+        f"CASE WHEN quantity = 13 THEN price + 1 ELSE {hundreds} END AS low",
+        f"{hundreds} AS close",
+        "quantity AS volume",
+        "price AS adj_close",
     )
-    return _as_supplier_prices(ticks)
 
 
 def _supplier_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         _table(spark, sf_dir, "lineitem")
-        .select(
+        .selectExpr(
             "l_suppkey",
-            F.to_date("l_shipdate").alias("date"),
-            (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"),
-            F.col("l_quantity").cast("bigint").alias("quantity"),
+            "to_date(l_shipdate) AS date",
+            "l_extendedprice / l_quantity AS price",
+            "bigint(l_quantity) AS quantity",
         )
-        .where(is_weekday(F.col("date")))
-    )
-
-
-def _as_supplier_prices(df: DataFrame) -> DataFrame:
-    number = F.col("l_suppkey")
-    return df.select(
-        F.concat(F.lit("S"), number.cast("string")).alias("ticker"),
-        _exchange(number).alias("exchange"),
-        *PRICE_COLUMNS[2:],
+        .where(is_weekday("date"))
     )
 
 
 def landed_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events in the shape of landed files: zoned times, fractional volume, no ``Adj Close``."""
-    stamp = F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col("ts")).cast("timestamp")
-    value = F.col("value")
-    return _table(spark, sf_dir, "events").select(
-        F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("symbol"),
-        stamp.alias("Date"),
-        value.alias("Open"),
-        (value + 1).alias("High"),
-        (value - 1).alias("Low"),
-        F.when(F.pmod("event_id", F.lit(97)) == 0, float("nan")).otherwise(value).alias("Close"),
-        (value * 50).alias("Volume"),
+    return _table(spark, sf_dir, "events").selectExpr(
+        "concat('U', user_id) AS symbol",
+        "timestamp(convert_timezone('UTC', current_timezone(), ts)) AS Date",
+        "value AS Open",
+        "value + 1 AS High",
+        "value - 1 AS Low",
+        "CASE WHEN event_id % 97 = 0 THEN double('NaN') ELSE value END AS Close",
+        "value * 50 AS Volume",
     )
 
 
 def customer_universe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A universe of one symbol per customer; many of them never landed."""
-    number = F.col("c_custkey")
-    return _table(spark, sf_dir, "customer").select(
-        F.concat(F.lit("U"), number.cast("string")).alias("symbol"),
-        _exchange(number).alias("exchange"),
+    return _table(spark, sf_dir, "customer").selectExpr(
+        "concat('U', c_custkey) AS symbol", _exchange("c_custkey")
     )
 
 
@@ -163,7 +162,3 @@ def earlier_explanations(flags: DataFrame) -> DataFrame:
     return conform(
         seen.withColumn("explanation", F.concat(F.lit("Seen before: "), "flag_type")), EXPLANATIONS
     )
-
-
-def as_prices(df: DataFrame) -> DataFrame:
-    return conform(df, PRICES)
