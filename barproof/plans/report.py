@@ -173,7 +173,7 @@ def scope_hash(prices: DataFrame, one_row_chars: int = ONE_ROW_CHARS) -> DataFra
     if _names_fit(names, one_row_chars):
         scope = _all_names(names, ",")
     else:
-        piece = "decimal(conv(substr(sha2(ticker, 256), 1, 15), 16, 10))"
+        piece = "CAST(conv(substr(sha2(ticker, 256), 1, 15), 16, 10) AS DECIMAL(20, 0))"
         scope = names.selectExpr(f"concat_ws(',', count(*), sum({piece})) AS names")
     basis = (
         "concat_ws('|', names, coalesce(string(min_date), 'None'), coalesce(string(max_date), 'None'))"

@@ -126,19 +126,26 @@ def missing_dates(source: str) -> str:
       AND NOT EXISTS (SELECT 1 FROM {source} p WHERE p.ticker = b.ticker AND p.date = d.date)"""
 
 
+def numbered(source: str) -> str:
+    """Rows with their place in the ticker's series, fixed once even among exact copies."""
+    return (
+        f"(SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY date, {TIES}) AS place "
+        f"FROM {source})"
+    )
+
+
 def stale_price(source: str, n: int = 3) -> str:
     return f"""
     SELECT ticker, date, 'STALE_PRICE' AS flag_type, 'medium' AS severity,
            'close unchanged at ' || {number('close', 2)} || ' for ' || streak_length
                || ' consecutive trading days' AS details
     FROM (
-        SELECT *, row_number() OVER (PARTITION BY ticker, streak ORDER BY date, {TIES}) AS streak_length
+        SELECT *, row_number() OVER (PARTITION BY ticker, streak ORDER BY place) AS streak_length
         FROM (
             SELECT *, sum(CASE WHEN previous IS NULL OR close <> previous THEN 1 ELSE 0 END)
-                          OVER (PARTITION BY ticker ORDER BY date, {TIES}
-                                ROWS UNBOUNDED PRECEDING) AS streak
-            FROM (SELECT *, lag(close) OVER (PARTITION BY ticker ORDER BY date, {TIES}) AS previous
-                  FROM {source})
+                          OVER (PARTITION BY ticker ORDER BY place ROWS UNBOUNDED PRECEDING) AS streak
+            FROM (SELECT *, lag(close) OVER (PARTITION BY ticker ORDER BY place) AS previous
+                  FROM {numbered(source)})
         )
     )
     WHERE streak_length > {n}"""
@@ -152,11 +159,10 @@ def outlier_return(source: str, k: float = 3.0) -> str:
                || {number('((ret - mean) / deviation)', 1)} || ' std devs from mean' AS details
     FROM (
         SELECT *, avg(ret) OVER past AS mean, stddev_samp(ret) OVER past AS deviation
-        FROM (SELECT *, (adj_close / lag(adj_close) OVER (PARTITION BY ticker ORDER BY date, {TIES})
-                         - 1) * 100 AS ret
-              FROM {source})
-        WINDOW past AS (PARTITION BY ticker ORDER BY date, {TIES}
-                            ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING)
+        FROM (SELECT *, (adj_close / lag(adj_close) OVER (PARTITION BY ticker ORDER BY place) - 1)
+                        * 100 AS ret
+              FROM {numbered(source)})
+        WINDOW past AS (PARTITION BY ticker ORDER BY place ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING)
     )
     WHERE deviation > 0 AND abs(ret - mean) > {k} * deviation"""
 
