@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barproof.functions.text import history_line
@@ -16,23 +16,22 @@ _ANCHOR = "_anchor"
 
 
 def _anchored(prices: DataFrame, targets: DataFrame, keyed: bool, max_rows: int, span: int):
-    """Arrange the bars into series and mark those whose (ticker, date) is a target."""
-    keys = targets.select(*KEY).where(F.col("date").isNotNull()).distinct()
-    if not keyed:
-        marked = prices.join(keys.withColumn(_ANCHOR, F.lit(True)), KEY, "left")
-        series = arrange(marked, keyed, max_rows, extra_columns=(_ANCHOR,))
-        return series, series.with_context(before=span, after=span)
-    # Send targets along with the bars: one shuffle by ticker serves marking and windows alike.
-    bars = prices.select(*PRICE_COLUMNS).withColumn("_is_bar", F.lit(True))
-    both = bars.unionByName(keys.withColumn("_is_bar", F.lit(False)), allowMissingColumns=True)
-    has_target = ~F.min("_is_bar").over(Window.partitionBy(*KEY))
+    """Arrange the bars of tickers that have targets, marking the bars on a target day.
+
+    One join by ticker serves for both. If the targets are few, Spark broadcasts them and drops all
+    other tickers before any shuffle; if not, its shuffle by ticker is the one the windows need.
+    """
+    days = (
+        targets.where("date IS NOT NULL")
+        .groupBy("ticker")
+        .agg(F.collect_set("date").alias("_days"))  # distinct days: bounded by the calendar
+    )
     marked = (
-        both.repartition("ticker")
-        .withColumn(_ANCHOR, has_target)
-        .where("_is_bar")
-        .drop("_is_bar")
+        prices.select(*PRICE_COLUMNS)
+        .join(days, "ticker")
+        .selectExpr(*PRICE_COLUMNS, f"array_contains(_days, date) AS {_ANCHOR}")
     )
-    series = arrange(marked, keyed)
+    series = arrange(marked, keyed, max_rows, extra_columns=(_ANCHOR,), measured=prices)
     return series, series.with_context(before=span, after=span)
 
 

@@ -78,17 +78,19 @@ def arrange(
     keyed: bool = False,
     max_rows: int = MAX_ROWS,
     extra_columns: tuple[str, ...] = (),
+    measured: DataFrame | None = None,
 ) -> Series:
     """Arrange bars into series.
 
     Pass ``keyed=True`` when (ticker, date) is known to be unique: the stored ``prices`` table, or
     an aggregate grouped by that key. Otherwise one small count per ticker decides about cutting.
     Bars of one ticker and day are ordered by their values, so results never depend on task order.
+    ``measured`` names a cheaper table to count, if ``prices`` is derived from it.
     """
     if keyed:
         return Series(prices, ["date"])
     order = ["date", *BAR_VALUES, *extra_columns]
-    sizes = prices.groupBy("ticker").count()
+    sizes = (measured or prices).groupBy("ticker").count()
     found = sizes.agg(F.max("count").alias("largest"), F.sum("count").alias("total")).first()
     if found.largest is None or found.largest <= max_rows:
         return Series(prices, order)

@@ -7,12 +7,15 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barproof.sources.raw_bars import collect_bars
+from barproof.sources.raw_bars import select_bars, unavailable
 from barproof.sources.tables import upsert_prices
 from barproof.sources.universe import load_config
 
 logger = logging.getLogger(__name__)
 
+#: How many tickers without data the log names.
+SHOWN = 20
+
 
 def run_ingest(
     spark: SparkSession,
@@ -25,7 +28,16 @@ def run_ingest(
     """Ingest and return the counts of written rows and tickers."""
     config = load_config(spark, config_path)
     path = prices_path or config.db_path
-    bars = collect_bars(config.universe, raw, config.period, as_of, zones)
+    bars = select_bars(config.universe, raw, config.period, as_of, zones)
     counts = upsert_prices(spark, bars, path)
+    if not counts["rows"]:
+        raise unavailable(config.universe)
+    absent = config.universe.count() - counts["tickers"]
+    if absent:
+        found = bars.select("ticker").distinct().withColumnRenamed("ticker", "symbol")
+        names = config.universe.join(found, "symbol", "left_anti").orderBy("symbol").limit(SHOWN)
+        logger.warning(
+            "No data for %d ticker(s), such as %s", absent, ", ".join(r.symbol for r in names.collect())
+        )
     logger.info("Wrote %(rows)d row(s) covering %(tickers)d ticker(s)", counts)
     return counts

@@ -129,14 +129,23 @@ def missing_tickers(universe: DataFrame, raw: DataFrame) -> DataFrame:
     )
 
 
-def collect_bars(
+def unavailable(universe: DataFrame) -> TickerDataUnavailable:
+    """The error for a universe of which nothing has landed."""
+    named = [r.symbol for r in universe.orderBy("symbol").limit(NAMED_IN_ERROR + 1).collect()]
+    rest = ", ..." if len(named) > NAMED_IN_ERROR else ""
+    return TickerDataUnavailable(
+        "No data was found for any configured ticker: " + ", ".join(named[:NAMED_IN_ERROR]) + rest
+    )
+
+
+def select_bars(
     universe: DataFrame,
     raw: DataFrame,
     period: str = "1mo",
     as_of: date | None = None,
     zones: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Normalised bars of every configured ticker that has any; an error if none has.
+    """Normalised bars of the configured tickers within the look-back, which may be none.
 
     The look-back ends at ``as_of``, by default the last day that has landed.
     """
@@ -147,18 +156,18 @@ def collect_bars(
         bars = bars.where(F.col("date") >= first_day(period, until))
     if as_of:
         bars = bars.where(F.col("date") <= F.lit(as_of))
+    return bars
+
+
+def collect_bars(
+    universe: DataFrame,
+    raw: DataFrame,
+    period: str = "1mo",
+    as_of: date | None = None,
+    zones: dict[str, str] | None = None,
+) -> DataFrame:
+    """The selected bars; an error if there are none for any configured ticker."""
+    bars = select_bars(universe, raw, period, as_of, zones)
     if bars.isEmpty():
-        named = [
-            row.symbol
-            for row in missing_tickers(universe, recent)
-            .orderBy("symbol")
-            .limit(NAMED_IN_ERROR + 1)
-            .collect()
-        ]
-        rest = ", ..." if len(named) > NAMED_IN_ERROR else ""
-        raise TickerDataUnavailable(
-            "No data was found for any configured ticker: "
-            + ", ".join(named[:NAMED_IN_ERROR])
-            + rest
-        )
+        raise unavailable(universe)
     return bars
