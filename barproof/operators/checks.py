@@ -223,7 +223,7 @@ def all_flags(
     """All five checks as one set of flags, duplicates kept.
 
     Uncut series are shuffled and sorted once for all five checks: every bar yields an array of its
-    flags. Cut series share one ordered, checkpointed table instead.
+    flags. Cut series share one ordered table, written once, instead.
     """
     series = arrange(prices, keyed, max_rows)
     if not series.is_cut:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from barproof.schemas import BAR_VALUES, PRICE_COLUMNS
-from barproof.session import ensure_checkpoint_dir
+from barproof.session import materialize
 
 #: Rows of one ticker (or one block) that a single task may sort; about 200 MB of bars.
 MAX_ROWS = 2_000_000
@@ -107,18 +107,15 @@ def number_rows(df: DataFrame, order: list[str], parts: int) -> DataFrame:
 
     Range partitioning samples the sort key, so a key that holds a third of the rows is spread over
     many partitions. The input partition breaks the tie between exact copies, which lets Spark
-    spread even those. The checkpoint fixes the sampled ranges before the numbers are derived.
+    spread even those. Writing the table fixes the sampled ranges before numbers are derived.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    placed = (
+    placed = materialize(
         df.withColumn("_source", F.spark_partition_id())
         .repartitionByRange(parts, *order, "_source")
         .sortWithinPartitions(*order)
         .drop("_source")
         .withColumn("_id", F.monotonically_increasing_id())
-        .checkpoint()
-        .selectExpr("*", "shiftright(_id, 33) AS _part", f"_id & {(1 << 33) - 1} AS _place")
-    )
+    ).selectExpr("*", "shiftright(_id, 33) AS _part", f"_id & {(1 << 33) - 1} AS _place")
     # One row per range partition, so a single-task window and a broadcast are both bounded.
     until = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (

@@ -12,7 +12,7 @@ from barproof.functions.text import prompt_text
 from barproof.operators.flag_joins import unexplained_flags
 from barproof.operators.price_window import SPAN, history_lines
 from barproof.schemas import EXPLANATIONS, FLAG_COLUMNS, FLAG_KEY, FLAGS, KEY, conform
-from barproof.session import ensure_checkpoint_dir
+from barproof.session import materialize
 from barproof.sources.tables import append_table, read_prices, read_table
 
 RESULTS = T.StructType(
@@ -94,9 +94,8 @@ def run_explanations(
     flags = read_table(spark, flags_path, FLAGS)
     stored = read_table(spark, explanations_path, EXPLANATIONS)
     pending = prompts(prices, unexplained_flags(flags, stored), span)
-    # The checkpoint runs the user's function once; counting and appending read its files.
-    ensure_checkpoint_dir(spark)
-    results = explain(pending, explain_fn, parallelism).checkpoint()
+    # The user's function runs once; counting and appending read what it returned.
+    results = materialize(explain(pending, explain_fn, parallelism))
     counts = explain_counts(flags, results).first().asDict()
     if counts["newly_explained"]:
         new = results.where(F.col("status") == EXPLAINED)

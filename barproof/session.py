@@ -1,8 +1,9 @@
-"""Session helpers: the shared folder for checkpoints."""
+"""Session helpers: the shared folder, and tables written there between steps of a job."""
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -22,3 +23,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="barproof-checkpoint-")
     context.setCheckpointDir(configured)
     return context.getCheckpointDir()
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute a table once and go on from its files, which outlive any executor.
+
+    Parquet in the checkpoint folder instead of ``checkpoint()``: later steps then read only the
+    columns they need, and the optimizer knows the table's size.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

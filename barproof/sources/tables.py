@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import uuid
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barproof.functions.numeric import round_to_bigint
 from barproof.operators.summaries import repeated_keys
 from barproof.schemas import KEY, PRICES, conform
 
@@ -36,6 +39,17 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.read.schema(schema).parquet(path)
 
 
+def from_pandas(spark: SparkSession, frame: pd.DataFrame, schema: T.StructType) -> DataFrame:
+    """An in-memory frame as a table: columns by name, absent ones and NaN as NULL."""
+    named = pa.Table.from_pandas(frame.reindex(columns=schema.fieldNames()), preserve_index=False)
+    df = spark.createDataFrame(named)
+    fractional = [f.name for f in df.schema if isinstance(f.dataType, T.DoubleType)]
+    for field in schema:
+        if isinstance(field.dataType, T.LongType) and field.name in fractional:
+            df = df.withColumn(field.name, F.expr(round_to_bigint(field.name)))
+    return conform(df, schema)
+
+
 def month_of(day="date"):
     return F.date_format(day, "yyyy-MM")
 
