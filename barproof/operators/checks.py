@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barproof.functions import text
@@ -48,65 +48,56 @@ def _as_flags(df: DataFrame, flag_type: str, details: str) -> DataFrame:
 # --- columns computed over a ticker's series ------------------------------------------------
 
 
-def _with_streaks(series: Series, df: DataFrame) -> DataFrame:
-    """Add ``streak_length``: how many bars in a row, up to this one, had an unchanged close.
+def _profile(series: Series, before: int) -> DataFrame:
+    """Add to each bar what the checks need to know about the bars around it.
 
-    A streak starts where the previous close is NULL or differs. A NULL close itself does not
-    differ from anything, so it continues the streak.
+    All windows share one layout, so they cost one shuffle and one sort, and run as two operators:
+    neighbours first, then running values. Columns that a check does not use are pruned.
     """
-    window = series.window()
-    so_far = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # Context rows do not count as starts, since their own previous bar may be out of sight.
-    starts = (
-        f"CASE WHEN NOT {CONTEXT} AND (_previous_close IS NULL OR close <> _previous_close) "
-        f"THEN {POSITION} END"
+    over = series.over()
+    df = series.with_context(before=before).selectExpr(
+        "*",
+        f"lag(close) {over} AS _previous_close",
+        f"lag(adj_close) {over} AS _previous_adj",
+        f"lag(date) {over} AS previous_date",
+        f"lead(date) {over} AS _next_date",
+        f"min(exchange) {series.over('UNBOUNDED PRECEDING', 'UNBOUNDED FOLLOWING')} AS _exchange",
     )
-    df = df.withColumn("_previous_close", F.lag("close").over(window)).withColumn(
-        "_start_here", F.expr(starts)
+    # A streak starts where the previous close is NULL or differs. A NULL close itself does not
+    # differ from anything, so it continues the streak. Context rows do not count as starts, since
+    # their own previous bar may be out of sight.
+    starts_streak = f"NOT {CONTEXT} AND (_previous_close IS NULL OR close <> _previous_close)"
+    starts_day = "previous_date IS NULL OR date <> previous_date"
+    skipped = f"{weekdays_before('date')} - {weekdays_before('date_add(previous_date, 1)')}"
+    df = df.selectExpr(
+        "*",
+        f"CASE WHEN {starts_streak} THEN {POSITION} END AS _streak_start",
+        f"CASE WHEN {starts_day} THEN {POSITION} END AS _day_start",
+        f"({ieee_divide('adj_close', '_previous_adj')} - 1) * 100 AS pct_return",
+        f"CASE WHEN datediff(date, previous_date) > 1 THEN {skipped} ELSE 0 END AS weekdays_skipped",
     )
-    start = F.max("_start_here").over(so_far)
+    so_far = series.over("UNBOUNDED PRECEDING", "CURRENT ROW")
+    trailing = series.over(f"{TRAILING} PRECEDING", "1 PRECEDING")
+    start = f"max(_streak_start) {so_far}"
     if series.is_cut:
-        # A block may begin inside a streak: take over the last start found in earlier blocks.
-        earlier = (
-            Window.partitionBy("ticker")
-            .orderBy(BLOCK)
-            .rowsBetween(Window.unboundedPreceding, -1)
-        )
-        carried = (
-            df.groupBy("ticker", BLOCK)
-            .agg(F.max("_start_here").alias("_last_start"))
-            .select("ticker", BLOCK, F.max("_last_start").over(earlier).alias("_carried"))
-        )
-        df = df.join(carried, ["ticker", BLOCK])
-        start = F.coalesce(start, F.col("_carried"))
-    return df.withColumn("streak_length", F.col(POSITION) - start + 1)
-
-
-def _with_returns(series: Series, df: DataFrame) -> DataFrame:
-    """Add the percent return and the mean and sample deviation of the trailing returns."""
-    window = series.window()
-    trailing = window.rowsBetween(-TRAILING, -1)
-    return (
-        df.withColumn("_previous_adj", F.lag("adj_close").over(window))
-        .withColumn("pct_return", F.expr(f"({ieee_divide('adj_close', '_previous_adj')} - 1) * 100"))
-        .withColumns(
-            {
-                "rolling_mean": F.avg("pct_return").over(trailing),
-                "rolling_std": F.stddev_samp("pct_return").over(trailing),
-            }
-        )
+        df = df.join(_streaks_carried_over(df), ["ticker", BLOCK])
+        start = f"coalesce({start}, _carried)"
+    return df.selectExpr(
+        "*",
+        f"{POSITION} - {start} + 1 AS streak_length",
+        f"{POSITION} - max(_day_start) {so_far} + 1 AS occurrences",
+        f"avg(pct_return) {trailing} AS rolling_mean",
+        f"stddev_samp(pct_return) {trailing} AS rolling_std",
     )
 
 
-def _with_gaps(series: Series, df: DataFrame) -> DataFrame:
-    """Add the previous bar's day, and the weekdays strictly between the two days."""
-    skipped = (
-        "CASE WHEN datediff(date, previous_date) > 1 "
-        f"THEN {weekdays_before('date')} - {weekdays_before('date_add(previous_date, 1)')} "
-        "ELSE 0 END"
-    )
-    return df.withColumn("previous_date", F.lag("date").over(series.window())).withColumn(
-        "weekdays_skipped", F.expr(skipped)
+def _streaks_carried_over(df: DataFrame) -> DataFrame:
+    """For each block, the last start of a streak in the ticker's earlier blocks."""
+    earlier = "OVER (PARTITION BY ticker ORDER BY {} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    return (
+        df.groupBy("ticker", BLOCK)
+        .agg(F.max("_streak_start").alias("_last_start"))
+        .selectExpr("ticker", BLOCK, f"max(_last_start) {earlier.format(BLOCK)} AS _carried")
     )
 
 
@@ -122,6 +113,8 @@ def _is_outlier(k: float) -> str:
 
 
 HAS_GAP = "weekdays_skipped > 0"
+# The last bar of a day knows how many there were.
+IS_REPEATED_DAY = "occurrences > 1 AND (_next_date IS NULL OR _next_date <> date)"
 DAYS_BETWEEN = "sequence(date_add(previous_date, 1), date_sub(date, 1))"
 STALE_DETAILS = text.stale_price_details("close", "streak_length")
 OUTLIER_DETAILS = text.outlier_return_details("pct_return", "rolling_mean", "rolling_std")
@@ -151,23 +144,20 @@ def missing_dates(
 
 
 def _missing_dates(series: Series, calendar: Calendar) -> DataFrame:
-    df = _with_gaps(series, series.with_context(before=1))
+    df = _profile(series, before=1)
     if series.is_cut:
         bounds = ticker_bounds(series.rows).select(
-            "ticker", "exchange", calendar.known("exchange").alias("_known")
+            "ticker", F.col("exchange").alias("_exchange"), calendar.known("exchange").alias("_known")
         )
-        df = df.drop("exchange").join(bounds, "ticker").where(f"_known AND NOT {CONTEXT}")
+        df = df.drop("_exchange").join(bounds, "ticker").where(f"_known AND NOT {CONTEXT}")
     else:
-        whole = Window.partitionBy("ticker")
-        df = df.withColumn("exchange", F.min("exchange").over(whole)).where(
-            calendar.known("exchange")
-        )
+        df = df.where(calendar.known("_exchange"))
     days = (
         df.where(HAS_GAP)
-        .selectExpr("ticker", "exchange", f"explode({DAYS_BETWEEN}) AS date")
+        .selectExpr("ticker", "_exchange", f"explode({DAYS_BETWEEN}) AS date")
         .where(is_weekday("date"))
     )
-    expected = calendar.drop_holidays(days, "exchange")
+    expected = calendar.drop_holidays(days, "_exchange")
     return _as_flags(expected, "MISSING_DATES", text.missing_date_details("date"))
 
 
@@ -179,8 +169,7 @@ def stale_price(
 
 
 def _stale_price(series: Series, n: int) -> DataFrame:
-    df = _with_streaks(series, series.with_context(before=1))
-    stale = df.where(f"NOT {CONTEXT} AND {_has_stale_price(n)}")
+    stale = _profile(series, before=1).where(f"NOT {CONTEXT} AND {_has_stale_price(n)}")
     return _as_flags(stale, "STALE_PRICE", STALE_DETAILS)
 
 
@@ -192,8 +181,7 @@ def outlier_return(
 
 
 def _outlier_return(series: Series, k: float) -> DataFrame:
-    df = _with_returns(series, series.with_context(before=REACH))
-    outliers = df.where(f"NOT {CONTEXT} AND {_is_outlier(k)}")
+    outliers = _profile(series, before=REACH).where(f"NOT {CONTEXT} AND {_is_outlier(k)}")
     return _as_flags(outliers, "OUTLIER_RETURN", OUTLIER_DETAILS)
 
 
@@ -241,21 +229,11 @@ def all_flags(
 
 
 def _all_flags_in_one_pass(series: Series, calendar: Calendar, n: int, k: float) -> DataFrame:
-    df = series.with_context(before=REACH)
-    df = _with_gaps(series, _with_returns(series, _with_streaks(series, df)))
-    # The rows of a ticker are together by now: neither window shuffles or sorts again.
-    df = df.withColumns(
-        {
-            "exchange": F.min("exchange").over(Window.partitionBy("ticker")),
-            "occurrences": F.count(F.lit(1)).over(Window.partitionBy("ticker", "date")),
-        }
-    )
-    first_of_day = "(previous_date IS NULL OR previous_date <> date)"
     on_this_bar = [
         (_has_stale_price(n), _flag("date", "STALE_PRICE", STALE_DETAILS)),
         (_is_outlier(k), _flag("date", "OUTLIER_RETURN", OUTLIER_DETAILS)),
         (
-            f"occurrences > 1 AND {first_of_day}",
+            IS_REPEATED_DAY,
             _flag("date", "DUPLICATE_ROW", text.duplicate_row_details("occurrences")),
         ),
         (
@@ -270,11 +248,14 @@ def _all_flags_in_one_pass(series: Series, calendar: Calendar, n: int, k: float)
         f"transform(filter({DAYS_BETWEEN}, day -> {is_weekday('day')}), day -> {missing}) "
         "ELSE array() END"
     )
-    flags = df.where(calendar.known("exchange")).selectExpr(
-        "ticker", "exchange", f"inline(concat(array_compact(array({cases})), {in_the_gap}))"
+    bars = _profile(series, before=REACH).where(calendar.known("_exchange"))
+    # A plain filter first: building arrays costs far more than the few conditions.
+    any_flag = " OR ".join(f"({condition})" for condition, _ in on_this_bar)
+    flags = bars.where(f"{HAS_GAP} OR {any_flag}").selectExpr(
+        "ticker", "_exchange", f"inline(concat(array_compact(array({cases})), {in_the_gap}))"
     )
     # Only missing days are compared with the holidays; a NULL exchange matches none.
     flags = flags.selectExpr(
-        "*", "CASE WHEN flag_type = 'MISSING_DATES' THEN exchange END AS _calendar"
+        "*", "CASE WHEN flag_type = 'MISSING_DATES' THEN _exchange END AS _calendar"
     )
     return calendar.drop_holidays(flags, "_calendar").select(*FLAG_COLUMNS)

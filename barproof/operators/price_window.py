@@ -37,14 +37,14 @@ def _anchored(prices: DataFrame, targets: DataFrame, keyed: bool, max_rows: int,
 
 def _collect_around(series: Series, df: DataFrame, span: int) -> DataFrame:
     """Keep the anchors, each with ``history``: its surrounding bars in order."""
-    frame = series.window().rowsBetween(-span, span)
-    bar = F.struct("date", *BAR_VALUES)
+    around = series.over(f"{span} PRECEDING", f"{span} FOLLOWING")
+    bar = f"struct(date, {', '.join(BAR_VALUES)})"
     # Every bar within reach of an anchor survives this filter, so frames around anchors stay whole,
     # while arrays are built only near anchors.
     return (
-        df.withColumn("_near", F.max(_ANCHOR).over(frame))
+        df.selectExpr("*", f"max({_ANCHOR}) {around} AS _near")
         .where("_near")
-        .withColumn("history", F.collect_list(bar).over(frame))
+        .selectExpr("*", f"collect_list({bar}) {around} AS history")
         .where(f"{_ANCHOR} AND NOT {CONTEXT}")
     )
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window, WindowSpec
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barproof.schemas import BAR_VALUES, PRICE_COLUMNS
@@ -45,8 +45,10 @@ class Series:
     def keys(self) -> list[str]:
         return ["ticker", BLOCK] if self.is_cut else ["ticker"]
 
-    def window(self) -> WindowSpec:
-        return Window.partitionBy(*self.keys).orderBy(*self.order)
+    def over(self, first: str = "", last: str = "") -> str:
+        """The OVER clause of a window along the series, with a frame of rows if one is given."""
+        frame = f" ROWS BETWEEN {first} AND {last}" if first else ""
+        return f"OVER (PARTITION BY {', '.join(self.keys)} ORDER BY {', '.join(self.order)}{frame})"
 
     def with_context(self, before: int = 0, after: int = 0) -> DataFrame:
         """Return rows with ``_position``, plus context copies if the series are cut.
@@ -55,8 +57,9 @@ class Series:
         marked in ``_context`` and must be dropped once the windows are computed.
         """
         if not self.is_cut:
-            position = F.row_number().over(self.window()).cast("bigint")
-            return self.rows.withColumns({POSITION: position, CONTEXT: F.lit(False)})
+            return self.rows.selectExpr(
+                "*", f"bigint(row_number() {self.over()}) AS {POSITION}", f"false AS {CONTEXT}"
+            )
         size = self.block_rows
         if max(before, after) > size:
             raise ValueError(f"A frame of {max(before, after)} rows does not fit blocks of {size}.")
@@ -117,14 +120,14 @@ def number_rows(df: DataFrame, order: list[str], parts: int) -> DataFrame:
         .withColumn("_id", F.monotonically_increasing_id())
     ).selectExpr("*", "shiftright(_id, 33) AS _part", f"_id & {(1 << 33) - 1} AS _place")
     # One row per range partition, so a single-task window and a broadcast are both bounded.
-    until = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    until = "OVER (ORDER BY _part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     offsets = (
         placed.groupBy("_part")
         .count()
-        .select("_part", F.coalesce(F.sum("count").over(until), F.lit(0)).alias("_offset"))
+        .selectExpr("_part", f"coalesce(sum(count) {until}, 0) AS _offset")
     )
     return (
         placed.join(F.broadcast(offsets), "_part")
-        .withColumn(POSITION, F.col("_offset") + F.col("_place"))
+        .selectExpr("*", f"_offset + _place AS {POSITION}")
         .drop("_id", "_part", "_place", "_offset")
     )
