@@ -38,12 +38,17 @@ def _anchored(prices: DataFrame, targets: DataFrame, keyed: bool, max_rows: int,
 def _collect_around(series: Series, df: DataFrame, span: int) -> DataFrame:
     """Keep the anchors, each with ``history``: its surrounding bars in order."""
     around = series.over(f"{span} PRECEDING", f"{span} FOLLOWING")
+    until = series.over("UNBOUNDED PRECEDING", f"{span} FOLLOWING")
+    before = series.over("UNBOUNDED PRECEDING", f"{span + 1} PRECEDING")
     bar = f"struct(date, {', '.join(BAR_VALUES)})"
     # Every bar within reach of an anchor survives this filter, so frames around anchors stay whole,
-    # while arrays are built only near anchors.
+    # while arrays are built only near anchors. Two growing frames count the anchors in reach, with
+    # one update per row instead of one per row and frame member.
     return (
-        df.selectExpr("*", f"max({_ANCHOR}) {around} AS _near")
-        .where("_near")
+        df.selectExpr(
+            "*", f"count_if({_ANCHOR}) {until} - count_if({_ANCHOR}) {before} AS _anchors_in_reach"
+        )
+        .where("_anchors_in_reach > 0")
         .selectExpr("*", f"collect_list({bar}) {around} AS history")
         .where(f"{_ANCHOR} AND NOT {CONTEXT}")
     )
