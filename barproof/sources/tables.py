@@ -79,8 +79,9 @@ def upsert_prices(spark: SparkSession, batch: DataFrame, path: str) -> dict[str,
     batch = conform(batch, PRICES)
     found = (
         batch.groupBy(*KEY)
-        .count()
+        .agg(F.count(F.lit(1)).alias("count"), F.expr("count_if(exchange IS NULL)").alias("homeless"))
         .agg(
+            F.expr("bool_or(ticker IS NULL OR date IS NULL OR homeless > 0)").alias("incomplete"),
             F.coalesce(F.sum("count"), F.lit(0)).alias("rows"),
             F.count_distinct("ticker").alias("tickers"),
             F.max("count").alias("most"),
@@ -88,6 +89,8 @@ def upsert_prices(spark: SparkSession, batch: DataFrame, path: str) -> dict[str,
         )
         .first()
     )
+    if found.incomplete:
+        raise ValueError("The batch holds rows without ticker, exchange or date.")
     if found.most is not None and found.most > 1:
         examples = repeated_keys(batch).limit(5).collect()
         raise DuplicateKeyError(
