@@ -17,6 +17,11 @@ from barproof.schemas import KEY, PRICES, conform
 #: Prices are stored in one folder per month, so that a daily batch rewrites recent months only.
 MONTH = "month"
 
+#: Size of sorted rows that a task should get.
+TASK_BYTES = 256 * 1024 * 1024
+#: How much a compressed columnar byte grows as a row in memory.
+ROW_BYTES_PER_STORED_BYTE = 4
+
 
 class DuplicateKeyError(ValueError):
     """A batch repeats a (ticker, date)."""
@@ -32,6 +37,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jvm_path)
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    fs, jvm_path = _hadoop_path(spark, path)
+    return fs.getContentSummary(jvm_path).getLength() if fs.exists(jvm_path) else 0
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Read a stored table, or an empty one of the same schema if nothing was stored yet."""
     if not exists(spark, path):
@@ -64,6 +74,20 @@ def read_prices(spark: SparkSession, path: str) -> DataFrame:
     return _stored_prices(spark, path).select(*PRICES.fieldNames())
 
 
+def read_series(spark: SparkSession, path: str, task_bytes: int = TASK_BYTES) -> DataFrame:
+    """The stored prices, spread by ticker over as many tasks as their size calls for.
+
+    Adaptive execution merges small shuffle partitions but cannot split a hash partition, so a table
+    too large for the session's number of partitions gets a number of its own. Windows by ticker
+    work on this partitioning as it is.
+    """
+    prices = read_prices(spark, path)
+    tasks = stored_bytes(spark, path) * ROW_BYTES_PER_STORED_BYTE // task_bytes
+    if tasks <= int(spark.conf.get("spark.sql.shuffle.partitions")):
+        return prices
+    return prices.repartition(tasks, "ticker")
+
+
 def upserted(old: DataFrame, batch: DataFrame) -> DataFrame:
     """``old`` with the rows of ``batch`` put in the place of those with the same (ticker, date)."""
     kept = old.join(batch.select(*KEY).distinct(), KEY, "left_anti")

@@ -5,10 +5,11 @@ from pathlib import Path
 import pytest
 from conftest import weekdays
 
+from barproof.operators.checks import all_flags
 from barproof.plans.pipeline import Paths, StageFailed, run_pipeline
 from barproof.plans.validate import run_validations
 from barproof.schemas import FLAGS
-from barproof.sources.tables import read_table, upsert_prices
+from barproof.sources.tables import read_series, read_table, upsert_prices
 
 from conftest import bar, prices_of
 from test_report import saved
@@ -67,6 +68,17 @@ def test_failing_stage_is_named(spark, calendar, setting):
     assert failure.value.stage == "Validation"
 
 
+def test_large_tables_get_more_tasks_and_still_one_shuffle(spark, calendar, tmp_path):
+    path = str(tmp_path / "prices")
+    upsert_prices(spark, prices_of(spark, [bar("AAA", d, 5.0) for d in DAYS]), path)
+    small, large = read_series(spark, path), read_series(spark, path, task_bytes=100)
+    flags = all_flags(large, calendar, keyed=True)
+    plan = flags._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "REPARTITION_BY_NUM" in plan
+    assert "Exchange" not in small._jdf.queryExecution().executedPlan().toString()
+    assert flags.count() == all_flags(small, calendar, keyed=True).count() > 0
+
+
 def test_rerun_of_checks_replaces_flags_and_failure_keeps_them(spark, calendar, tmp_path):
     prices, flags = str(tmp_path / "prices"), str(tmp_path / "flags")
     upsert_prices(spark, prices_of(spark, [bar("AAA", d, 5.0) for d in DAYS[:6]]), prices)
