@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barproof.llm import content_sort, mixing
+from barproof.llm import content_sort, mixing, url_filter, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,9 +20,13 @@ def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_content_sort_dedup": lambda spark, sf: content_sort.content_sort_dedup(_documents(spark, sf)),
     "op4_mix_sources": lambda spark, sf: mixing.mix(_documents(spark, sf)),
+    "op5_url_filter": lambda spark, sf: url_filter.url_filter(_pages(spark, sf), url_filter.rules_frame(spark)),
+    "op8_warc": lambda spark, sf: warc.archived_pages(_pages(spark, sf)),
 }
 
 SQL: dict[str, str] = {
     "op2_content_sort_dedup": content_sort.SQL,
     "op4_mix_sources": mixing.SQL,
+    "op5_url_filter": url_filter.SQL,
+    "op8_warc": warc.SQL,
 }
