@@ -1,27 +1,47 @@
 """The registered query of each operator, and its SQL where SQL can express it."""
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barproof.llm import content_sort, mixing, url_filter, warc
+from barproof.llm import content_sort, language, mixing, toxicity, url_filter, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def importable(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the library from wherever the driver did.
+
+    On a cluster the library is shipped with ``--py-files``.
+    """
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+
+
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return _table(spark, sf_dir, "documents")
+
+
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "labels")
 
 
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return _table(spark, sf_dir, "pages")
 
 
 QUERIES: dict[str, Query] = {
     "op2_content_sort_dedup": lambda spark, sf: content_sort.content_sort_dedup(_documents(spark, sf)),
+    "op3_toxicity": lambda spark, sf: toxicity.toxicity(_documents(spark, sf), _labels(spark, sf)),
     "op4_mix_sources": lambda spark, sf: mixing.mix(_documents(spark, sf)),
     "op5_url_filter": lambda spark, sf: url_filter.url_filter(_pages(spark, sf), url_filter.rules_frame(spark)),
     "op8_warc": lambda spark, sf: warc.archived_pages(_pages(spark, sf)),
+    "op9_language_id": lambda spark, sf: language.language_id(_documents(spark, sf)),
 }
 
 SQL: dict[str, str] = {
