@@ -5,7 +5,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barproof.llm import content_sort, language, mixing, toxicity, url_filter, warc
+from barproof.llm import content_sort, language, mixing, packing, signature_tree, toxicity, url_filter, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,15 +36,20 @@ def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_ngram_jaccard_join": lambda spark, sf: signature_tree.ngram_jaccard_join(
+        _documents(spark, sf), shingle=3, num=90, den=100
+    ),
     "op2_content_sort_dedup": lambda spark, sf: content_sort.content_sort_dedup(_documents(spark, sf)),
     "op3_toxicity": lambda spark, sf: toxicity.toxicity(_documents(spark, sf), _labels(spark, sf)),
     "op4_mix_sources": lambda spark, sf: mixing.mix(_documents(spark, sf)),
     "op5_url_filter": lambda spark, sf: url_filter.url_filter(_pages(spark, sf), url_filter.rules_frame(spark)),
+    "op6_pack_tokens": lambda spark, sf: packing.pack(_documents(spark, sf)),
     "op8_warc": lambda spark, sf: warc.archived_pages(_pages(spark, sf)),
     "op9_language_id": lambda spark, sf: language.language_id(_documents(spark, sf)),
 }
 
 SQL: dict[str, str] = {
+    "op1_ngram_jaccard_join": signature_tree.SQL,
     "op2_content_sort_dedup": content_sort.SQL,
     "op4_mix_sources": mixing.SQL,
     "op5_url_filter": url_filter.SQL,
