@@ -5,7 +5,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barproof.llm import content_sort, language, mixing, packing, signature_tree, toxicity, url_filter, warc
+from barproof.llm import content_sort, language, latent, mixing, packing, signature_tree, toxicity, url_filter, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,6 +44,9 @@ QUERIES: dict[str, Query] = {
     "op4_mix_sources": lambda spark, sf: mixing.mix(_documents(spark, sf)),
     "op5_url_filter": lambda spark, sf: url_filter.url_filter(_pages(spark, sf), url_filter.rules_frame(spark)),
     "op6_pack_tokens": lambda spark, sf: packing.pack(_documents(spark, sf)),
+    "op7_decontaminate": lambda spark, sf: latent.decontaminate(
+        _documents(spark, sf), _table(spark, sf, "benchmark")
+    ),
     "op8_warc": lambda spark, sf: warc.archived_pages(_pages(spark, sf)),
     "op9_language_id": lambda spark, sf: language.language_id(_documents(spark, sf)),
 }

@@ -66,10 +66,15 @@ def chunks(sizes: list[int], most: int = CHUNK) -> Iterator[slice]:
         yield slice(start, len(sizes))
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+#: For each byte whether it stands between words: white space, or all ASCII but letters and digits.
+SPACE = np.array([b == 32 or 9 <= b <= 13 for b in range(256)])
+SIGNS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
+
+
+def word_hashes(texts: list[bytes], between: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of all texts, A-Z lower-cased, and where each text's begin (and the end)."""
     data = np.frombuffer(b"\n".join([b"", *texts, b""]).lower(), np.uint8)
-    space = (data == 32) | ((data >= 9) & (data <= 13))
+    space = between[data]
     starts = np.flatnonzero(space[:-1] & ~space[1:]) + 1
     ends = np.flatnonzero(~space[:-1] & space[1:]) + 1
     hashes = mixed(span_hashes(prefix_hashes(data), starts, ends))
