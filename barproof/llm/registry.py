@@ -5,7 +5,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barproof.llm import content_sort, language, latent, mixing, packing, signature_tree, toxicity, url_filter, warc
+from barproof.llm import content_sort, language, latent, mixing, packing, signature_tree, suffix_sort, toxicity, url_filter, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,6 +49,7 @@ QUERIES: dict[str, Query] = {
     ),
     "op8_warc": lambda spark, sf: warc.archived_pages(_pages(spark, sf)),
     "op9_language_id": lambda spark, sf: language.language_id(_documents(spark, sf)),
+    "op10_suffix_sort_dedup": lambda spark, sf: suffix_sort.remove_repeats(_documents(spark, sf)).drop("kept"),
 }
 
 SQL: dict[str, str] = {
