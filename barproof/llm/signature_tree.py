@@ -111,15 +111,11 @@ class Groups:
 class Members:
     """Members of a block with what decides links between them: bitmaps, and token sets if given."""
 
-    def __init__(self, frame: pd.DataFrame, num: int, den: int):
+    def __init__(self, docs: np.ndarray, sizes: np.ndarray, maps: list[bytes], sets: list[bytes] | None, num: int, den: int):
         self.num, self.den = num, den
-        frame = frame.sort_values(["n", "doc"], kind="stable")
-        self.docs = frame["doc"].to_numpy(np.int64)
-        self.sizes = frame["n"].to_numpy(np.int64)
-        self.maps = np.frombuffer(b"".join(frame["map"]), np.uint64).reshape(len(frame), BITS // 64)
-        self.sets = None
-        if "tokens" in frame:
-            self.sets = [np.frombuffer(bytes(t), np.uint64) for t in frame["tokens"]]
+        self.docs, self.sizes = docs, sizes
+        self.maps = np.frombuffer(b"".join(maps), np.uint64).reshape(len(docs), BITS // 64)
+        self.sets = None if sets is None else [np.frombuffer(t, np.uint64) for t in sets]
 
     def links(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
         """For members ``one`` against members ``two``: where the bitmaps allow a link."""
@@ -149,60 +145,89 @@ class Members:
                 groups.join(a, b)
 
 
-def joined(frame: pd.DataFrame, num: int, den: int) -> pd.DataFrame:
-    """Each member's group in one task: (doc, least), least being the group's smallest doc.
+def joined(members: Members, side: np.ndarray, head: int) -> np.ndarray:
+    """The smallest document of each member's group, in one task. Members are in the order of sizes.
 
-    ``frame``: doc, n, map, tokens (perhaps), side. Members of side 0 are compared with each other
-    in one tree; where there is a side 1, its members are compared with those of side 0 only.
-    The smallest document of side 0 comes first against all: in a group of near copies it links
-    most, and the traversal passes over what is linked already.
+    Members of side 0 are compared with each other in one tree; where there is a side 1, its
+    members are compared with those of side 0 only. The block's head comes first against all: in a
+    group of near copies it links most, and the traversal passes over what is linked already.
     """
-    members = Members(frame, num, den)
-    order = frame.sort_values(["n", "doc"], kind="stable")
-    side = order["side"].to_numpy()
     groups = Groups(len(members.docs))
     zero, one = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-    tree = SignatureTree(members.sizes[zero], members.maps[zero])
+    num, den = members.num, members.den
     if len(one):
+        tree = SignatureTree(members.sizes[zero], members.maps[zero])
         other = SignatureTree(members.sizes[one], members.maps[one])
         for left, right in leaf_pairs(tree, other, num, den):
             members.connect(groups, zero[left], one[right])
     else:
-        first = zero[[members.docs[zero].argmin()]]
-        for start in range(0, len(zero), 256):
+        first = np.flatnonzero(members.docs == head)[:1]
+        for start in range(0, len(zero) if len(first) else 0, 256):
             members.connect(groups, first, zero[start : start + 256])
-        for left, right in leaf_pairs(tree, tree, num, den):
-            members.connect(groups, zero[left], zero[right])
+        if (groups.of != groups.of[0]).any():
+            tree = SignatureTree(members.sizes[zero], members.maps[zero])
+            for left, right in leaf_pairs(tree, tree, num, den):
+                members.connect(groups, zero[left], zero[right])
     least = np.full(len(groups.of), np.iinfo(np.int64).max)
     np.minimum.at(least, groups.of, members.docs)
-    return pd.DataFrame({"doc": members.docs, "least": least[groups.of]})
+    return least[groups.of]
 
 
 def _tasks(members: DataFrame, num: int, den: int, more: list[str]) -> DataFrame:
-    """Run ``joined`` on (block, chunk, other): (block, chunk, doc, least)."""
+    """Run ``joined`` on each (block, chunk, other): (block, chunk, doc, least).
 
-    def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        out = joined(frame, num, den)
-        return out.assign(block=key[0], chunk=key[1])
+    Groups are read one after the other from sorted partitions; one group is in memory at a time.
+    """
+    key = ["block", "chunk", "other"]
+    columns = [*key, "side", "doc", "n", "map", *more]
+
+    def grouped(rows: pd.DataFrame) -> Iterator[tuple[tuple[int, int], np.ndarray, np.ndarray]]:
+        keys = rows[key].to_numpy(np.int64)
+        bounds = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]).any(axis=1))).tolist() + [len(rows)]
+        docs, sizes = rows["doc"].to_numpy(np.int64), rows["n"].to_numpy(np.int64)
+        side, maps = rows["side"].to_numpy(), rows["map"].tolist()
+        sets = rows["tokens"].tolist() if more else None
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+            own = Members(docs[a:b], sizes[a:b], maps[a:b], sets[a:b] if sets else None, num, den)
+            yield (keys[a, 0], keys[a, 1]), docs[a:b], joined(own, side[a:b], keys[a, 0])
+
+    def answered(rows: pd.DataFrame) -> pd.DataFrame:
+        parts = [
+            np.column_stack([np.full(len(docs), block), np.full(len(docs), chunk), docs, least])
+            for (block, chunk), docs, least in grouped(rows)
+        ]
+        return pd.DataFrame(np.concatenate(parts), columns=["block", "chunk", "doc", "least"])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        for batch in batches:
+            held.append(batch)
+            # The last group may go on in the next batch.
+            if not batch.empty and (held[0][key].iloc[0] != batch[key].iloc[-1]).any():
+                rows = pd.concat(held, ignore_index=True)
+                open_ = (rows[key] == rows[key].iloc[-1]).all(axis=1)
+                yield answered(rows[~open_])
+                held = [rows[open_]]
+        if held and sum(map(len, held)):
+            yield answered(pd.concat(held, ignore_index=True))
 
-    columns = ["block", "chunk", "other", "side", "doc", "n", "map", *more]
     return (
         members.select(*columns)
-        .groupBy("block", "chunk", "other")
-        .applyInPandas(run, "block long, chunk int, doc long, least long")
+        .repartition(*key)
+        .sortWithinPartitions(*key, "n", "doc")
+        .mapInPandas(run, "block long, chunk int, doc long, least long")
     )
 
 
 def block_links(members: DataFrame, num: int, den: int) -> DataFrame:
     """Links (src, dst) that connect what is linked within each block.
 
-    ``members``: block, doc, n, map and perhaps tokens; block is the smallest doc in it. Without
-    tokens, links are those the bitmaps allow.
+    ``members``: block, doc, n, map and perhaps tokens; a block is named by one document in it, its
+    head. Without tokens, links are those the bitmaps allow.
 
     A block of any size is dealt into chunks of bounded tokens and members, each with a tree of its
-    own that has the block's smallest document besides. Members that reach that document need no
-    further look at each other: they are one group. Only the others are compared with the other
-    chunks, chunk by chunk.
+    own that has the block's head besides. Members that reach the head need no further look at each
+    other: they are one group. Only the others are compared with the other chunks, chunk by chunk.
     """
     more = [c for c in members.columns if c == "tokens"]
     weight = F.greatest(
@@ -214,7 +239,7 @@ def block_links(members: DataFrame, num: int, den: int) -> DataFrame:
         "chunk", F.pmod(F.xxhash64("doc"), F.col("chunks")).cast("int")
     )
     spare = dealt.withColumn("other", F.lit(-1)).withColumn("side", F.lit(0))
-    # The smallest document goes to each chunk; where it is already, once is enough.
+    # The head goes to each chunk; where it is already, once is enough.
     heads = (
         spare.where("doc = block and chunks > 1")
         .withColumn("own", F.col("chunk"))
@@ -224,7 +249,14 @@ def block_links(members: DataFrame, num: int, den: int) -> DataFrame:
     )
     first = materialize(_tasks(spare.unionByName(heads), num, den, more))
     links = first.where("doc <> least").select(F.col("doc").alias("src"), F.col("least").alias("dst"))
-    apart = first.join(several.select("block"), "block").where("least <> block and doc <> block")
+    with_head = first.where("doc = block").select("block", "chunk", F.col("least").alias("reached"))
+    apart = (
+        first.join(several.select("block"), "block")
+        .join(with_head, ["block", "chunk"])
+        .where("least <> reached")
+        .select("block", "doc")
+        .distinct()
+    )
     if apart.isEmpty():
         return links
     rest = materialize(apart.select("block", "doc", F.pmod(F.xxhash64("doc", F.lit(1)), F.lit(1 << 30)).alias("deal")))
@@ -300,7 +332,7 @@ def _common_tokens(docs: DataFrame, shingle: int) -> np.ndarray:
 
 
 def _prefixes(docs: DataFrame, shingle: int, num: int, den: int, common: np.ndarray) -> DataFrame:
-    """(token, doc_id, common) for the tokens of which two linked sets share one at least.
+    """(token, doc_id, n, common) for the tokens of which two linked sets share one at least.
 
     All sets are put in one order: rare tokens first, then the common ones, each by hash. Linked
     sets overlap in num / den of their sizes, so they share a token among the first n - overlap + 1.
@@ -311,7 +343,7 @@ def _prefixes(docs: DataFrame, shingle: int, num: int, den: int, common: np.ndar
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         often, seen = shared.value, set()
         for batch in batches:
-            tokens_out, docs_out, flags_out = [], [], []
+            tokens_out, docs_out, sizes_out, flags_out = [], [], [], []
             for doc_id, tokens in zip(batch["doc_id"], _sets(batch["text"], shingle), strict=True):
                 n = len(tokens)
                 if not n:
@@ -329,50 +361,67 @@ def _prefixes(docs: DataFrame, shingle: int, num: int, den: int, common: np.ndar
                 tokens_out.append(tokens[first])
                 flags_out.append(is_common[first])
                 docs_out.append(np.full(len(first), doc_id, np.int64))
+                sizes_out.append(np.full(len(first), n, np.int32))
             if tokens_out:
                 yield pd.DataFrame(
                     {
                         "token": np.concatenate(tokens_out).view(np.int64),
                         "doc_id": np.concatenate(docs_out),
+                        "n": np.concatenate(sizes_out),
                         "common": np.concatenate(flags_out),
                     }
                 )
 
     return docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text").mapInPandas(
-        run, "token long, doc_id long, common boolean"
+        run, "token long, doc_id long, n int, common boolean"
     )
 
 
-def _blocks(prefixes: DataFrame) -> DataFrame:
-    """(block, doc_id): documents that share a prefix token, under the smallest of them."""
+def _blocks(prefixes: DataFrame, num: int, den: int) -> DataFrame:
+    """(block, doc_id): documents that share a prefix token, under one of them.
+
+    Documents with a token are taken in the order of their sizes, and a new block begins where a
+    set is too large to link with the one before it. Common tokens may have any number of
+    documents, which are never read by one task: their blocks are ranges of sizes, and each set is
+    in its own range and in the next one that it may have links in.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        token, block, found, last = None, None, set(), None
+        token, size, block = None, 0, 0
         for batch in batches:
+            if batch.empty:
+                continue
             tokens, docs = batch["token"].to_numpy(), batch["doc_id"].to_numpy()
-            new = np.append(True, tokens[1:] != tokens[:-1])
-            new[0] = token is None or tokens[0] != token
+            sizes = batch["n"].to_numpy(np.int64)
+            other = np.append(token is None or tokens[0] != token, tokens[1:] != tokens[:-1])
+            far = den * np.append(size, sizes[:-1]) < num * sizes
+            new = other | far
             starts = np.maximum.accumulate(np.where(new, np.arange(len(tokens)), -1))
-            blocks = np.where(starts >= 0, docs[np.maximum(starts, 0)], block if block is not None else 0)
-            with_others = np.flatnonzero(~new)
-            pairs = np.unique(np.stack([blocks[with_others], docs[with_others]], axis=1), axis=0)
+            blocks = np.where(starts >= 0, docs[np.maximum(starts, 0)], block)
+            pairs = np.unique(np.stack([blocks[~new], docs[~new]], axis=1), axis=0)
             if len(pairs):
                 yield pd.DataFrame({"block": pairs[:, 0], "doc_id": pairs[:, 1]})
-            if len(tokens):
-                token, block = tokens[-1], blocks[-1]
+            token, size, block = tokens[-1], sizes[-1], blocks[-1]
 
     rare = (
         prefixes.where("not common")
-        .select("token", "doc_id")
+        .select("token", "n", "doc_id")
         .repartition("token")
-        .sortWithinPartitions("token", "doc_id")
+        .sortWithinPartitions("token", "n", "doc_id")
         .mapInPandas(run, "block long, doc_id long")
     )
-    often = prefixes.where("common").select("token", "doc_id")
-    least = materialize(often.groupBy("token").agg(F.min("doc_id").alias("block"), F.count("*").alias("docs")))
-    shared = often.join(least.where("docs > 1"), "token").where("doc_id <> block").select("block", "doc_id")
-    pairs = rare.union(shared).where("block <> doc_id").distinct()
-    return pairs
+    # Sizes from ratio ** r to ratio ** (r + 1) are range r; rounding is covered by the margin.
+    ratio = den / num
+    place = F.log(F.col("n").cast("double")) / F.lit(np.log(ratio) * (1 + 1e-9))
+    own = F.floor(place + F.lit(1e-9)).cast("int")
+    often = prefixes.where("common").select(
+        "token", "doc_id", F.explode(F.array(own, own + 1)).alias("range")
+    )
+    heads = materialize(
+        often.groupBy("token", "range").agg(F.min("doc_id").alias("block"), F.count("*").alias("docs"))
+    )
+    shared = often.join(heads.where("docs > 1"), ["token", "range"]).select("block", "doc_id")
+    return rare.union(shared).where("block <> doc_id").distinct()
 
 
 def _with_heads(pairs: DataFrame) -> DataFrame:
@@ -413,7 +462,7 @@ def ngram_jaccard_join(docs: DataFrame, shingle: int = 5, num: int = 8, den: int
         return pairs.join(named, column, "left").withColumn(column, F.coalesce("kind", column)).drop("kind")
 
     prefixes = materialize(_prefixes(docs, shingle, num, den, _common_tokens(docs, shingle)))
-    blocks = materialize(_with_heads(_blocks(prefixes)))
+    blocks = materialize(_with_heads(_blocks(prefixes, num, den)))
     blocks = represented(represented(blocks, "doc_id"), "block").where("block <> doc_id").distinct()
     blocks = _with_heads(materialize(blocks))
     facts = known.select("doc_id", "n", "map").dropDuplicates(["doc_id"])
