@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 
 from barproof.llm.rolling import SIGNS, chunks, word_hashes
 
-#: Hashed vocabulary, latent dimensions, and extra columns of the random projection.
+#: Hashed vocabulary, latent dimensions, extra dimensions of the basis, rows of the random sketch.
 DIM = 1 << 14
 RANK = 80
 EXTRA = 16
+SKETCH = 128
 SEED = 11
 #: Words of a block; windows are 2 blocks, or 4 for items of LONG words and more.
 BLOCK = 8
@@ -147,39 +148,37 @@ def _parts(matrix: np.ndarray) -> pd.DataFrame:
 def latent_vectors(docs: DataFrame, idf: np.ndarray, rank: int = RANK) -> np.ndarray:
     """Word vectors of a randomised SVD of all TF-IDF passages, scaled by the singular values.
 
-    With A as the passages (rows) by hashed words (columns): the first pass sums A' A W for a random
-    W, whose orthonormal basis V spans nearly what the largest singular vectors do; the second one
-    sums (A V)' (A V), whose eigenvectors turn V into those vectors. Tasks send sums only, of a
-    fixed size, and these meet in two steps.
+    With A as the passages (rows) by hashed words (columns): the first pass sums the sketch S A, where
+    a random S adds each passage with a random sign to one of ``SKETCH`` rows. The sketch's first
+    right singular vectors V span nearly what those of A do; the second pass sums (A V)' (A V), whose
+    eigenvectors turn V into the singular vectors. Tasks send sums only, of a fixed size, and these
+    meet in two steps.
     """
     context = docs.sparkSession.sparkContext
     columns = rank + EXTRA
     texts = docs.select("text")
     shape = "part int, deal int, cells binary"
-    random = np.random.default_rng(SEED).standard_normal((DIM, columns))
-    start = context.broadcast(_with_zeros(random * idf[:, None]))
     weights = context.broadcast(idf)
 
-    def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros((DIM, columns), np.float32)
+    def sketched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        random = np.random.default_rng([SEED, TaskContext.get().partitionId()])
+        total = np.zeros(SKETCH * DIM)
+        passage_words = BLOCK * LONG_BLOCKS
         for batch in batches:
             for chunk in _chunks(_encoded(batch["text"])):
-                sums, begins = block_sums(chunk, start.value)
-                rows, text, first = windows(sums, begins, LONG_BLOCKS, LONG_BLOCKS)
-                # The passage of each word: that of its block, of which some end texts overlap.
                 lengths = np.diff(chunk.bounds)
+                per_text = -(-lengths // passage_words)
                 place = np.arange(len(chunk.words)) - np.repeat(chunk.bounds[:-1], lengths)
-                per_text = np.bincount(text, minlength=len(lengths))
-                at = np.minimum(place // (BLOCK * LONG_BLOCKS), np.repeat(per_text, lengths) - 1)
-                passage = np.repeat(np.cumsum(per_text) - per_text, lengths) + at
-                order = np.argsort(chunk.buckets, kind="stable")
-                if len(order):
-                    found, starts = np.unique(chunk.buckets[order], return_index=True)
-                    added = np.add.reduceat(rows[passage[order]], starts, axis=0)
-                    total[found] += added * weights.value[found][:, None]
-        yield _parts(total)
-
-    basis, _ = np.linalg.qr(_summed(texts.mapInPandas(spread, shape), (DIM, columns)))
+                passage = np.repeat(np.cumsum(per_text) - per_text, lengths) + place // passage_words
+                count = int(per_text.sum())
+                row, sign = random.integers(0, SKETCH, count), random.choice([-1.0, 1.0], count)
+                buckets = chunk.buckets
+                np.add.at(total, row[passage] * DIM + buckets, sign[passage] * weights.value[buckets])
+        yield _parts(total.reshape(SKETCH, DIM).T)
+
+    sketch = _summed(texts.mapInPandas(sketched, shape), (DIM, SKETCH))
+    left, _, _ = np.linalg.svd(sketch, full_matrices=False)
+    basis = left[:, :columns]
     project = context.broadcast(_with_zeros(basis * idf[:, None]))
 
     def squared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
