@@ -3,18 +3,18 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barproof.llm.folds import held_out
 
 UNKNOWN = "und"
-#: The training sample: documents of each language, those with the smallest hashes of all.
+#: The training sample: documents of each language on average, those with the smallest hashes of all.
 SAMPLE_DOCS = 1500
 #: An n-gram belongs to a language if so large a part of its sampled documents has it.
 LEAST_SHARE = 0.03
@@ -129,17 +129,17 @@ class LanguageModel:
 def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> LanguageModel | None:
     """Learn from text and lang of the training fold; None where it has no labelled text.
 
-    Each language's sample is bounded by ``sample_docs`` documents, picked by id alone over the whole
-    table; their whole texts are counted on the executors. What the driver gets is the model: up to
-    ``NGRAMS`` hashes of each language.
+    Each language's sample has about ``sample_docs`` documents, whose hashes lie under the threshold
+    that its number of documents gives; their whole texts are counted on the executors. What the
+    driver gets is one count for each language, and the model: up to ``NGRAMS`` hashes of each.
     """
     labelled = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    # Spark limits each group before the exchange, so a common language costs no more than others.
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = labelled.select("lang", "doc_id", F.row_number().over(by_hash).alias("place")).where(
-        F.col("place") <= sample_docs
-    )
-    sample = labelled.select("doc_id", "lang", "text").join(picked.select("doc_id", "lang").distinct(), ["doc_id", "lang"])
+    sizes = labelled.groupBy("lang").count().collect()
+    if not sizes:
+        return None
+    position = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    limits = [part for row in sizes for part in (F.lit(row["lang"]), F.lit((sample_docs << 30) // row["count"]))]
+    sample = labelled.select("doc_id", "lang", "text").where(position < F.create_map(*limits)[F.col("lang")])
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -171,24 +171,36 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> LanguageModel | No
     return LanguageModel.of({r["lang"]: np.array(r["grams"], np.int64).view(np.uint64) for r in listed}, usual)
 
 
-def identify(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
-    """Every column of ``docs`` it needs to keep, with the model's answer for ``text``.
+def answer(model: LanguageModel | None) -> Callable[[str], Column]:
+    """A function of a text column: struct of lang_pred, score, coverage."""
+
+    @F.pandas_udf("lang_pred string, score double, coverage double")
+    def answered(texts: pd.Series) -> pd.DataFrame:
+        whole = texts.fillna("").tolist()
+        if model is None:
+            names, score, coverage = [UNKNOWN] * len(whole), 0.0, 0.0
+        else:
+            names, score, coverage = model.predict(whole)
+        return pd.DataFrame({"lang_pred": names, "score": score, "coverage": coverage})
+
+    return answered
+
 
-    Returns doc_id, held_out, lang_pred, score, coverage. See ``language_id``.
+def known_language(docs: DataFrame, model: LanguageModel | None, least_coverage: float) -> DataFrame:
+    """The rows of ``docs`` whose text is in a language of the model, with all their columns.
+
+    Texts without a letter go, and texts of which the best language has less than
+    ``least_coverage`` of the n-grams.
     """
+    found = answer(model)("text")
+    return docs.where((found["lang_pred"] != UNKNOWN) & (found["coverage"] >= least_coverage))
 
-    def answered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            texts = batch["text"].fillna("").tolist()
-            if model is None:
-                names, score, coverage = [UNKNOWN] * len(texts), 0.0, 0.0
-            else:
-                names, score, coverage = model.predict(texts)
-            out = batch.drop(columns="text")
-            yield out.assign(lang_pred=names, score=score, coverage=coverage)
-
-    return docs.select("doc_id", held_out().alias("held_out"), "text").mapInPandas(
-        answered, "doc_id long, held_out boolean, lang_pred string, score double, coverage double"
+
+def identify(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
+    """doc_id, held_out, lang_pred, score, coverage of every row. See ``language_id``."""
+
+    return docs.select("doc_id", held_out().alias("held_out"), answer(model)("text").alias("answer")).select(
+        "doc_id", "held_out", "answer.*"
     )
 
 
