@@ -122,30 +122,26 @@ def _boundaries(rows: DataFrame, sources: DataFrame) -> DataFrame:
     return materialize(out)
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
-    """Choose how often each text of ``docs`` (doc_id, text, source) enters a mix of its sources.
+def _source_key() -> Column:
+    """A key without nulls: joins by it are plain equalities, which Spark can split."""
+    return F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n"))
 
-    A text's size is its number of words. All sources together are to give as many words as
-    ``docs`` has; shares follow ``weights``, and no source gives more than ``most`` times its size.
-    Returns doc_id, size, source_size, target, taken for every row.
 
-    How: a target is a number of whole passes over the source plus a rest. The rest takes the
-    texts whose hash lies under the source's threshold, found by nested histograms; texts are
-    never sorted, and a filter by the threshold finishes the job. A source gives less or more than
-    its target by half a text at most (by half of all texts with one doc_id, which go together).
+def _times(hashed: Column, plan: str = "") -> Column:
+    """How often a text enters the mix: whole passes, and once more under its source's threshold."""
+    once_more = hashed < F.coalesce(f"{plan}threshold", F.lit(0).cast("long"))
+    return F.col(f"{plan}passes") + once_more.cast("long")
 
-    Edge cases: null texts have size 0; null sources are one source, the last; a null doc_id
-    hashes as the empty text; a source without words has target 0; an empty table gives no rows.
-    Columns besides the three are ignored.
-    """
+
+def _planned(docs: DataFrame, weights: tuple[int, ...], most: int) -> tuple[DataFrame, DataFrame]:
+    """The sizes of all texts, and for each source its target, whole passes and threshold."""
     sized = materialize(
         docs.select(
             "doc_id",
             "source",
             word_count(text_of()).alias("size"),
             doc_hash(F.col("doc_id")).alias("hash"),
-            # A key without nulls: joins by it are plain equalities, which Spark can split.
-            F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")).alias("key"),
+            _source_key().alias("key"),
         )
     )
     totals = sized.groupBy("key", "source").agg(F.sum("size").alias("source_size"))
@@ -155,14 +151,42 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -
         "rest", F.col("target") - F.col("passes") * F.col("source_size")
     )
     boundaries = _boundaries(sized.select("key", "size", "hash"), planned.where("rest > 0"))
-    plan = materialize(planned.join(boundaries, "key", "left").drop("rest", "weight"))
-    once_more = F.col("hash") < F.coalesce("threshold", F.lit(0).cast("long"))
+    return sized, materialize(planned.join(boundaries, "key", "left").drop("rest", "weight"))
+
+
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
+    """Choose how often each text of ``docs`` (doc_id, text, source) enters a mix of its sources.
+
+    A text's size is its number of words. All sources together are to give as many words as
+    ``docs`` has; shares follow ``weights``, and no source gives more than ``most`` times its size.
+    Returns doc_id, size, source_size, target, taken for every row.
+
+    How: a target is a number of whole passes over the source plus a rest. The rest takes the
+    texts whose hash lies under the source's threshold, found by nested histograms; texts are
+    never sorted, and a filter by the threshold finishes the job. A source gives less or more than
+    its target by half a text at most (by half of all texts with one doc_id, which go together).
+
+    Edge cases: null texts have size 0; null sources are one source, the last; a null doc_id
+    hashes as the empty text; a source without words has target 0; an empty table gives no rows.
+    Columns besides the three are ignored.
+    """
+    sized, plan = _planned(docs, weights, most)
     return sized.join(plan, "key").select(
-        "doc_id",
-        "size",
-        "source_size",
-        "target",
-        (F.col("size") * (F.col("passes") + once_more.cast("long"))).alias("taken"),
+        "doc_id", "size", "source_size", "target", (F.col("size") * _times(F.col("hash"))).alias("taken")
+    )
+
+
+def mixed_rows(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
+    """The mix itself: each row of ``docs`` as often as it is taken, with all its columns."""
+    _, plan = _planned(docs, weights, most)
+    limits = plan.select("key", F.struct("passes", "threshold").alias("__plan")).withColumnRenamed("key", "__key")
+    times = _times(doc_hash(F.col("doc_id")), "__plan.")
+    return (
+        docs.withColumn("__key", _source_key())
+        .join(limits, "__key")
+        .withColumn("__copy", F.explode(F.sequence(F.lit(0).cast("long"), times)))
+        .where("__copy > 0")
+        .select(*[F.col(f"`{name}`") for name in docs.columns])
     )
 
 
