@@ -1,0 +1,53 @@
+"""The stages of the corpus pipeline, each on its own and in turn."""
+
+import random
+
+import pandas as pd
+
+import corpus_pipeline
+from barproof.llm import packing
+
+SYLLABLES = ["ka", "ro", "mi", "tu", "len", "sor"]
+
+
+def prose(pick, n=80):
+    return " ".join("".join(pick.choices(SYLLABLES, k=3)) for _ in range(n))
+
+
+def test_near_duplicates_leave_one_of_each_group(spark, documents):
+    pick = random.Random(1)
+    base = prose(pick).split()
+    near = [*base[:40], "changed", *base[41:]]
+    rows = [(4, " ".join(base)), (2, " ".join(near)), (9, " ".join(base)), (7, prose(pick)), (None, "x"), (8, None)]
+    docs = documents(rows)
+    kept = corpus_pipeline.near_duplicate_stage(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert {r["doc_id"] for r in kept.collect()} == {2, 7, 8, None}
+
+
+def test_stages_in_turn(spark, documents, tmp_path):
+    pick = random.Random(2)
+    item = prose(pick, 40)
+    rows = [(i, prose(pick), "en", f"s{i % 3}") for i in range(120)]
+    rows += [(200, rows[0][1], "en", "s0"), (201, "1 2 3", "en", "s1"), (202, prose(pick) + " " + item + " end", "en", "s2")]
+    documents(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    packed = corpus_pipeline.run(spark, str(tmp_path))
+    parts = packing.segments(packed).toPandas()
+    found = set(parts["doc_id"].astype(int))
+    assert not found & {200, 201, 202} and found <= set(range(120))
+    encoding = packing.encoding_of(open(packing.VOCABULARY, "rb").read())
+    texts = {i: text for i, text, *_ in rows}
+    assert len(parts) and all(
+        list(ids[:-1]) == encoding.encode_ordinary(texts[int(i)]) for i, ids in zip(parts["doc_id"], parts["ids"], strict=True)
+    )
+    # Sources get words by their weights, 5 : 2 : 1, up to 3 times their own.
+    words = pd.Series([texts[int(i)].count(" ") + 1 for i in parts["doc_id"]])
+    shares = words.groupby([int(i) % 3 for i in parts["doc_id"]]).sum() / words.sum()
+    assert abs(shares[0] - 5 / 8) < 0.02 and abs(shares[1] - 2 / 8) < 0.02
+
+
+def test_stages_take_empty_tables(spark, documents, tmp_path):
+    documents([]).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0

@@ -1,0 +1,172 @@
+"""Languages, toxicity, packing, archives."""
+
+import hashlib
+import random
+
+import numpy as np
+import pandas as pd
+import pytest
+
+import corpus_pipeline
+from barproof.llm import language, packing, toxicity, warc
+from barproof.session import new_path
+
+SYLLABLES = {"aa": ["ka", "ro", "mi", "tu"], "bb": ["sche", "lich", "ung", "ver"], "cc": ["eau", "oux", "que", "ré"]}
+
+
+def prose(pick, lang, n=60):
+    return " ".join("".join(pick.choices(SYLLABLES[lang], k=pick.randrange(1, 4))) for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def texts():
+    pick = random.Random(6)
+    return [(i, prose(pick, lang), lang, "s") for i in range(600) for lang in [pick.choice(list(SYLLABLES))]]
+
+
+def test_languages_are_told_apart(documents, texts):
+    extra = [(1000, None), (1001, ""), (1002, "123 !? 456"), (1003, "漢字"), (1004, "Q"), (1005, "sche " * 40_000)]
+    found = {r["doc_id"]: r for r in language.language_id(documents(texts + extra)).collect()}
+    held = [t for t in texts if found[t[0]]["held_out"]]
+    assert len(held) > 80
+    assert all(found[i]["lang_pred"] == lang for i, _, lang, _ in held)
+    assert [found[i]["lang_pred"] for i in (1000, 1001, 1002)] == ["und"] * 3
+    assert found[1003]["lang_pred"] in SYLLABLES and found[1003]["score"] == 0
+    assert found[1005]["lang_pred"] == "bb"
+    assert all(0 <= r["score"] <= 1 for r in found.values())
+
+
+def test_languages_without_labels_or_rows(documents):
+    found = language.language_id(documents([(1, "text"), (None, "text"), (2, None)])).collect()
+    assert [r["lang_pred"] for r in found] == ["und"] * 3
+    assert language.language_id(documents([])).count() == 0
+
+
+def test_bloom_filters_return_all_languages_of_an_ngram():
+    grams = {name: np.arange(i * 100, i * 100 + 150, dtype=np.uint64) for i, name in enumerate("xyz")}
+    model = language.LanguageModel.of(grams, "x", slots=1 << 14)
+    masks = [model.words[0][at] for at in language.slots_of(np.array([0, 120, 220], np.uint64), 1 << 14, language.HASHES)]
+    both = masks[0] & masks[1] & masks[2]
+    assert [int(m) & want for m, want in zip(both, (0b001, 0b011, 0b110), strict=True)] == [0b001, 0b011, 0b110]
+
+
+def test_language_stage_keeps_clean_documents(spark, documents, texts):
+    docs = documents(texts + [(1000, None), (1001, "--- 99 ---")])
+    kept = corpus_pipeline.language_stage(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert sorted(r["doc_id"] for r in kept.select("doc_id").collect()) == list(range(600))
+
+
+def test_toxic_documents_are_found(spark, documents):
+    pick = random.Random(3)
+    rows, labels = [], []
+    for i in range(900):
+        words, toxic = prose(pick, "aa").split(), int(pick.random() < 0.3)
+        if toxic:
+            for word in pick.choices(["idiot", "zorblax", "scum", "1d10t"], k=3):
+                words.insert(pick.randrange(len(words)), word)
+        rows.append((i, " ".join(words)))
+        labels.append((i, toxic if i % 50 else None))
+    rows += [(1000, None), (1001, ""), (1002, "clean " * 30_000)]
+    marks = spark.createDataFrame([*labels, (5, labels[5][1])], "doc_id long, toxic int")
+    found = {r["doc_id"]: r for r in toxicity.toxicity(documents(rows), marks).collect()}
+    assert len(found) == len(rows)
+    held = [(i, t) for i, t in labels if t is not None and found[i]["held_out"]]
+    assert len(held) > 120
+    assert sum(found[i]["predicted"] == t for i, t in held) >= 0.97 * len(held)
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for r in found.values())
+
+
+def test_toxicity_without_labels_or_rows(spark, documents):
+    none = spark.createDataFrame([], "doc_id long, toxic int")
+    assert [r["score"] for r in toxicity.toxicity(documents([(1, "text"), (2, None)]), none).collect()] == [0, 0]
+    assert toxicity.toxicity(documents([]), none).count() == 0
+
+
+def test_features_see_disguise_person_capitals_and_signs():
+    memory = toxicity.WordFlags({})
+    row = dict(zip(toxicity.FEATURES, toxicity.features_of("You id1ot! SO WORTHLESS, b@d c0de...", memory), strict=True))
+    assert row["hidden"] > 0 and row["insults"] > 0 and row["near_person"] > 0
+    assert row["capital_words"] > 0 and row["loud"] > 0 and row["mixed"] > 0
+
+
+def test_best_fit_takes_the_tightest_row():
+    assert packing.best_fit_decreasing([6, 5, 4, 3, 2], 10) == [[0, 2], [1, 3, 4]]
+    tree = packing.CapacityTree(10)
+    for capacity, number in ((7, 0), (4, 1), (9, 2)):
+        tree.add(capacity, number)
+    assert tree.take(5) == (7, 0) and tree.take(5) == (9, 2) and tree.take(5) is None and tree.take(1) == (4, 1)
+    pick = random.Random(2)
+    lengths = [pick.randrange(1, 65) for _ in range(500)]
+    rows = packing.best_fit_decreasing(lengths, 64)
+    assert sorted(i for row in rows for i in row) == list(range(500))
+    assert all(sum(lengths[i] for i in row) <= 64 for row in rows)
+    assert len(rows) <= 11 / 9 * (sum(lengths) / 64) + 1
+
+
+def test_packed_rows_give_every_document_back(spark, documents):
+    pick = random.Random(1)
+    rows = [(i, prose(pick, "cc", pick.randrange(0, 200))) for i in range(60)]
+    rows += [(60, None), (61, ""), (62, "long " * 20_000), (None, "no id"), (63, "<|endoftext|>"), (5, rows[5][1])]
+    packed = packing.pack(documents(rows), row_tokens=128).cache()
+    for r in packed.collect():
+        assert len(r["ids"]) == 256 and r["cu_seqlens"][0] == 0 and r["cu_seqlens"][-1] == r["n_tokens"] <= 128
+        assert r["position_resets"] == r["cu_seqlens"][:-1] and len(r["doc_ids"]) == len(r["token_offsets"])
+    encoding = packing.encoding_of(open(packing.VOCABULARY, "rb").read())
+    parts = packing.segments(packed).toPandas().sort_values("token_offset")
+    got = sorted(
+        [(-1 if pd.isna(i) else int(i), offset, list(ids)) for i, offset, ids in parts.itertuples(index=False)],
+    )
+    want = []
+    for doc_id, text in rows:
+        ids = [*encoding.encode_ordinary(text or ""), packing.END]
+        want += [(-1 if doc_id is None else doc_id, at, ids[at : at + 128]) for at in range(0, len(ids), 128)]
+    assert got == sorted(want)
+    assert packing.pack(documents([])).count() == 0
+
+
+PAGES = "page_id long, url string, html string, digest string, bytes int"
+
+
+def archived(spark, rows):
+    pages = spark.createDataFrame([(*r, "x", 1) for r in rows], PAGES)
+    return sorted(warc.archived_pages(pages).collect(), key=lambda r: (r["page_id"] is None, r["page_id"]))
+
+
+def test_equal_payloads_refer_to_the_largest_page(spark):
+    long, short = "é" * 500, "s" * 999
+    rows = [(1, "http://a/", long), (2, "http://b/\r\n", long), (3, None, long), (4, "u", short), (5, "u", short)]
+    rows += [(6, "u", None), (7, "u", ""), (8, "u", "x" * 3_000_000), (None, "u", long)]
+    found = archived(spark, rows)
+    assert [(r["page_id"], r["record_type"], r["refers_to"]) for r in found] == [
+        (1, "revisit", 3), (2, "revisit", 3), (3, "response", None), (4, "response", None), (5, "response", None),
+        (6, "response", None), (7, "response", None), (8, "response", None), (None, "revisit", 3),
+    ]
+    payloads = [(r[2] or "").encode() for r in rows]
+    assert [r["payload_bytes"] for r in found] == [len(p) for p in payloads]
+    assert [r["payload_digest"] for r in found] == [hashlib.sha1(p).hexdigest() for p in payloads]
+
+
+def test_archives_have_a_dictionary_and_come_back_byte_by_byte(spark):
+    pick = random.Random(4)
+    rows = [(i, f"http://h/{i}", "<html>" + prose(pick, "aa", 80) + f"</html>{i}") for i in range(200)]
+    rows.append((200, "u", warc.PADDING + "\0\x18" * 40))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    path = new_path(spark, "warc")
+    warc.write_warc(pages, path, archive_bytes=20_000)
+    files = spark.read.format("binaryFile").load(path).collect()
+    assert len(files) > 1
+    dictionary = b""
+    for f in files:
+        magic, size = np.frombuffer(f["content"][:8], "<u4")
+        assert magic == warc.DICTIONARY_MAGIC and size > 0
+        dictionary = dictionary or f["content"][: 8 + size]
+        assert f["content"].startswith(dictionary)
+    back = {r["page_id"]: (r["url"], bytes(r["payload"]).decode()) for r in warc.read_warc(spark, path).collect()}
+    assert back == {i: (url, html) for i, url, html in rows}
+
+
+def test_repeated_pages_and_no_pages(spark):
+    found = archived(spark, [(1, "u", "y" * 2000), (2, "u", "y" * 2000), (2, "u", "y" * 2000)])
+    assert [r["record_type"] for r in found] == ["revisit", "response", "response"]
+    assert archived(spark, []) == []
