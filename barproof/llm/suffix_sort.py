@@ -221,12 +221,40 @@ def _texts(batch: pd.DataFrame) -> list[bytes]:
     return [t.encode("utf-8", "surrogatepass") for t in batch["text"].fillna("")]
 
 
+def _joined(docs: np.ndarray, first: np.ndarray, past: np.ndarray) -> pd.DataFrame:
+    """Stretches of bytes (doc_id, first, past), those that touch or overlap as one.
+
+    Stretches given for one document must not lie inside an earlier one, as those of strings in
+    order never do.
+    """
+    order = np.lexsort((first, docs))
+    docs, first, past = docs[order], first[order], past[order]
+    fresh = np.append(True, (docs[1:] != docs[:-1]) | (first[1:] > past[:-1])) if len(docs) else np.zeros(0, bool)
+    begin = np.flatnonzero(fresh)
+    last = np.append(begin[1:] - 1, len(docs) - 1) if len(begin) else begin
+    return pd.DataFrame({"doc_id": docs[begin], "first": first[begin], "past": past[last]}).astype("int64")
+
+
 RUNS = "anchor long, content long, doc_id long, start int, count int, reach int, copy boolean"
 
 
+def _combined(runs: pd.DataFrame, length: int) -> tuple[pd.DataFrame, pd.DataFrame]:
+    """The first run of each anchor and content, and the stretches of bytes that the others cover."""
+    order = np.lexsort([runs[c].to_numpy() for c in ("start", "doc_id", "content", "anchor")])
+    runs = runs.iloc[order]
+    key, at = runs[["anchor", "content"]].to_numpy(), runs[["doc_id", "start"]].to_numpy()
+    fresh = np.append(True, (key[1:] != key[:-1]).any(axis=1))
+    head = np.maximum.accumulate(np.where(fresh, np.arange(len(runs)), 0))
+    gone = runs[~fresh & (at != at[head]).any(axis=1)]
+    past = (gone["start"] + gone["count"] - 1 + length).to_numpy(np.int64)
+    return runs[fresh], _joined(gone["doc_id"].to_numpy(), gone["start"].to_numpy(np.int64), past)
+
+
 def _runs(docs: DataFrame, length: int) -> DataFrame:
-    """All runs of all documents. A copy of a text with a smaller doc_id that the task has seen is
-    one line instead (copy): it goes as a whole."""
+    """All runs of all documents, where what a task can see to be repeated is left out: a copy of a
+    text with a smaller doc_id, and of equal runs of a batch all but the first. Their bytes are given
+    as stretches instead (copy). So a text or line that is very common costs a row a batch.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: dict[bytes, int] = {}
@@ -249,7 +277,7 @@ def _runs(docs: DataFrame, length: int) -> DataFrame:
             if copies:
                 out = pd.DataFrame(copies, columns=["doc_id", "count"])
                 yield out.assign(anchor=0, content=0, start=0, reach=0, copy=True)
-            numbers = np.array(ids, np.int64)
+            numbers, runs = np.array(ids, np.int64), []
             for part in chunks([len(t) for t in texts]):
                 sizes = np.array([len(t) for t in texts[part]])
                 begins = np.cumsum(sizes) - sizes
@@ -259,17 +287,23 @@ def _runs(docs: DataFrame, length: int) -> DataFrame:
                 np.add.at(valid, begins + sizes - length + 1, -1)
                 found = anchored_runs(data, np.cumsum(valid[:-1], dtype=np.int8).astype(bool), length)
                 of = np.searchsorted(begins, found["start"], side="right") - 1
-                yield pd.DataFrame(
-                    {
-                        "anchor": found["anchor"].view(np.int64),
-                        "content": found["content"].view(np.int64),
-                        "doc_id": numbers[part][of],
-                        "start": (found["start"] - begins[of]).astype(np.int32),
-                        "count": found["count"].astype(np.int32),
-                        "reach": found["reach"].astype(np.int32),
-                        "copy": False,
-                    }
+                runs.append(
+                    pd.DataFrame(
+                        {
+                            "anchor": found["anchor"].view(np.int64),
+                            "content": found["content"].view(np.int64),
+                            "doc_id": numbers[part][of],
+                            "start": (found["start"] - begins[of]).astype(np.int32),
+                            "count": found["count"].astype(np.int32),
+                            "reach": found["reach"].astype(np.int32),
+                        }
+                    )
                 )
+            if runs:
+                first, gone = _combined(pd.concat(runs, ignore_index=True), length)
+                yield first.assign(copy=False)
+                gone = gone.rename(columns={"first": "start"}).assign(count=gone["past"] - gone["first"])
+                yield gone.drop(columns="past").assign(anchor=0, content=0, reach=0, copy=True)
 
     return docs.where("doc_id is not null").select("doc_id", "text").mapInPandas(run, RUNS)
 
@@ -325,16 +359,6 @@ def _classed(runs: DataFrame, length: int) -> DataFrame:
     )
 
 
-def _stretches(docs: np.ndarray, starts: np.ndarray, length: int) -> pd.DataFrame:
-    """Bytes covered by strings: (doc_id, first, past), neighbours joined."""
-    order = np.lexsort((starts, docs))
-    docs, starts = docs[order], starts[order]
-    fresh = np.append(True, (docs[1:] != docs[:-1]) | (starts[1:] > starts[:-1] + length)) if len(docs) else []
-    begin = np.flatnonzero(fresh)
-    last = np.append(begin[1:] - 1, len(docs) - 1) if len(begin) else begin
-    return pd.DataFrame({"doc_id": docs[begin], "first": starts[begin], "past": starts[last] + length}).astype("int64")
-
-
 STRETCH = "doc_id long, first long, past long"
 
 
@@ -375,7 +399,8 @@ def _partly_repeated(docs: DataFrame, runs: DataFrame, length: int) -> DataFrame
         found = repeats(suffixes, rows["anchor"].to_numpy(), rank, reach, count, length)
         member = np.concatenate([np.zeros(0, np.int64), *(m for m, _ in found)])
         before = np.concatenate([np.zeros(0, np.int64), *(o for _, o in found)])
-        return _stretches(ids[member], anchors[member] - before, length)
+        at = anchors[member] - before
+        return _joined(ids[member], at, at + length)
 
     def sort(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
@@ -453,7 +478,11 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, large_group: int = LAR
     stay whole and nothing is removed on their account. Other columns are ignored.
     """
     written = materialize(_runs(docs, length))
-    copies = written.where("copy").select("doc_id", F.lit(0).cast("long").alias("first"), F.col("count").cast("long").alias("past"))
+    copies = written.where("copy").select(
+        "doc_id",
+        F.col("start").cast("long").alias("first"),
+        (F.col("start") + F.col("count")).cast("long").alias("past"),
+    )
     classed = materialize(_classed(written, length))
     whole = classed.where("remove").select(
         "doc_id",
