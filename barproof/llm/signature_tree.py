@@ -20,7 +20,7 @@ FANOUT = 4
 #: Tokens and members that one tree holds. A larger block has several trees.
 TREE_TOKENS = 4 << 20
 TREE_MEMBERS = 4096
-#: Common tokens are found on a bounded sample: so many documents, those with the smallest hashes.
+#: Common tokens are found on a bounded sample: about so many documents, those with the smallest hashes.
 #: Which tokens are found decides the order of tokens, never the result.
 SAMPLE_DOCS = 20_000
 COMMON = 4
@@ -307,9 +307,11 @@ def _described(docs: DataFrame, shingle: int) -> DataFrame:
     )
 
 
-def _common_tokens(docs: DataFrame, shingle: int) -> np.ndarray:
+def _common_tokens(docs: DataFrame, rows: int, shingle: int) -> np.ndarray:
     """Tokens that ``COMMON`` documents of the sample have, at most ``MOST_COMMON``, sorted."""
-    picked = docs.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS).distinct()
+    # All ids below a threshold that the number of rows gives: a filter in the scan.
+    part = (SAMPLE_DOCS << 30) // max(1, rows)
+    sample = docs.select("doc_id", "text").where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.lit(part))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -319,16 +321,14 @@ def _common_tokens(docs: DataFrame, shingle: int) -> np.ndarray:
                 yield pd.DataFrame({"token": tokens.view(np.int64), "docs": count})
 
     counts = (
-        docs.select("doc_id", "text")
-        .join(picked, "doc_id")
-        .mapInPandas(run, "token long, docs long")
+        sample.mapInPandas(run, "token long, docs long")
         .groupBy("token")
         .agg(F.sum("docs").alias("docs"))
         .where(F.col("docs") >= COMMON)
     )
     # Below the bound all are taken; beyond it, the commonest by a threshold on their counts.
-    rows = counts.orderBy(F.desc("docs"), "token").limit(MOST_COMMON).select("token").toPandas()
-    return np.sort(rows["token"].to_numpy(np.int64).view(np.uint64))
+    found = counts.orderBy(F.desc("docs"), "token").limit(MOST_COMMON).select("token").toPandas()
+    return np.sort(found["token"].to_numpy(np.int64).view(np.uint64))
 
 
 def _prefixes(docs: DataFrame, shingle: int, num: int, den: int, common: np.ndarray) -> DataFrame:
@@ -461,11 +461,11 @@ def ngram_jaccard_join(docs: DataFrame, shingle: int = 5, num: int = 8, den: int
         named = copies.select(F.col("doc_id").alias(column), "kind")
         return pairs.join(named, column, "left").withColumn(column, F.coalesce("kind", column)).drop("kind")
 
-    prefixes = materialize(_prefixes(docs, shingle, num, den, _common_tokens(docs, shingle)))
+    prefixes = materialize(_prefixes(docs, shingle, num, den, _common_tokens(docs, described.count(), shingle)))
     blocks = materialize(_with_heads(_blocks(prefixes, num, den)))
     blocks = represented(represented(blocks, "doc_id"), "block").where("block <> doc_id").distinct()
     blocks = _with_heads(materialize(blocks))
-    facts = known.select("doc_id", "n", "map").dropDuplicates(["doc_id"])
+    facts = known.select("doc_id", "n", "map")
     with_maps = materialize(blocks.join(facts, "doc_id").withColumnRenamed("doc_id", "doc"))
     likely = components(materialize(block_links(with_maps, num, den)))
 
@@ -479,7 +479,6 @@ def ngram_jaccard_join(docs: DataFrame, shingle: int = 5, num: int = 8, den: int
         docs.select(F.col("doc_id").alias("node"), "text")
         .join(likely, "node")
         .mapInPandas(with_sets, "block long, doc long, n long, map binary, tokens binary")
-        .dropDuplicates(["doc"])
     )
     links = block_links(members, num, den).union(copies.select("doc_id", "kind"))
     found = components(materialize(links))
