@@ -13,7 +13,8 @@ from barproof.llm.components import components
 from barproof.llm.rolling import mixed, shingle_sets
 from barproof.session import materialize
 
-#: Bits of a token bitmap, members of a leaf, children of a node.
+#: Least bits of a token bitmap (larger sets have two for each token or more), members of a leaf,
+#: children of a node.
 BITS = 2048
 LEAF = 16
 FANOUT = 4
@@ -109,17 +110,36 @@ class Groups:
 
 
 class Members:
-    """Members of a block with what decides links between them: bitmaps, and token sets if given."""
+    """Members of a block with what decides links between them: bitmaps, and token sets if given.
+
+    A bitmap is as wide as its set is large, so members are kept by width. Linked sets have sizes
+    near each other, so the wider one of a pair has twice the width at most; it is folded.
+    """
 
     def __init__(self, docs: np.ndarray, sizes: np.ndarray, maps: list[bytes], sets: list[bytes] | None, num: int, den: int):
         self.num, self.den = num, den
         self.docs, self.sizes = docs, sizes
-        self.maps = np.frombuffer(b"".join(maps), np.uint64).reshape(len(docs), BITS // 64)
+        self.widths = np.array([8 * len(m) for m in maps])
+        self.place = np.zeros(len(docs), np.int64)
+        self.maps = {}
+        for width in np.unique(self.widths).tolist():
+            at = np.flatnonzero(self.widths == width)
+            self.place[at] = np.arange(len(at))
+            self.maps[width] = np.frombuffer(b"".join(maps[i] for i in at), np.uint64).reshape(len(at), width // 64)
         self.sets = None if sets is None else [np.frombuffer(t, np.uint64) for t in sets]
 
-    def links(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    def folded(self, members: np.ndarray, width: int) -> np.ndarray:
+        """Bitmaps of members of one width, as bitmaps of ``width`` bits."""
+        own = int(self.widths[members[0]])
+        maps = self.maps[own][self.place[members]]
+        while own > width:
+            own //= 2
+            maps = maps[:, : own // 64] | maps[:, own // 64 :]
+        return maps
+
+    def links(self, one: np.ndarray, two: np.ndarray, width: int) -> np.ndarray:
         """For members ``one`` against members ``two``: where the bitmaps allow a link."""
-        a, b = self.maps[one][:, None], self.maps[two][None, :]
+        a, b = self.folded(one, width)[:, None], self.folded(two, width)[None, :]
         lost_a = np.bitwise_count(a & ~b).sum(axis=2, dtype=np.int64)
         lost_b = np.bitwise_count(b & ~a).sum(axis=2, dtype=np.int64)
         n_a, n_b = self.sizes[one][:, None], self.sizes[two][None, :]
@@ -134,40 +154,54 @@ class Members:
         overlap = int(np.count_nonzero(y[at] == x))
         return bool(_may_link(overlap, len(x), len(y), self.num, self.den))
 
-    def connect(self, groups: Groups, one: np.ndarray, two: np.ndarray) -> None:
+    def connect(self, groups: Groups, one: np.ndarray, two: np.ndarray, width: int) -> None:
         """Join groups of members that are linked; pairs in one group already are passed over."""
         apart = groups.of[one][:, None] != groups.of[two][None, :]
         if not apart.any():
             return
-        for x, y in np.argwhere(apart & self.links(one, two)).tolist():
+        for x, y in np.argwhere(apart & self.links(one, two, width)).tolist():
             a, b = one[x], two[y]
             if groups.of[a] != groups.of[b] and self.linked(a, b):
                 groups.join(a, b)
 
+    def traverse(self, groups: Groups, one: np.ndarray, two: np.ndarray) -> None:
+        """Join groups over the trees of two sets of members, each of one width (or of one set)."""
+        width = int(min(self.widths[one[0]], self.widths[two[0]]))
+        tree = SignatureTree(self.sizes[one], self.folded(one, width))
+        other = tree if one is two else SignatureTree(self.sizes[two], self.folded(two, width))
+        for left, right in leaf_pairs(tree, other, self.num, self.den):
+            self.connect(groups, one[left], two[right], width)
+
 
 def joined(members: Members, side: np.ndarray, head: int) -> np.ndarray:
     """The smallest document of each member's group, in one task. Members are in the order of sizes.
 
-    Members of side 0 are compared with each other in one tree; where there is a side 1, its
-    members are compared with those of side 0 only. The block's head comes first against all: in a
-    group of near copies it links most, and the traversal passes over what is linked already.
+    Members of side 0 are compared with each other; where there is a side 1, its members are compared
+    with those of side 0 only. The block's head comes first against all: in a group of near copies
+    it links most, and the traversal passes over what is linked already.
     """
     groups = Groups(len(members.docs))
-    zero, one = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-    num, den = members.num, members.den
-    if len(one):
-        tree = SignatureTree(members.sizes[zero], members.maps[zero])
-        other = SignatureTree(members.sizes[one], members.maps[one])
-        for left, right in leaf_pairs(tree, other, num, den):
-            members.connect(groups, zero[left], one[right])
+    classes = {
+        (s, width): np.flatnonzero((side == s) & (members.widths == width)) for s in (0, 1) for width in members.maps
+    }
+    if (side == 1).any():
+        pairs = [
+            (classes[0, w], classes[1, v]) for w in members.maps for v in (w // 2, w, 2 * w) if v in members.maps
+        ]
     else:
         first = np.flatnonzero(members.docs == head)[:1]
-        for start in range(0, len(zero) if len(first) else 0, 256):
-            members.connect(groups, first, zero[start : start + 256])
-        if (groups.of != groups.of[0]).any():
-            tree = SignatureTree(members.sizes[zero], members.maps[zero])
-            for left, right in leaf_pairs(tree, tree, num, den):
-                members.connect(groups, zero[left], zero[right])
+        for width in members.maps if len(first) else ():
+            own = int(members.widths[first[0]])
+            at = classes[0, width]
+            for start in range(0, len(at), 256) if max(own, width) <= 2 * min(own, width) else ():
+                members.connect(groups, first, at[start : start + 256], min(own, width))
+        if (groups.of == groups.of[0]).all():
+            pairs = []
+        else:
+            pairs = [(classes[0, w], classes[0, v]) for w in members.maps for v in (w, 2 * w) if v in members.maps]
+    for one, two in pairs:
+        if len(one) and len(two):
+            members.traverse(groups, one, two)
     least = np.full(len(groups.of), np.iinfo(np.int64).max)
     np.minimum.at(least, groups.of, members.docs)
     return least[groups.of]
@@ -285,8 +319,9 @@ def _sets(texts: pd.Series, shingle: int) -> Iterator[np.ndarray]:
 
 
 def bitmap(tokens: np.ndarray) -> bytes:
-    out = np.zeros(BITS, np.uint8)
-    out[(tokens & np.uint64(BITS - 1)).astype(np.int64)] = 1
+    width = max(BITS, 1 << (2 * len(tokens) - 1).bit_length())
+    out = np.zeros(width, np.uint8)
+    out[(tokens & np.uint64(width - 1)).astype(np.int64)] = 1
     return np.packbits(out).tobytes()
 
 
