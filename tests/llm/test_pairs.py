@@ -52,6 +52,22 @@ def test_a_large_block_is_dealt_into_chunks_with_the_same_links(documents, monke
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == want
 
 
+def test_links_between_sets_whose_bitmaps_differ_in_width(documents):
+    pick = random.Random(9)
+    rows = []
+    for group in range(4):
+        base = pick.choices([f"w{i}" for i in range(900)], k=1000)
+        for extra in (0, 20, 30, 60, 90, 200):
+            text = base + pick.choices([f"n{i}" for i in range(900)], k=extra)
+            text[pick.randrange(900)] = "edit"
+            rows.append((len(rows), " ".join(text)))
+    found = signature_tree.ngram_jaccard_join(documents(rows), 3, 90, 100).collect()
+    want = near_duplicates(rows, 3, 90, 100)
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == want
+    assert 4 < len({c for _, c in want.values()}) < 12
+    assert {len(signature_tree.bitmap(np.arange(n, dtype=np.uint64))) * 8 for n, _ in want.values()} == {2048, 4096}
+
+
 def test_near_duplicates_take_repeated_rows_null_ids_and_no_rows(documents):
     rows = [(1, "a b c d"), (1, "a b c d"), (None, "a b c d"), (2, "A b c d")]
     found = signature_tree.ngram_jaccard_join(documents(rows), 3, 90, 100).collect()
