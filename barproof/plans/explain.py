@@ -13,7 +13,7 @@ from barproof.operators.flag_joins import unexplained_flags
 from barproof.operators.price_window import SPAN, history_lines
 from barproof.schemas import EXPLANATIONS, FLAG_COLUMNS, FLAG_KEY, FLAGS, KEY, conform
 from barproof.session import materialize
-from barproof.sources.tables import append_table, read_prices, read_table
+from barproof.sources.tables import append_table, read_series, read_table, replace_table
 
 RESULTS = T.StructType(
     [
@@ -24,6 +24,9 @@ RESULTS = T.StructType(
     ]
 )
 
+#: Flags explained between two writes of answers.
+ROUND = 10_000
+
 EXPLAINED = "explained"
 FAILED = "failed"
 
@@ -43,6 +46,8 @@ def explain(
 ) -> DataFrame:
     """Call ``explain_fn`` on every prompt; a failed call becomes a row with its error.
 
+    An answer that is not a text, or is empty, counts as failed.
+
     Prompts are small but calls are slow, so they are spread evenly over ``parallelism`` tasks.
     """
     key, explained, failed = list(FLAG_KEY), EXPLAINED, FAILED
@@ -52,7 +57,12 @@ def explain(
             texts, errors = [], []
             for prompt in batch["prompt"]:
                 try:
-                    texts.append(explain_fn(prompt))
+                    answer = explain_fn(prompt)
+                    if not isinstance(answer, str):
+                        raise TypeError(f"answer is {type(answer).__name__}, not a text")
+                    if not answer.strip():
+                        raise ValueError("answer is empty")
+                    texts.append(answer)
                     errors.append(None)
                 except Exception as error:  # one failed call must not stop the others
                     texts.append(None)
@@ -88,16 +98,37 @@ def run_explanations(
 ) -> dict[str, int]:
     """Explain the flags that have no explanation yet, append the new ones, and return counts.
 
-    Failed flags stay unexplained and are tried again by the next run.
+    Answers are appended round by round, so that a job that dies keeps all finished rounds. Failed
+    flags stay unexplained and are tried again by the next run; their reasons are a table beside the
+    explanations (:func:`failures_path`).
     """
-    prices = read_prices(spark, prices_path)
+    prices = read_series(spark, prices_path)
     flags = read_table(spark, flags_path, FLAGS)
-    stored = read_table(spark, explanations_path, EXPLANATIONS)
-    pending = prompts(prices, unexplained_flags(flags, stored), span)
-    # The user's function runs once; counting and appending read what it returned.
-    results = materialize(explain(pending, explain_fn, parallelism))
-    counts = explain_counts(flags, results).first().asDict()
-    if counts["newly_explained"]:
+    stored = read_table(spark, explanations_path, EXPLANATIONS, may_be_absent=True)
+    # Fixed before the first answer is stored, as what is pending changes with it.
+    pending = materialize(prompts(prices, unexplained_flags(flags, stored), span))
+    total = pending.count()
+    rounds = max(1, -(-total // ROUND))
+    explained, failures = 0, None
+    for number in range(rounds):
+        some = pending.where(F.pmod(F.xxhash64(*FLAG_KEY), F.lit(rounds)) == number)
+        # The user's function runs once; counting and appending read what it returned.
+        results = materialize(explain(some, explain_fn, parallelism))
         new = results.where(F.col("status") == EXPLAINED)
-        append_table(conform(new, EXPLANATIONS), explanations_path)
-    return counts
+        count = new.count()
+        if count:
+            append_table(conform(new, EXPLANATIONS), explanations_path)
+        explained += count
+        failed = results.where(F.col("status") == FAILED)
+        failures = failed if failures is None else failures.unionByName(failed)
+    replace_table(spark, failures, failures_path(explanations_path))
+    return {
+        "newly_explained": explained,
+        "already_cached": flags.count() - total,
+        "failed": total - explained,
+    }
+
+
+def failures_path(explanations_path: str) -> str:
+    """Where a run lists the flags that it failed to explain, with reasons."""
+    return f"{explanations_path.rstrip('/')}.failures"

@@ -8,13 +8,15 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from barproof.sources.raw_bars import select_bars, unavailable
-from barproof.sources.tables import upsert_prices
+from barproof.sources.tables import replace_table, upsert_prices
 from barproof.sources.universe import load_config
 
 logger = logging.getLogger(__name__)
 
-#: How many tickers without data the log names.
-SHOWN = 20
+
+def missing_path(prices_path: str) -> str:
+    """Where an ingest lists the configured tickers without data, all of them."""
+    return f"{prices_path.rstrip('/')}.missing-tickers"
 
 
 def run_ingest(
@@ -25,19 +27,21 @@ def run_ingest(
     as_of: date | None = None,
     zones: dict[str, str] | None = None,
 ) -> dict[str, int]:
-    """Ingest and return the counts of written rows and tickers."""
+    """Ingest and return the counts of written rows and tickers.
+
+    Configured tickers without data are a table beside the prices (:func:`missing_path`).
+    """
     config = load_config(spark, config_path)
     path = prices_path or config.db_path
     bars = select_bars(config.universe, raw, config.period, as_of, zones)
     counts = upsert_prices(spark, bars, path)
+    found = bars.select("ticker").distinct().withColumnRenamed("ticker", "symbol")
+    missing = config.universe.join(found, "symbol", "left_anti").select("symbol", "exchange")
+    replace_table(spark, missing.orderBy("symbol"), missing_path(path))
     if not counts["rows"]:
         raise unavailable(config.universe)
     absent = config.universe.count() - counts["tickers"]
     if absent:
-        found = bars.select("ticker").distinct().withColumnRenamed("ticker", "symbol")
-        names = config.universe.join(found, "symbol", "left_anti").orderBy("symbol").limit(SHOWN)
-        logger.warning(
-            "No data for %d ticker(s), such as %s", absent, ", ".join(r.symbol for r in names.collect())
-        )
+        logger.warning("No data for %d ticker(s), listed in %s", absent, missing_path(path))
     logger.info("Wrote %(rows)d row(s) covering %(tickers)d ticker(s)", counts)
     return counts

@@ -13,8 +13,10 @@ from barproof.plans.explain import run_explanations
 from barproof.plans.ingest import run_ingest
 from barproof.plans.report import run_report
 from barproof.plans.validate import run_validations
+from barproof.session import materialize
 from barproof.sources.calendar import Calendar
 from barproof.sources.tables import read_prices
+from barproof.sources.universe import load_config
 
 
 class StageFailed(RuntimeError):
@@ -42,6 +44,14 @@ class Outcome:
     report: str
 
 
+def verified_tickers(spark: SparkSession, prices_path: str) -> DataFrame:
+    """Rows and dates of each stored ticker; an error if there are none."""
+    tickers = materialize(ticker_summary(read_prices(spark, prices_path)))
+    if tickers.isEmpty():
+        raise ValueError(f"No prices are stored at {prices_path}.")
+    return tickers
+
+
 def run_pipeline(
     spark: SparkSession,
     config_path: str,
@@ -63,10 +73,11 @@ def run_pipeline(
         except Exception as error:
             raise StageFailed(name, error) from error
 
+    stage("Configuration", load_config, spark, config_path)
     ingested = stage(
         "Ingestion", run_ingest, spark, config_path, raw, paths.prices, as_of, zones
     )
-    tickers = stage("Verification", lambda: ticker_summary(read_prices(spark, paths.prices)))
+    tickers = stage("Verification", verified_tickers, spark, paths.prices)
     flags = stage(
         "Validation",
         run_validations,

@@ -14,9 +14,6 @@ from barproof.operators.summaries import flag_counts, pass_rate, scope_stats
 from barproof.schemas import EXPLANATIONS, FLAG_COLUMNS, FLAGS
 from barproof.sources.tables import read_prices, read_table
 
-#: Characters of all ticker names together that may be put into one row.
-ONE_ROW_CHARS = 16_000_000
-
 # Sections in document order.
 HEAD, TICKERS, TOTAL, COUNTS, AFTER_COUNTS, BY_TICKER, RESULT = range(7)
 
@@ -39,25 +36,10 @@ def _text(df: DataFrame, section: int, content: str, **keys: str) -> DataFrame:
     return df.selectExpr(f"{section} AS section", *columns, f"{content} AS text")
 
 
-def _names_fit(names: DataFrame, limit: int) -> bool:
-    size = names.selectExpr("coalesce(sum(length(ticker) + 2), 0) AS size").first().size
-    return size <= limit
-
-
-def _all_names(names: DataFrame, separator: str) -> DataFrame:
-    """All names in one row; only for names that were found to fit."""
-    return names.selectExpr(f"array_join(array_sort(collect_set(ticker)), '{separator}') AS names")
-
-
-def _ticker_lines(prices: DataFrame, limit: int) -> DataFrame:
-    """``- Tickers: A, B, C`` on one line, or on one line per name if that would not fit a row.
-
-    Markdown joins wrapped lines with a blank, so both forms read the same.
-    """
+def _ticker_lines(prices: DataFrame) -> DataFrame:
+    """``- Tickers: A,`` and so on, one line per name; Markdown joins such lines with a blank."""
     names = prices.select("ticker").distinct()
-    if _names_fit(names, limit):
-        return _text(_all_names(names, ", "), TICKERS, "concat('- Tickers: ', names)")
-    wrapped = names.select(
+    placed = names.select(
         "ticker",
         names.agg(F.min("ticker")).scalar().alias("first"),
         names.agg(F.max("ticker")).scalar().alias("last"),
@@ -66,7 +48,10 @@ def _ticker_lines(prices: DataFrame, limit: int) -> DataFrame:
         "concat(CASE WHEN ticker = first THEN '- Tickers: ' ELSE '  ' END, ticker, "
         "CASE WHEN ticker = last THEN '' ELSE ',' END)"
     )
-    return _text(wrapped, TICKERS, line, ticker="ticker")
+    none = names.agg(F.count("*").alias("tickers")).where("tickers = 0")
+    return _text(placed, TICKERS, line, ticker="ticker").unionByName(
+        _text(none, TICKERS, "'- Tickers: '")
+    )
 
 
 def report_entries(prices: DataFrame, flags: DataFrame, explanations: DataFrame) -> DataFrame:
@@ -84,7 +69,7 @@ def report_entries(prices: DataFrame, flags: DataFrame, explanations: DataFrame)
     )
 
 
-def _summary(prices: DataFrame, flags: DataFrame, limit: int) -> list[DataFrame]:
+def _summary(prices: DataFrame, flags: DataFrame) -> list[DataFrame]:
     head = text.joined(
         text.quoted("# Data Quality Report\n\n## Summary\n\n- Date range: "),
         "coalesce(string(min_date), 'None')",
@@ -101,7 +86,7 @@ def _summary(prices: DataFrame, flags: DataFrame, limit: int) -> list[DataFrame]
     row = "concat_ws(' ', '|', flag_type, '|', severity, '|', count, '|')"
     return [
         _text(scope, HEAD, head),
-        _ticker_lines(prices, limit),
+        _ticker_lines(prices),
         _text(scope, TOTAL, total),
         _text(heading, COUNTS, "text", entry="0"),
         _text(counts, COUNTS, row, entry="1", flag_type="flag_type", severity="severity"),
@@ -141,15 +126,10 @@ def _result(prices: DataFrame, flags: DataFrame) -> DataFrame:
     return _text(pass_rate(prices, flags), RESULT, content)
 
 
-def report_text(
-    prices: DataFrame,
-    flags: DataFrame,
-    explanations: DataFrame,
-    one_row_chars: int = ONE_ROW_CHARS,
-) -> DataFrame:
+def report_text(prices: DataFrame, flags: DataFrame, explanations: DataFrame) -> DataFrame:
     """The report as rows of markdown text in document order; a row may span several lines."""
     parts = [
-        *_summary(prices, flags, one_row_chars),
+        *_summary(prices, flags),
         *_by_ticker(prices, flags, explanations),
         _result(prices, flags),
     ]
@@ -163,18 +143,15 @@ def save_report(report: DataFrame, path: str) -> None:
     report.select("text").write.mode("overwrite").text(path)
 
 
-def scope_hash(prices: DataFrame, one_row_chars: int = ONE_ROW_CHARS) -> DataFrame:
+def scope_hash(prices: DataFrame) -> DataFrame:
     """Eight hex digits that identify the set of tickers and the date range.
 
-    Beyond ``one_row_chars`` of names, the digest of the joined names gives way to an
-    order-free sum over the digests of the single names, which needs no row to hold them all.
+    The names enter as their number and the sum of their digests, which needs no order and no row
+    that holds them all.
     """
+    piece = "CAST(conv(substr(sha2(ticker, 256), 1, 15), 16, 10) AS DECIMAL(20, 0))"
     names = prices.select("ticker").distinct()
-    if _names_fit(names, one_row_chars):
-        scope = _all_names(names, ",")
-    else:
-        piece = "CAST(conv(substr(sha2(ticker, 256), 1, 15), 16, 10) AS DECIMAL(20, 0))"
-        scope = names.selectExpr(f"concat_ws(',', count(*), sum({piece})) AS names")
+    scope = names.selectExpr(f"concat_ws(',', count(*), sum({piece})) AS names")
     basis = (
         "concat_ws('|', names, coalesce(string(min_date), 'None'), coalesce(string(max_date), 'None'))"
     )
@@ -203,7 +180,7 @@ def run_report(
     """Write the report of the stored tables and return its path."""
     prices = read_prices(spark, prices_path)
     flags = read_table(spark, flags_path, FLAGS)
-    explanations = read_table(spark, explanations_path, EXPLANATIONS)
+    explanations = read_table(spark, explanations_path, EXPLANATIONS, may_be_absent=True)
     name = report_name(prices, report_date).first().report_name
     path = f"{reports_path.rstrip('/')}/{name}"
     save_report(report_text(prices, flags, explanations), path)

@@ -4,13 +4,17 @@ from __future__ import annotations
 
 import re
 from datetime import date
+from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barproof.functions.numeric import nan_to_null, round_to_bigint
 from barproof.functions.text import quoted
+from barproof.sources.tables import is_folder
 
 # Raw column names and the price columns they become.
 RAW_COLUMNS = {
@@ -30,35 +34,87 @@ RAW = T.StructType(
     ]
 )
 
-#: How many missing tickers an error message spells out; the table of them is always whole.
-NAMED_IN_ERROR = 1000
+class TickerDataUnavailable(RuntimeError):
+    """No landed bars were found for any configured ticker; ``missing`` is the table of them all."""
 
+    def __init__(self, message: str, missing: DataFrame):
+        super().__init__(message)
+        self.missing = missing
 
-class TickerDataUnavailable(RuntimeError):
-    """No landed bars were found for any configured ticker."""
+
+def _csv_headers(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """The files of each distinct header line. What the driver gets is no more than the file list."""
+    lines = (
+        spark.read.text(path)
+        .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
+        .where("at = 0")
+        .withColumn("line", F.monotonically_increasing_id())
+    )
+    first = lines.groupBy("file").agg(F.min_by("value", "line").alias("header"))
+    found: dict[str, list[str]] = {}
+    for row in first.orderBy("file").toLocalIterator():
+        found.setdefault(row.header, []).append(row.file)
+    return found
+
+
+def _schemas(spark: SparkSession, path: str, fmt: str) -> list[tuple[T.StructType, list[str]]]:
+    """The files of each distinct schema."""
+    found: dict[str, tuple[T.StructType, list[str]]] = {}
+    for file in sorted(spark.read.format(fmt).load(path).inputFiles()):
+        reader = spark.read.format(fmt)
+        schema = (reader.option("basePath", path) if is_folder(spark, path) else reader).load(file).schema
+        found.setdefault(schema.json(), (schema, []))[1].append(file)
+    return list(found.values())
+
+
+def _by_name(parts: list[DataFrame]) -> DataFrame:
+    """Put parts with different columns together by name; numbers of different kinds become double."""
+    kinds: dict[str, set[str]] = {}
+    for part in parts:
+        for name, kind in part.dtypes:
+            kinds.setdefault(name, set()).add(kind)
+    mixed = {name for name, found in kinds.items() if len(found) > 1 and name in RAW_COLUMNS}
+    return reduce(
+        lambda one, two: one.unionByName(two, allowMissingColumns=True),
+        [part.withColumns({n: F.col(f"`{n}`").cast("double") for n in mixed & set(part.columns)}) for part in parts],
+    )
 
 
 def read_raw(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Scan landed bars (``parquet``, ``orc``, ``csv`` or ``json``); price columns may be absent.
 
-    The symbol is a column of the files or of a ``symbol=...`` folder.
+    The symbol is a column of the files or of a ``symbol=...`` folder. Columns are taken by name file
+    by file: their order may differ, a file may lack some, and a volume may be whole in one file and
+    fractional in another. Rows that can't be parsed fail the job that reads them.
     """
-    reader = spark.read
+    reader = spark.read.option("mode", "FAILFAST")
+    if is_folder(spark, path):
+        reader = reader.option("basePath", path)
     if fmt in ("parquet", "orc"):
-        return reader.option("mergeSchema", "true").format(fmt).load(path)
+        try:
+            return spark.read.option("mergeSchema", "true").format(fmt).load(path)
+        except (PySparkException, Py4JJavaError) as error:
+            if "CANNOT_MERGE" not in str(error):
+                raise
+        return _by_name([reader.format(fmt).schema(schema).load(files) for schema, files in _schemas(spark, path, fmt)])
     if fmt == "csv":
-        # Header only, no inference: names come from the files, types from normalising.
-        return reader.csv(path, header=True)
+        # Names come from each file's header, types from normalising.
+        headers = _csv_headers(spark, path)
+        if not headers:
+            return spark.createDataFrame([], RAW)
+        return _by_name([reader.csv(files, header=True, enforceSchema=False) for files in headers.values()])
     if fmt == "json":
-        return reader.schema(RAW).json(path)
+        # Dates stay texts, which tell a moment in time from a plain day.
+        texts = [T.StructField("Date", T.StringType()) if f.name == "Date" else f for f in RAW]
+        return reader.schema(T.StructType(texts)).json(path)
     raise ValueError(f"Unknown format {fmt!r} of landed bars.")
 
 
-def first_day(period: str, as_of: date) -> Column | None:
+def first_day(period: str, last: date | Column) -> Column | None:
     """First day of a look-back such as ``5d``, ``1mo``, ``2y``, ``ytd``; None for ``max``."""
     if period == "max":
         return None
-    last = F.lit(as_of)
+    last = last if isinstance(last, Column) else F.lit(last)
     if period == "ytd":
         return F.trunc(last, "year")
     match = re.fullmatch(r"(\d+)(d|mo|y)", period)
@@ -70,11 +126,6 @@ def first_day(period: str, as_of: date) -> Column | None:
     return F.add_months(last, -number * (12 if match[2] == "y" else 1))
 
 
-def last_day(raw: DataFrame) -> date | None:
-    """The last day of the landed bars."""
-    return raw.agg(F.to_date(F.max("Date"))).first()[0]
-
-
 def look_back(raw: DataFrame, period: str, as_of: date) -> DataFrame:
     """Landed bars that may belong to the period, by a plain comparison that reaches the scan.
 
@@ -87,16 +138,28 @@ def look_back(raw: DataFrame, period: str, as_of: date) -> DataFrame:
     return raw.where(F.col("Date") >= F.date_sub(first, 1).cast(raw.schema["Date"].dataType))
 
 
+#: A time of day with its distance from UTC at the end of a text.
+ZONED_TEXT = r"\\d[T ]\\d{1,2}:.*(Z|[+-]\\d{2}(:?\\d{2})?)$"
+
+
 def _local_date(raw: DataFrame, zones: dict[str, str] | None) -> str:
-    """The day of a bar on the clock of its exchange."""
-    if not zones or not isinstance(raw.schema["Date"].dataType, T.TimestampType):
-        return "to_date(Date)"
-    cases = " ".join(f"WHEN {quoted(name)} THEN {quoted(zone)}" for name, zone in zones.items())
-    zone = (
-        f"CASE exchange {cases} "
-        "ELSE raise_error(concat('No time zone for exchange ', exchange)) END"
-    )
-    return f"to_date(convert_timezone(current_timezone(), {zone}, CAST(Date AS TIMESTAMP_NTZ)))"
+    """The day of a bar on the clock of its exchange.
+
+    A moment in time (a timestamp, or a text with a zone) has a day only with a zone for its exchange.
+    """
+    kind = raw.schema["Date"].dataType
+    cases = " ".join(f"WHEN {quoted(name)} THEN {quoted(zone)}" for name, zone in (zones or {}).items())
+    unknown = "raise_error(concat('No time zone for exchange ', exchange))"
+    zone = f"CASE exchange {cases} ELSE {unknown} END" if cases else unknown
+    moment = "CAST(CAST(Date AS TIMESTAMP) AS TIMESTAMP_NTZ)"
+    local = f"to_date(convert_timezone(current_timezone(), {zone}, {moment}))"
+    if isinstance(kind, T.TimestampType):
+        if not zones:
+            raise ValueError("Bars with moments in time need the time zones of their exchanges.")
+        return local
+    if isinstance(kind, T.StringType):
+        return f"CASE WHEN Date RLIKE '{ZONED_TEXT}' THEN {local} ELSE to_date(CAST(Date AS TIMESTAMP_NTZ)) END"
+    return "to_date(Date)"
 
 
 def normalize_bars(
@@ -131,10 +194,9 @@ def missing_tickers(universe: DataFrame, raw: DataFrame) -> DataFrame:
 
 def unavailable(universe: DataFrame) -> TickerDataUnavailable:
     """The error for a universe of which nothing has landed."""
-    named = [r.symbol for r in universe.orderBy("symbol").limit(NAMED_IN_ERROR + 1).collect()]
-    rest = ", ..." if len(named) > NAMED_IN_ERROR else ""
     return TickerDataUnavailable(
-        "No data was found for any configured ticker: " + ", ".join(named[:NAMED_IN_ERROR]) + rest
+        f"No data was found for any of the {universe.count()} configured ticker(s).",
+        universe.select("symbol", "exchange"),
     )
 
 
@@ -147,16 +209,19 @@ def select_bars(
 ) -> DataFrame:
     """Normalised bars of the configured tickers within the look-back, which may be none.
 
-    The look-back ends at ``as_of``, by default the last day that has landed.
+    The look-back ends at ``as_of``, by default at each ticker's own last day.
     """
-    until = as_of or last_day(raw)
-    recent = look_back(raw, period, until) if until else raw
-    bars = normalize_bars(recent, universe, zones)
-    if until and period != "max":
-        bars = bars.where(F.col("date") >= first_day(period, until))
     if as_of:
+        bars = normalize_bars(look_back(raw, period, as_of), universe, zones)
         bars = bars.where(F.col("date") <= F.lit(as_of))
-    return bars
+        first = first_day(period, as_of)
+        return bars if first is None else bars.where(F.col("date") >= first)
+    bars = normalize_bars(raw, universe, zones)
+    first = first_day(period, F.col("_last"))
+    if first is None:
+        return bars
+    last = bars.groupBy("ticker").agg(F.max("date").alias("_last"))
+    return bars.join(last, "ticker").where(F.col("date") >= first).select(*bars.columns)
 
 
 def collect_bars(

@@ -7,7 +7,6 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barproof.functions.numeric import is_weekday
 from barproof.schemas import EXPLANATIONS, conform
 from barproof.sources.calendar import Calendar
 
@@ -42,15 +41,10 @@ def _exchange(number: str) -> str:
 
 
 def event_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One bar per user and trading day of ``events``, with a few planted defects; keyed."""
-    ticks = (
-        _table(spark, sf_dir, "events")
-        .selectExpr("user_id", "event_id", "value", "to_date(ts) AS date", _exchange("user_id"))
-        .where(is_weekday("date"))
-    )
+    """One bar per user and day of ``events``, all of them, with a few planted defects; keyed."""
     daily = (
-        sample_calendar(spark)
-        .drop_holidays(ticks, "exchange")
+        _table(spark, sf_dir, "events")
+        .selectExpr("user_id", "event_id", "value", "to_date(ts) AS date")
         .groupBy("user_id", "date")
         .agg(
             F.min_by("value", "event_id").alias("open"),
@@ -123,15 +117,11 @@ def supplier_tick_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _supplier_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        _table(spark, sf_dir, "lineitem")
-        .selectExpr(
-            "l_suppkey",
-            "to_date(l_shipdate) AS date",
-            "l_extendedprice / l_quantity AS price",
-            "bigint(l_quantity) AS quantity",
-        )
-        .where(is_weekday("date"))
+    return _table(spark, sf_dir, "lineitem").selectExpr(
+        "l_suppkey",
+        "to_date(l_shipdate) AS date",
+        "l_extendedprice / l_quantity AS price",
+        "bigint(l_quantity) AS quantity",
     )
 
 

@@ -37,16 +37,46 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jvm_path)
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    fs, jvm_path = _hadoop_path(spark, path)
+    return fs.exists(jvm_path) and fs.getFileStatus(jvm_path).isDirectory()
+
+
 def stored_bytes(spark: SparkSession, path: str) -> int:
     fs, jvm_path = _hadoop_path(spark, path)
     return fs.getContentSummary(jvm_path).getLength() if fs.exists(jvm_path) else 0
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Read a stored table, or an empty one of the same schema if nothing was stored yet."""
-    if not exists(spark, path):
+def read_table(
+    spark: SparkSession, path: str, schema: T.StructType, may_be_absent: bool = False
+) -> DataFrame:
+    """Read a stored table; an absent one is an error, or empty where it ``may_be_absent``.
+
+    Where a replacement was interrupted between its two moves, the table set aside is read.
+    """
+    if exists(spark, path):
+        return spark.read.schema(schema).parquet(path)
+    if exists(spark, _aside(path)):
+        return spark.read.schema(schema).parquet(_aside(path))
+    if may_be_absent:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+    raise FileNotFoundError(f"No table is stored at {path}.")
+
+
+def _aside(path: str) -> str:
+    return f"{path.rstrip('/')}.aside"
+
+
+def _move(spark: SparkSession, source: str, target: str) -> None:
+    fs, old = _hadoop_path(spark, source)
+    _, new = _hadoop_path(spark, target)
+    if not fs.rename(old, new):
+        raise OSError(f"Could not move {source} to {target}.")
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, target = _hadoop_path(spark, path)
+    fs.delete(target, True)
 
 
 def from_pandas(spark: SparkSession, frame: pd.DataFrame, schema: T.StructType) -> DataFrame:
@@ -64,9 +94,33 @@ def month_of(day="date"):
     return F.date_format(day, "yyyy-MM")
 
 
-def _stored_prices(spark: SparkSession, path: str) -> DataFrame:
+def _stored_prices(spark: SparkSession, path: str, may_be_absent: bool = False) -> DataFrame:
+    _finish_upsert(spark, path)
     with_month = T.StructType([*PRICES.fields, T.StructField(MONTH, T.StringType())])
-    return read_table(spark, path, with_month)
+    return read_table(spark, path, with_month, may_be_absent)
+
+
+def _ready(path: str) -> str:
+    return f"{path.rstrip('/')}.ready"
+
+
+def _finish_upsert(spark: SparkSession, path: str) -> None:
+    """Move months that an upsert has written whole into the table, one after the other.
+
+    A month leaves the ready folder in one move, just after its old folder is gone; whoever comes
+    after an interruption, a reader or the next upsert, goes on where it stopped.
+    """
+    if not exists(spark, _ready(path)):
+        return
+    fs, ready = _hadoop_path(spark, _ready(path))
+    _, table = _hadoop_path(spark, path)
+    fs.mkdirs(table)
+    for status in fs.listStatus(ready):
+        name = status.getPath().getName()
+        if name.startswith(f"{MONTH}="):
+            _delete(spark, f"{path.rstrip('/')}/{name}")
+            _move(spark, f"{_ready(path)}/{name}", f"{path.rstrip('/')}/{name}")
+    _delete(spark, _ready(path))
 
 
 def read_prices(spark: SparkSession, path: str) -> DataFrame:
@@ -97,8 +151,9 @@ def upserted(old: DataFrame, batch: DataFrame) -> DataFrame:
 def upsert_prices(spark: SparkSession, batch: DataFrame, path: str) -> dict[str, int]:
     """Upsert a batch into the stored prices and return its row and ticker counts.
 
-    Only months that the batch touches are read and rewritten. Spark stages the new files and swaps
-    each month's folder in at commit; a run that dies half way can simply be repeated.
+    Only months that the batch touches are read and rewritten. They are written whole beside the table
+    first, then moved in month by month; a run that dies half way loses nothing, as the next reader
+    or upsert moves in what is left.
     """
     batch = conform(batch, PRICES)
     found = (
@@ -116,23 +171,24 @@ def upsert_prices(spark: SparkSession, batch: DataFrame, path: str) -> dict[str,
     if found.incomplete:
         raise ValueError("The batch holds rows without ticker, exchange or date.")
     if found.most is not None and found.most > 1:
-        examples = repeated_keys(batch).limit(5).collect()
-        raise DuplicateKeyError(
-            "The batch repeats (ticker, date): "
-            + ", ".join(f"({r.ticker}, {r.date})" for r in examples)
-        )
+        listed = f"{path.rstrip('/')}.repeated-keys"
+        replace_table(spark, repeated_keys(batch), listed)
+        count = spark.read.parquet(listed).count()
+        raise DuplicateKeyError(f"The batch repeats {count} (ticker, date), listed in {listed}.")
     if found.rows:
-        stored = _stored_prices(spark, path).where(F.col(MONTH).isin(*found.months))
+        stored = _stored_prices(spark, path, may_be_absent=True).where(F.col(MONTH).isin(*found.months))
         merged = upserted(stored.select(*PRICES.fieldNames()), batch)
+        staged = f"{path.rstrip('/')}.staged-{uuid.uuid4().hex}"
         (
             merged.withColumn(MONTH, month_of())
             .hint("rebalance", MONTH)
             .sortWithinPartitions(MONTH, *KEY)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(MONTH)
-            .parquet(path)
+            .write.partitionBy(MONTH)
+            .parquet(staged)
         )
+        # From this move on the upsert counts as done.
+        _move(spark, staged, _ready(path))
+        _finish_upsert(spark, path)
     elif not exists(spark, path):
         spark.createDataFrame([], PRICES).withColumn(MONTH, month_of()).write.partitionBy(
             MONTH
@@ -141,15 +197,18 @@ def upsert_prices(spark: SparkSession, batch: DataFrame, path: str) -> dict[str,
 
 
 def replace_table(spark: SparkSession, df: DataFrame, path: str) -> None:
-    """Replace a stored table; the old one stays until the new one is complete."""
+    """Replace a stored table.
+
+    The old table is set aside until the new one is in its place, so that a reader finds one of the
+    two whole whenever the job is interrupted.
+    """
     staged = f"{path.rstrip('/')}.staged-{uuid.uuid4().hex}"
     df.write.parquet(staged)
-    fs, target = _hadoop_path(spark, path)
-    _, source = _hadoop_path(spark, staged)
-    if fs.exists(target):
-        fs.delete(target, True)
-    if not fs.rename(source, target):
-        raise OSError(f"Could not move {staged} to {path}.")
+    if exists(spark, path):
+        _delete(spark, _aside(path))
+        _move(spark, path, _aside(path))
+    _move(spark, staged, path)
+    _delete(spark, _aside(path))
 
 
 def append_table(df: DataFrame, path: str) -> None:

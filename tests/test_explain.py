@@ -6,9 +6,10 @@ from conftest import bar, explanations_of, flags_of, prices_of, weekdays
 import comparison_sql as sql
 from barproof.operators.flag_joins import unexplained_flags, with_explanations
 from barproof.operators.price_window import price_window
-from barproof.plans.explain import explain, explain_counts, prompts, run_explanations
+from barproof.plans import explain as explain_plan
+from barproof.plans.explain import explain, explain_counts, failures_path, prompts, run_explanations
 from barproof.schemas import EXPLANATIONS
-from barproof.sources.tables import append_table, read_table, replace_table, upsert_prices
+from barproof.sources.tables import append_table, exists, read_table, replace_table, upsert_prices
 from test_checks import expected, got, random_bars
 
 DAYS = weekdays(date(2026, 1, 5), 30)
@@ -194,7 +195,9 @@ def test_failures_do_not_stop_the_batch_and_are_retried(spark, paths):
 
     counts = run_explanations(spark, *paths, fail)
     assert counts == {"newly_explained": 0, "already_cached": 0, "failed": 2}
-    assert read_table(spark, paths[2], EXPLANATIONS).count() == 0
+    assert not exists(spark, paths[2])
+    reasons = spark.read.parquet(failures_path(paths[2])).collect()
+    assert [r.error for r in reasons] == ["RuntimeError: no answer"] * 2
 
     def fail_sometimes(prompt):
         if "STALE_PRICE" in prompt:
@@ -207,6 +210,31 @@ def test_failures_do_not_stop_the_batch_and_are_retried(spark, paths):
     assert counts == {"newly_explained": 1, "already_cached": 1, "failed": 0}
 
 
+def test_answers_that_are_no_text_are_failures(spark, paths):
+    for answer in (None, "  ", 7):
+        counts = run_explanations(spark, *paths, lambda prompt, answer=answer: answer)
+        assert counts == {"newly_explained": 0, "already_cached": 0, "failed": 2}
+        assert all(r.error for r in spark.read.parquet(failures_path(paths[2])).collect())
+
+
+def test_answers_of_finished_rounds_stay(spark, paths, tmp_path, monkeypatch):
+    monkeypatch.setattr(explain_plan, "ROUND", 1)
+    stores = iter(range(3))
+    real = explain_plan.append_table
+
+    def stopping(*args):
+        if next(stores) == 1:
+            raise OSError("stopped")
+        return real(*args)
+
+    monkeypatch.setattr(explain_plan, "append_table", stopping)
+    with pytest.raises(OSError, match="stopped"):
+        run_explanations(spark, *paths, lambda prompt: "text")
+    monkeypatch.setattr(explain_plan, "append_table", real)
+    again = run_explanations(spark, *paths, lambda prompt: "text")
+    assert again == {"newly_explained": 1, "already_cached": 1, "failed": 0}
+
+
 def test_results_carry_the_error(spark):
     prices = prices_of(spark, series("AAA", 10.0))
     flags = flags_of(spark, [flag("AAA", DAYS[1], "X"), flag("AAA", DAYS[2], "Y")])
