@@ -109,13 +109,13 @@ def bar_rule_details() -> str:
     return f"concat_ws('; ', {', '.join(texts)})"
 
 
-def history_line(bar: str) -> str:
-    """One line of price history for a prompt, from a struct holding a bar."""
-    parts = [f"string({bar}.date)", "' 00:00:00  open='", fixed(f"{bar}.open", 2)]
+def history_line() -> str:
+    """One line of price history for a prompt, from the columns of a bar."""
+    parts = ["string(date)", "' 00:00:00  open='", fixed("open", 2)]
     for name in ("high", "low", "close"):
-        parts += [f"' {name}='", fixed(f"{bar}.{name}", 2)]
-    parts += ["' volume='", f"coalesce(string({bar}.volume), 'NA')"]
-    parts += ["' adj_close='", fixed(f"{bar}.adj_close", 2)]
+        parts += [f"' {name}='", fixed(name, 2)]
+    parts += ["' volume='", "coalesce(string(volume), 'NA')"]
+    parts += ["' adj_close='", fixed("adj_close", 2)]
     return joined(*parts)
 
 

@@ -35,12 +35,14 @@ def _anchored(prices: DataFrame, targets: DataFrame, keyed: bool, max_rows: int,
     return series, series.with_context(before=span, after=span)
 
 
-def _collect_around(series: Series, df: DataFrame, span: int) -> DataFrame:
-    """Keep the anchors, each with ``history``: its surrounding bars in order."""
+def _collect_around(series: Series, df: DataFrame, span: int, bar: str) -> DataFrame:
+    """Keep the anchors, each with ``history``: ``bar`` of its surrounding bars in order.
+
+    ``bar`` is computed once for each bar in reach, however many windows it is in.
+    """
     around = series.over(f"{span} PRECEDING", f"{span} FOLLOWING")
     until = series.over("UNBOUNDED PRECEDING", f"{span} FOLLOWING")
     before = series.over("UNBOUNDED PRECEDING", f"{span + 1} PRECEDING")
-    bar = f"struct(date, {', '.join(BAR_VALUES)})"
     # Every bar within reach of an anchor survives this filter, so frames around anchors stay whole,
     # while arrays are built only near anchors. Two growing frames count the anchors in reach, with
     # one update per row instead of one per row and frame member.
@@ -49,7 +51,8 @@ def _collect_around(series: Series, df: DataFrame, span: int) -> DataFrame:
             "*", f"count_if({_ANCHOR}) {until} - count_if({_ANCHOR}) {before} AS _anchors_in_reach"
         )
         .where("_anchors_in_reach > 0")
-        .selectExpr("*", f"collect_list({bar}) {around} AS history")
+        .selectExpr("*", f"{bar} AS _bar")
+        .selectExpr("*", f"collect_list(_bar) {around} AS history")
         .where(f"{_ANCHOR} AND NOT {CONTEXT}")
     )
 
@@ -66,7 +69,8 @@ def price_window(
     A target without a bar on its very day yields nothing. Each bar on a target day opens a window
     of its own, should a day be repeated.
     """
-    anchors = _collect_around(*_anchored(prices, targets, keyed, max_rows, span), span)
+    bar = f"struct(date, {', '.join(BAR_VALUES)})"
+    anchors = _collect_around(*_anchored(prices, targets, keyed, max_rows, span), span, bar)
     return anchors.selectExpr("ticker", "date AS target_date", "inline(history)")
 
 
@@ -75,11 +79,10 @@ def history_lines(prices: DataFrame, targets: DataFrame, span: int = SPAN) -> Da
 
     The prices must be keyed; a repeated day fails the query rather than doubling a history.
     """
-    anchors = _collect_around(*_anchored(prices, targets, True, MAX_ROWS, span), span)
+    bar = f"struct(date, {history_line()} AS line)"
+    anchors = _collect_around(*_anchored(prices, targets, True, MAX_ROWS, span), span, bar)
     unique = (
         "CASE WHEN size(array_distinct(history.date)) = size(history) THEN history "
         "ELSE raise_error(concat('Repeated day in the bars of ', ticker)) END"
     )
-    return anchors.selectExpr(
-        *KEY, f"transform({unique}, bar -> {history_line('bar')}) AS history"
-    )
+    return anchors.selectExpr(*KEY, f"({unique}).line AS history")

@@ -1,6 +1,20 @@
 """DuckDB SQL for the registered queries, over the views of the sample tables."""
 
-from barproof.functions.text import PROMPT_CLOSING, PROMPT_HISTORY, PROMPT_OPENING
+# The wording of prompts, written out here so that a slip in the library shows.
+PROMPT_OPENING = (
+    'A data quality check flagged the following issue in a daily OHLCV dataset:'
+)
+PROMPT_HISTORY = (
+    'Here is the surrounding trading-day price/volume history for this ticker '
+    '(roughly 10 trading days before and after the flagged date):'
+)
+PROMPT_CLOSING = (
+    "Briefly consider what's most likely (a genuine market move, an unadjusted stock "
+    'split or dividend, a data provider glitch, or a stale/duplicate data artifact), '
+    'then state your conclusion in 2-3 sentences total. Do not address every '
+    'hypothesis individually — just reach and justify your best explanation, in plain'
+    ' prose with no markdown, bold text, bullet points, or headers.'
+)
 
 VALUES = "open, high, low, close, volume, adj_close"
 #: Order among bars of one ticker and day, as the checks use it.
