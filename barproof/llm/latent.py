@@ -25,7 +25,7 @@ BLOCK = 8
 SHORT, LONG_BLOCKS = 2, 4
 LONG = 40
 #: Cosine from which a window is looked at closely: of two blocks (which may hold a fourth of other
-#: words), and of four.
+#: words), and of four. Stretches below that are looked at by their words, see ``Stretches``.
 LEAST_COSINES = (0.62, 0.75)
 #: Part of an item's words that a text has in their order: enough alone, or with the answer.
 LEAST_LCS, LEAST_LCS_WITH_ANSWER = 0.75, 0.6
@@ -228,14 +228,16 @@ class Item:
         self.masks = masks_of(self.words)
         self.answer = self.words[-ANSWER_WORDS:]
         self.answer_masks = masks_of(self.answer)
+        #: Words of a stretch that is held against the item, and how many of the item's it has at least.
+        self.span = len(self.words) + len(self.words) // 4
+        self.least = math.ceil(len(self.words) * LEAST_LCS_WITH_ANSWER)
 
     def judged(self, near: list[int]) -> tuple[float, bool] | None:
         """The best part of the item's words found in order, and whether the answer is there."""
         n, masks = len(self.words), self.masks
-        least = math.ceil(n * LEAST_LCS_WITH_ANSWER)
-        if sum(map(masks.__contains__, near)) < least or common_subsequence(masks, near) < least:
+        if sum(map(masks.__contains__, near)) < self.least or common_subsequence(masks, near) < self.least:
             return None
-        span, step = n + n // 4, max(1, n // 8)
+        span, step = self.span, max(1, n // 8)
         best, place = 0, 0
         for at in range(0, max(1, len(near) - span + step), step):
             found = common_subsequence(masks, near[at : at + span])
@@ -247,6 +249,54 @@ class Item:
         return (ratio, answer) if ratio >= LEAST_LCS or (answer and ratio >= LEAST_LCS_WITH_ANSWER) else None
 
 
+class Stretches:
+    """Where texts have so many of an item's rarer words that the item may be there.
+
+    A stretch of ``span`` words that counts has ``least`` of the item's words or more. The item's
+    commonest words are left out, in all ``least - need`` places of the item at most, so ``need``
+    words of the stretch are others of the item. No stretch that counts is passed over, whatever
+    the inverse frequencies ``idf`` are.
+    """
+
+    def __init__(self, items: list[Item], idf: np.ndarray):
+        words, of, need = [], [], []
+        for number, item in enumerate(items):
+            often = {word: mask.bit_count() for word, mask in item.masks.items()}
+            need.append(max(1, item.least // 3))
+            left_out = 0
+            for word in sorted(often, key=lambda w: (idf[w % DIM], w)):
+                left_out += often[word]
+                if left_out > item.least - need[-1]:
+                    words.append(word)
+                    of.append(number)
+        order = np.argsort(np.array(words, np.uint64), kind="stable")
+        self.words, first = np.unique(np.array(words, np.uint64)[order], return_index=True)
+        self.bounds = np.append(first, len(words))
+        self.of = np.array(of, np.int64)[order]
+        self.need, self.span = np.array(need, np.int64), np.array([i.span for i in items], np.int64)
+        self.buckets = np.zeros(DIM, bool)
+        self.buckets[(self.words % np.uint64(DIM)).astype(np.int64)] = True
+
+    def within(self, chunk: Chunk) -> Iterator[tuple[int, int, int]]:
+        """(text, item, place of a word in the text): the stretches around these places."""
+        place = np.flatnonzero(self.buckets[chunk.buckets]) if len(self.words) else np.zeros(0, np.int64)
+        at = np.searchsorted(self.words, chunk.words[place])
+        known = self.words[np.minimum(at, len(self.words) - 1)] == chunk.words[place] if len(place) else place > 0
+        place, at = place[known], at[known]
+        counts = self.bounds[at + 1] - self.bounds[at]
+        spare = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        item, place = self.of[np.repeat(self.bounds[at], counts) + spare], np.repeat(place, counts)
+        order = np.argsort(item, kind="stable")
+        item, place = item[order], place[order]
+        text = np.searchsorted(chunk.bounds, place, side="right") - 1
+        last = np.arange(len(item)) + self.need[item] - 1
+        inside = last < len(item)
+        last = np.minimum(last, len(item) - 1)
+        inside &= (item[last] == item) & (text[last] == text) & (place[last] - place < self.span[item])
+        text, item, place = text[inside], item[inside], place[inside]
+        return zip(text.tolist(), item.tolist(), (place - chunk.bounds[text]).tolist(), strict=True)
+
+
 def _queries(items: list[Item], vectors: np.ndarray, long: bool) -> tuple[np.ndarray, np.ndarray]:
     """Unit vectors of windows over items, every half block (every block for long items)."""
     width, step = (LONG_BLOCKS * BLOCK, BLOCK) if long else (SHORT * BLOCK, BLOCK // 2)
@@ -261,12 +311,15 @@ def _queries(items: list[Item], vectors: np.ndarray, long: bool) -> tuple[np.nda
     return _unit(np.array(rows).reshape(-1, vectors.shape[1])), np.array(of, np.int64)
 
 
-def _matches(docs: DataFrame, items: list[Item], vectors: np.ndarray, least_cosines: tuple[float, float]) -> DataFrame:
-    model = docs.sparkSession.sparkContext.broadcast((vectors, [(i.item_id, i.words) for i in items]))
+def _matches(
+    docs: DataFrame, items: list[Item], vectors: np.ndarray, idf: np.ndarray, least_cosines: tuple[float, float]
+) -> DataFrame:
+    model = docs.sparkSession.sparkContext.broadcast((vectors, idf, [(i.item_id, i.words) for i in items]))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vectors, raw = model.value
+        vectors, idf, raw = model.value
         items = [Item(*pair) for pair in raw]
+        stretches = Stretches(items, idf)
         scales = [
             (SHORT, 1, least_cosines[0], *_queries(items, vectors, False)),
             (LONG_BLOCKS, 2, least_cosines[1], *_queries(items, vectors, True)),
@@ -276,28 +329,35 @@ def _matches(docs: DataFrame, items: list[Item], vectors: np.ndarray, least_cosi
             ids = batch["doc_id"].tolist()
             for chunk in _chunks(_encoded(batch["text"])):
                 sums, begins = block_sums(chunk, vectors)
-                near: dict[tuple[int, int], list[tuple[int, int, float]]] = {}
+                near: dict[tuple[int, int], list[tuple[int, int]]] = {}
+                compared: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
                 for width, step, least, queries, of in scales:
                     if not len(of):
                         continue
                     rows, text, start = windows(sums, begins, width, step)
                     rows = _unit(rows)
+                    compared.update((number, (rows, text, queries[of == number])) for number in np.unique(of).tolist())
                     for low in range(0, len(rows), 4096):
                         cosine = rows[low : low + 4096] @ queries.T
                         for w, q in np.argwhere(cosine >= least).tolist():
                             key = (int(text[low + w]), int(of[q]))
                             first = int(start[low + w]) * BLOCK
-                            near.setdefault(key, []).append((first, first + width * BLOCK, float(cosine[w, q])))
+                            near.setdefault(key, []).append((first, first + width * BLOCK))
+                for text, number, at in stretches.within(chunk):
+                    near.setdefault((text, number), []).append((at, at + 1))
                 for (text, number), hits in near.items():
                     item = items[number]
                     words = chunk.words[chunk.bounds[text] : chunk.bounds[text + 1]]
                     best = None
-                    for first, last in _merged(hits, len(item.words)):
+                    for first, last in _merged(hits, item.span):
                         judged = item.judged(words[first:last].tolist())
                         if judged and (best is None or judged > best):
                             best = judged
                     if best:
-                        found.append((ids[chunk.first + text], item.item_id, max(h[2] for h in hits), *best))
+                        rows, of_text, queries = compared[number]
+                        own = slice(*np.searchsorted(of_text, [text, text + 1]))
+                        cosine = float((rows[own] @ queries.T).max())
+                        found.append((ids[chunk.first + text], item.item_id, cosine, *best))
             yield pd.DataFrame(found, columns=["doc_id", "item_id", "cosine", "lcs_ratio", "answer_found"])
 
     return docs.select("doc_id", "text").mapInPandas(
@@ -305,10 +365,10 @@ def _matches(docs: DataFrame, items: list[Item], vectors: np.ndarray, least_cosi
     )
 
 
-def _merged(hits: list[tuple[int, int, float]], around: int) -> list[tuple[int, int]]:
-    """Stretches of words around hits, with an item's length on either side."""
+def _merged(hits: list[tuple[int, int]], around: int) -> list[tuple[int, int]]:
+    """Stretches of words around hits, with ``around`` words on either side."""
     out: list[list[int]] = []
-    for first, last, _ in sorted(hits):
+    for first, last in sorted(hits):
         first, last = max(0, first - around), last + around
         if out and first <= out[-1][1]:
             out[-1][1] = max(out[-1][1], last)
@@ -329,7 +389,9 @@ def decontaminate(
 
     How: idf and a randomised SVD are computed over the passages of all documents. Every window of
     every document is compared with the windows of all items in the latent space; those close
-    enough are checked by the longest common subsequence of words. The items are the query set:
+    enough are checked by the longest common subsequence of words. Rewording and windows that lie
+    apart can take a match below any useful cosine, so a stretch with enough of an item's rarer
+    words is checked as well (``Stretches``); none that can count is passed over. The items are the query set:
     they are read in blocks of about ``ITEMS_PER_PASS``, and each block meets all documents. The
     corpus is never shuffled; tasks exchange sums of a fixed size.
 
@@ -343,7 +405,8 @@ def decontaminate(
     items = benchmark.where(F.col("text").isNotNull()).select("item_id", "text")
     count = items.count()
     passes = max(1, math.ceil(count / ITEMS_PER_PASS))
-    vectors = latent_vectors(docs, inverse_frequencies(docs)) if count else np.zeros((DIM + 1, RANK), np.float32)
+    idf = inverse_frequencies(docs) if count else np.zeros(DIM)
+    vectors = latent_vectors(docs, idf) if count else np.zeros((DIM + 1, RANK), np.float32)
     found = None
     for number in range(passes):
         some = items.where(F.pmod(F.xxhash64("item_id"), F.lit(passes)) == number).orderBy("item_id").toPandas()
@@ -352,6 +415,6 @@ def decontaminate(
             words = word_hashes([text], SIGNS)[0].tolist()
             if words:
                 block.append(Item(None if pd.isna(item_id) else int(item_id), words))
-        matches = _matches(docs, block, vectors, least_cosines)
+        matches = _matches(docs, block, vectors, idf, least_cosines)
         found = matches if found is None else found.union(matches)
     return found
