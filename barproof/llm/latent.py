@@ -20,10 +20,11 @@ RANK = 80
 EXTRA = 16
 SKETCH = 128
 SEED = 11
-#: Words of a block; windows are 2 blocks, or 4 for items of LONG words and more.
+#: Words of a block; windows are 2 blocks, or 1 for items of fewer words than BRIEF, or 4 for items
+#: of LONG words and more.
 BLOCK = 8
 SHORT, LONG_BLOCKS = 2, 4
-LONG = 40
+BRIEF, LONG = 12, 40
 #: Cosine from which a window is looked at closely: of two blocks (which may hold a fourth of other
 #: words), and of four. Stretches below that are looked at by their words, see ``Stretches``.
 LEAST_COSINES = (0.62, 0.75)
@@ -297,12 +298,13 @@ class Stretches:
         return zip(text.tolist(), item.tolist(), (place - chunk.bounds[text]).tolist(), strict=True)
 
 
-def _queries(items: list[Item], vectors: np.ndarray, long: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Unit vectors of windows over items, every half block (every block for long items)."""
-    width, step = (LONG_BLOCKS * BLOCK, BLOCK) if long else (SHORT * BLOCK, BLOCK // 2)
+def _queries(items: list[Item], vectors: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray]:
+    """Unit vectors of windows over the items whose windows have ``blocks``, every quarter window."""
+    width, step = blocks * BLOCK, blocks * BLOCK // 4
     rows, of = [], []
     for number, item in enumerate(items):
-        if (len(item.words) >= LONG) != long:
+        n = len(item.words)
+        if blocks != (1 if n < BRIEF else LONG_BLOCKS if n >= LONG else SHORT):
             continue
         buckets = np.array(item.words, np.uint64) % np.uint64(DIM)
         for at in range(0, max(1, len(buckets) - width + step), step):
@@ -321,8 +323,9 @@ def _matches(
         items = [Item(*pair) for pair in raw]
         stretches = Stretches(items, idf)
         scales = [
-            (SHORT, 1, least_cosines[0], *_queries(items, vectors, False)),
-            (LONG_BLOCKS, 2, least_cosines[1], *_queries(items, vectors, True)),
+            (1, 1, least_cosines[0], *_queries(items, vectors, 1)),
+            (SHORT, 1, least_cosines[0], *_queries(items, vectors, SHORT)),
+            (LONG_BLOCKS, 2, least_cosines[1], *_queries(items, vectors, LONG_BLOCKS)),
         ]
         for batch in batches:
             found = []
@@ -395,8 +398,8 @@ def decontaminate(
     they are read in blocks of about ``ITEMS_PER_PASS``, and each block meets all documents. The
     corpus is never shuffled; tasks exchange sums of a fixed size.
 
-    Recall of the candidate search falls for items much shorter than a window of 16 words, as the
-    window then holds mostly other words.
+    Items of fewer than ``BRIEF`` words have windows of one block; where that still holds mostly
+    other words, the search by words finds them.
 
     Edge cases: null texts have no words and no match; an item without words matches nothing; a
     null doc_id or item_id is kept as null; repeated documents and items are matched one by one.

@@ -40,3 +40,13 @@ def test_reworded_items_of_all_lengths_are_found(spark, documents, kept):
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     found = {(r["doc_id"], r["item_id"]) for r in latent.decontaminate(documents(rows), benchmark).collect()}
     assert found == {(2 * number, number) for number in range(len(items))}
+
+
+def test_short_items_are_found_in_long_documents(spark, documents):
+    pick = random.Random(6)
+    filler = invented(pick, 4000)
+    copies = [pick.choices(filler, k=n) for n in [*range(3, 16)] * 3]
+    benchmark = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(copies)], "item_id long, text string")
+    rows = inside_long_documents(pick, copies, filler)
+    found = {(r["doc_id"], r["item_id"]): r["lcs_ratio"] for r in latent.decontaminate(documents(rows), benchmark).collect()}
+    assert {(2 * number, number): 1.0 for number in range(len(copies))}.items() <= found.items()
