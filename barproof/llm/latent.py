@@ -234,20 +234,30 @@ class Item:
         self.least = math.ceil(len(self.words) * LEAST_LCS_WITH_ANSWER)
 
     def judged(self, near: list[int]) -> tuple[float, bool] | None:
-        """The best part of the item's words found in order, and whether the answer is there."""
+        """The best part of the item's words found in order, and whether the answer is there.
+
+        Every stretch of ``span`` words is judged on its own, with an eighth of the item on either
+        side for the answer. Of those accepted the largest ratio is returned.
+        """
         n, masks = len(self.words), self.masks
         if sum(map(masks.__contains__, near)) < self.least or common_subsequence(masks, near) < self.least:
             return None
-        span, step = self.span, max(1, n // 8)
-        best, place = 0, 0
-        for at in range(0, max(1, len(near) - span + step), step):
-            found = common_subsequence(masks, near[at : at + span])
-            if found > best:
-                best, place = found, at
-        close = near[max(0, place - step) : place + span + step]
-        answer = common_subsequence(self.answer_masks, close) >= min(ANSWER_FOUND, len(self.answer))
-        ratio = best / n
-        return (ratio, answer) if ratio >= LEAST_LCS or (answer and ratio >= LEAST_LCS_WITH_ANSWER) else None
+        span, margin = self.span, max(1, n // 8)
+        known = np.cumsum([0, *map(masks.__contains__, near)])
+        starts = np.arange(max(1, len(near) - span + 1))
+        counts = known[np.minimum(starts + span, len(near))] - known[starts]
+        best = None
+        for at in starts[counts >= self.least].tolist():
+            ratio = common_subsequence(masks, near[at : at + span]) / n
+            if ratio < LEAST_LCS_WITH_ANSWER or (best and ratio < best[0]):
+                continue
+            close = near[max(0, at - margin) : at + span + margin]
+            answer = common_subsequence(self.answer_masks, close) >= min(ANSWER_FOUND, len(self.answer))
+            if (answer or ratio >= LEAST_LCS) and (best is None or (ratio, answer) > best):
+                best = ratio, answer
+                if best == (1.0, True):
+                    break
+        return best
 
 
 class Stretches:

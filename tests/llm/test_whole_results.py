@@ -50,3 +50,17 @@ def test_short_items_are_found_in_long_documents(spark, documents):
     rows = inside_long_documents(pick, copies, filler)
     found = {(r["doc_id"], r["item_id"]): r["lcs_ratio"] for r in latent.decontaminate(documents(rows), benchmark).collect()}
     assert {(2 * number, number): 1.0 for number in range(len(copies))}.items() <= found.items()
+
+
+def test_each_stretch_of_a_document_is_judged_on_its_own():
+    item = latent.Item(1, list(range(1, 21)))
+    other = list(range(100, 200))
+    larger = [*range(1, 15), *other[:6]]  # 14 of 20 words, without the answer
+    smaller = [*range(1, 8), *other[:7], *range(15, 21)]  # 13 of 20, with it
+    assert item.judged(larger) is None
+    assert item.judged(smaller) == (0.65, True)
+    for near in (larger + other[:40] + smaller, smaller + other[:40] + larger):
+        assert item.judged(near) == (0.65, True)
+    # A copy with words between its own, that only one place of the stretch holds.
+    wide = [*range(1, 8), *other[:12], *range(16, 21), 300]
+    assert all(item.judged(other[:lead] + wide + other[50:90]) == (0.6, True) for lead in range(12))
