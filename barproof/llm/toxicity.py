@@ -181,11 +181,17 @@ def _raw(trees: GBTClassificationModel, rows: DataFrame) -> DataFrame:
     )
 
 
+def _grown(rows: DataFrame) -> GBTClassificationModel:
+    growing = rows.withColumn("features", array_to_vector("features")).coalesce(4)
+    return GBTClassifier(labelCol="toxic", maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, seed=7).fit(growing)
+
+
 def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> ToxicityModel:
     """Learn from labelled rows outside the held-out fold, on a sample of ``sample_docs`` of them.
 
     The remaining four folds have separate parts, so that nothing is judged by rows it was learned
-    from: two give the terms, one the trees, one the calibration. Texts count once.
+    from: two give the terms, one the trees, one the calibration. Texts count once. Where the trees' or the
+    calibration's fold lacks a value that others have, the trees learn from all four, uncalibrated.
     """
     marked = (
         labels.where(~held_out() & F.col("toxic").isNotNull())
@@ -203,17 +209,17 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) ->
         .select("row.*")
     )
     odds = learned_terms(sample.where("fold in (1, 2)"))
-    rows = materialize(
-        sample.where("fold in (3, 4)").mapInPandas(
-            _on_texts(["fold", "toxic"], odds), "fold int, toxic int, features array<double>"
-        )
+    featured = lambda some: materialize(
+        some.mapInPandas(_on_texts(["fold", "toxic"], odds), "fold int, toxic int, features array<double>")
     )
+    rows = featured(sample.where("fold in (3, 4)"))
     found = {(r["fold"], r["toxic"]): r["count"] for r in rows.groupBy("fold", "toxic").count().collect()}
     if not all(found.get((f, t)) for f in (3, 4) for t in (0, 1)):
-        total = sum(found.values())
-        return ToxicityModel(odds, None, None, sum(n for (_, t), n in found.items() if t) / total if total else 0.0)
-    growing = rows.where("fold = 3").withColumn("features", array_to_vector("features")).coalesce(4)
-    trees = GBTClassifier(labelCol="toxic", maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, seed=7).fit(growing)
+        values = {r["toxic"] for r in sample.select("toxic").distinct().collect()}
+        if len(values) < 2:
+            return ToxicityModel(odds, None, None, float(max(values, default=0)))
+        return ToxicityModel(odds, _grown(featured(sample)), None, 0.0)
+    trees = _grown(rows.where("fold = 3"))
     raw = materialize(_raw(trees, rows.where("fold = 4")).select("toxic", "raw"))
     calibration = IsotonicRegression(featuresCol="raw", labelCol="toxic", predictionCol="score").fit(raw)
     return ToxicityModel(odds, trees, calibration, 0.0)
@@ -228,7 +234,8 @@ def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
         rows = kept.mapInPandas(
             _on_texts(["doc_id", "held_out"], model.odds), "doc_id long, held_out boolean, features array<double>"
         )
-        scored = model.calibration.transform(_raw(model.trees, rows)).drop("raw")
+        raw = _raw(model.trees, rows)
+        scored = model.calibration.transform(raw).drop("raw") if model.calibration else raw.withColumnRenamed("raw", "score")
     bounded = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("score")))
     return scored.select(
         "doc_id", "held_out", bounded.alias("score"), (bounded >= 0.5).cast("int").alias("predicted")
@@ -247,7 +254,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     every whole text once, on the executors.
 
     Edge cases: null and empty texts are scored as texts without words. If the training folds have
-    labels of one value only, or none, every score is that value's part (0 without labels). Of
+    labels of one value only, or none, every score is that value (0 without labels). Of
     labels that repeat a doc_id the largest counts; null labels are not learned from. labels, lang,
     source and doc_id never enter a score, and other columns are ignored.
     """

@@ -1,10 +1,11 @@
 """Nothing that a rule accepts is lost on the way to it, on cases that are hard to come across."""
 
 import random
+import zlib
 
 import pytest
 
-from barproof.llm import latent
+from barproof.llm import latent, toxicity
 
 
 def invented(pick, n):
@@ -64,3 +65,17 @@ def test_each_stretch_of_a_document_is_judged_on_its_own():
     # A copy with words between its own, that only one place of the stretch holds.
     wide = [*range(1, 8), *other[:12], *range(16, 21), 300]
     assert all(item.judged(other[:lead] + wide + other[50:90]) == (0.6, True) for lead in range(12))
+
+
+@pytest.mark.parametrize("missing", [3, 4])
+def test_toxic_labels_missing_in_one_fold_still_teach(spark, documents, missing):
+    pick = random.Random(missing)
+    filler, rows, labels = invented(pick, 300), [], []
+    for doc_id in range(400):
+        fold = zlib.crc32(str(doc_id).encode()) % 5
+        toxic = doc_id % 4 == 0 and fold != missing
+        insult = ["you", "stupid", "idiot"] if toxic else []
+        rows.append((doc_id, " ".join(pick.choices(filler, k=20) + insult)))
+        labels.append((doc_id, int(toxic)))
+    found = toxicity.toxicity(documents(rows), spark.createDataFrame(labels, "doc_id long, toxic int")).collect()
+    assert {r["doc_id"]: r["predicted"] for r in found} == dict(labels)
