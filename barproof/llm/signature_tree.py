@@ -113,11 +113,14 @@ class Members:
     """Members of a block with what decides links between them: bitmaps, and token sets if given.
 
     A bitmap is as wide as its set is large, so members are kept by width. Linked sets have sizes
-    near each other, so the wider one of a pair has twice the width at most; it is folded.
+    near each other, den / num apart at most, so the wider one of a pair has ``reach`` times the
+    width at most; it is folded.
     """
 
     def __init__(self, docs: np.ndarray, sizes: np.ndarray, maps: list[bytes], sets: list[bytes] | None, num: int, den: int):
         self.num, self.den = num, den
+        # The power of two from den / num on; of sets of a size as well, widths may be doubled.
+        self.reach = max(2, 1 << (-(-den // num) - 1).bit_length())
         self.docs, self.sizes = docs, sizes
         self.widths = np.array([8 * len(m) for m in maps])
         self.place = np.zeros(len(docs), np.int64)
@@ -186,19 +189,24 @@ def joined(members: Members, side: np.ndarray, head: int) -> np.ndarray:
     }
     if (side == 1).any():
         pairs = [
-            (classes[0, w], classes[1, v]) for w in members.maps for v in (w // 2, w, 2 * w) if v in members.maps
+            (classes[0, w], classes[1, v])
+            for w in members.maps
+            for v in members.maps
+            if max(w, v) <= members.reach * min(w, v)
         ]
     else:
         first = np.flatnonzero(members.docs == head)[:1]
         for width in members.maps if len(first) else ():
             own = int(members.widths[first[0]])
             at = classes[0, width]
-            for start in range(0, len(at), 256) if max(own, width) <= 2 * min(own, width) else ():
+            for start in range(0, len(at), 256) if max(own, width) <= members.reach * min(own, width) else ():
                 members.connect(groups, first, at[start : start + 256], min(own, width))
         if (groups.of == groups.of[0]).all():
             pairs = []
         else:
-            pairs = [(classes[0, w], classes[0, v]) for w in members.maps for v in (w, 2 * w) if v in members.maps]
+            pairs = [
+                (classes[0, w], classes[0, v]) for w in members.maps for v in members.maps if w <= v <= members.reach * w
+            ]
     for one, two in pairs:
         if len(one) and len(two):
             members.traverse(groups, one, two)

@@ -5,7 +5,8 @@ import zlib
 
 import pytest
 
-from barproof.llm import latent, toxicity
+from barproof.llm import latent, signature_tree, toxicity
+from tests.llm.brute_force import near_duplicates
 
 
 def invented(pick, n):
@@ -79,3 +80,13 @@ def test_toxic_labels_missing_in_one_fold_still_teach(spark, documents, missing)
         labels.append((doc_id, int(toxic)))
     found = toxicity.toxicity(documents(rows), spark.createDataFrame(labels, "doc_id long, toxic int")).collect()
     assert {r["doc_id"]: r["predicted"] for r in found} == dict(labels)
+
+
+def test_links_between_sets_of_which_one_is_four_times_as_large(documents):
+    pick = random.Random(12)
+    words = invented(pick, 3600)
+    rows = [(1, " ".join(words[:1000])), (2, " ".join(words)), (3, " ".join(invented(pick, 2000)))]
+    found = signature_tree.ngram_jaccard_join(documents(rows), 3, 1, 4).collect()
+    want = near_duplicates(rows, 3, 1, 4)
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == want
+    assert want[2][1] == 1
