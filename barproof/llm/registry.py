@@ -5,7 +5,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barproof.llm import content_sort, language, latent, mixing, packing, signature_tree, suffix_sort, toxicity, url_filter, warc
+from barproof.llm import content_sort, language, latent, mixing, packing, periodic, signature_tree, subvectors, suffix_sort, toxicity, url_filter, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,6 +50,8 @@ QUERIES: dict[str, Query] = {
     "op8_warc": lambda spark, sf: warc.archived_pages(_pages(spark, sf)),
     "op9_language_id": lambda spark, sf: language.language_id(_documents(spark, sf)),
     "op10_suffix_sort_dedup": lambda spark, sf: suffix_sort.remove_repeats(_documents(spark, sf)).drop("kept"),
+    "op11_periodic_runs": lambda spark, sf: periodic.run_digests(periodic.with_planted_runs(_documents(spark, sf))),
+    "op12_centroid_clustering": lambda spark, sf: subvectors.clustered(_table(spark, sf, "embeddings")),
 }
 
 SQL: dict[str, str] = {
@@ -58,4 +60,6 @@ SQL: dict[str, str] = {
     "op4_mix_sources": mixing.SQL,
     "op5_url_filter": url_filter.SQL,
     "op8_warc": warc.SQL,
+    "op11_periodic_runs": periodic.SQL,
+    "op12_centroid_clustering": subvectors.SQL,
 }
