@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -216,7 +217,7 @@ def word_runs(docs: DataFrame, least: int = LEAST) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column("text").cast(pa.binary())
-            sizes = [0 if n is None else n for n in pa.compute.binary_length(column).to_pylist()]
+            sizes = [0 if n is None else n for n in pc.binary_length(column).to_pylist()]
             for part in chunks(sizes):
                 texts = [text or b"" for text in column.slice(part.start, part.stop - part.start).to_pylist()]
                 found, short = zip(*_searched(texts, least), strict=True)

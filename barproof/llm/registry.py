@@ -5,7 +5,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barproof.llm import content_sort, language, latent, mixing, packing, periodic, signature_tree, subvectors, suffix_sort, toxicity, url_filter, warc
+from barproof.llm import content_sort, language, latent, minmax, mixing, packing, periodic, signature_tree, subvectors, suffix_sort, toxicity, url_filter, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,6 +52,7 @@ QUERIES: dict[str, Query] = {
     "op10_suffix_sort_dedup": lambda spark, sf: suffix_sort.remove_repeats(_documents(spark, sf)).drop("kept"),
     "op11_periodic_runs": lambda spark, sf: periodic.run_digests(periodic.with_planted_runs(_documents(spark, sf))),
     "op12_centroid_clustering": lambda spark, sf: subvectors.clustered(_table(spark, sf, "embeddings")),
+    "op13_minmax_near_dedup": lambda spark, sf: minmax.near_duplicates(_documents(spark, sf)),
 }
 
 SQL: dict[str, str] = {
@@ -62,4 +63,5 @@ SQL: dict[str, str] = {
     "op8_warc": warc.SQL,
     "op11_periodic_runs": periodic.SQL,
     "op12_centroid_clustering": subvectors.SQL,
+    "op13_minmax_near_dedup": minmax.SQL,
 }
