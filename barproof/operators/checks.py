@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +9,7 @@ from barproof.functions import text
 from barproof.functions.numeric import ieee_divide, is_weekday, weekdays_before
 from barproof.operators.series import BLOCK, CONTEXT, MAX_ROWS, POSITION, Series, arrange
 from barproof.schemas import FLAG_COLUMNS
+from barproof.session import materialize
 from barproof.sources.calendar import Calendar
 
 # Flag types with their severities, in check order.
@@ -48,59 +47,87 @@ def _as_flags(df: DataFrame, flag_type: str, details: str) -> DataFrame:
 # --- columns computed over a ticker's series ------------------------------------------------
 
 
-def _profile(series: Series, before: int) -> DataFrame:
-    """Add to each bar what the checks need to know about the bars around it.
-
-    All windows share one layout, so they cost one shuffle and one sort, and run as two operators:
-    neighbours first, then running values. Columns that a check does not use are pruned.
-    """
+def _neighbours(series: Series, before: int) -> DataFrame:
+    """Each bar with the ones next to it, and its place where a streak or a day starts with it."""
     over = series.over()
-    df = series.with_context(before=before).selectExpr(
+    df = series.with_context(before=before, after=1).selectExpr(
         "*",
         f"lag(close) {over} AS _previous_close",
         f"lag(adj_close) {over} AS _previous_adj",
         f"lag(date) {over} AS previous_date",
         f"lead(date) {over} AS _next_date",
-        f"min(exchange) {series.over('UNBOUNDED PRECEDING', 'UNBOUNDED FOLLOWING')} AS _exchange",
     )
     # A streak starts where the previous close is NULL or differs. A NULL close itself does not
     # differ from anything, so it continues the streak. Context rows do not count as starts, since
     # their own previous bar may be out of sight.
     starts_streak = f"NOT {CONTEXT} AND (_previous_close IS NULL OR close <> _previous_close)"
-    starts_day = "previous_date IS NULL OR date <> previous_date"
-    skipped = f"{weekdays_before('date')} - {weekdays_before('date_add(previous_date, 1)')}"
-    df = df.selectExpr(
+    starts_day = f"NOT {CONTEXT} AND (previous_date IS NULL OR date <> previous_date)"
+    return df.selectExpr(
         "*",
         f"CASE WHEN {starts_streak} THEN {POSITION} END AS _streak_start",
         f"CASE WHEN {starts_day} THEN {POSITION} END AS _day_start",
+    )
+
+
+def _carried(series: Series) -> DataFrame:
+    """For each block of cut series, what the ticker's earlier blocks hand on to it.
+
+    A prefix scan over block summaries: the last start of a streak and of a day before the block,
+    and the ticker's exchange. One row per block, written once.
+    """
+    blocks = (
+        _neighbours(series, before=1)
+        .where(f"NOT {CONTEXT}")
+        .groupBy("ticker", BLOCK)
+        .agg(
+            F.min("exchange").alias("_least_exchange"),
+            F.max("_streak_start").alias("_last_streak"),
+            F.max("_day_start").alias("_last_day"),
+        )
+    )
+    earlier = f"OVER (PARTITION BY ticker ORDER BY {BLOCK} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    return materialize(
+        blocks.selectExpr(
+            "ticker",
+            BLOCK,
+            f"max(_last_streak) {earlier} AS _carried_streak",
+            f"max(_last_day) {earlier} AS _carried_day",
+            "min(_least_exchange) OVER (PARTITION BY ticker) AS _exchange",
+        )
+    )
+
+
+def _profile(series: Series, before: int) -> DataFrame:
+    """Add to each bar what the checks need to know about the bars around it.
+
+    All windows share one layout, so they cost one shuffle and one sort, and run as two operators:
+    neighbours first, then running values. Columns that a check does not use are pruned.
+    """
+    df = _neighbours(series, before)
+    skipped = f"{weekdays_before('date')} - {weekdays_before('date_add(previous_date, 1)')}"
+    df = df.selectExpr(
+        "*",
         f"({ieee_divide('adj_close', '_previous_adj')} - 1) * 100 AS pct_return",
         f"CASE WHEN datediff(date, previous_date) > 1 THEN {skipped} ELSE 0 END AS weekdays_skipped",
     )
     so_far = series.over("UNBOUNDED PRECEDING", "CURRENT ROW")
     trailing = series.over(f"{TRAILING} PRECEDING", "1 PRECEDING")
-    start = f"max(_streak_start) {so_far}"
+    streak, day = f"max(_streak_start) {so_far}", f"max(_day_start) {so_far}"
     if series.is_cut:
-        df = df.join(_streaks_carried_over(df), ["ticker", BLOCK])
-        start = f"coalesce({start}, _carried)"
+        df = df.join(_carried(series), ["ticker", BLOCK])
+        streak, day = f"coalesce({streak}, _carried_streak)", f"coalesce({day}, _carried_day)"
+    else:
+        exchange = f"min(exchange) {series.over('UNBOUNDED PRECEDING', 'UNBOUNDED FOLLOWING')}"
+        df = df.selectExpr("*", f"{exchange} AS _exchange")
     return df.selectExpr(
         "*",
-        f"{POSITION} - {start} + 1 AS streak_length",
-        f"{POSITION} - max(_day_start) {so_far} + 1 AS occurrences",
+        f"{POSITION} - {streak} + 1 AS streak_length",
+        f"{POSITION} - {day} + 1 AS occurrences",
         f"avg(pct_return) {trailing} AS rolling_mean",
         f"stddev_samp(pct_return) {trailing} AS rolling_std",
     )
 
 
-def _streaks_carried_over(df: DataFrame) -> DataFrame:
-    """For each block, the last start of a streak in the ticker's earlier blocks."""
-    earlier = "OVER (PARTITION BY ticker ORDER BY {} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
-    return (
-        df.groupBy("ticker", BLOCK)
-        .agg(F.max("_streak_start").alias("_last_start"))
-        .selectExpr("ticker", BLOCK, f"max(_last_start) {earlier.format(BLOCK)} AS _carried")
-    )
-
-
 def _has_stale_price(n: int) -> str:
     return f"streak_length > {int(n)}"
 
@@ -144,14 +171,7 @@ def missing_dates(
 
 
 def _missing_dates(series: Series, calendar: Calendar) -> DataFrame:
-    df = _profile(series, before=1)
-    if series.is_cut:
-        bounds = ticker_bounds(series.rows).select(
-            "ticker", F.col("exchange").alias("_exchange"), calendar.known("exchange").alias("_known")
-        )
-        df = df.drop("_exchange").join(bounds, "ticker").where(f"_known AND NOT {CONTEXT}")
-    else:
-        df = df.where(calendar.known("_exchange"))
+    df = _profile(series, before=1).where(f"NOT {CONTEXT}").where(calendar.known("_exchange"))
     days = (
         df.where(HAS_GAP)
         .selectExpr("ticker", "_exchange", f"explode({DAYS_BETWEEN}) AS date")
@@ -210,22 +230,10 @@ def all_flags(
 ) -> DataFrame:
     """All five checks as one set of flags, duplicates kept.
 
-    Uncut series are shuffled and sorted once for all five checks: every bar yields an array of its
-    flags. Cut series share one ordered table, written once, instead.
+    The series are shuffled and sorted once for all five checks: every bar yields an array of its
+    flags. Cut series do so block by block, with what a prefix scan over the blocks hands on.
     """
-    series = arrange(prices, keyed, max_rows)
-    if not series.is_cut:
-        return _all_flags_in_one_pass(series, calendar, n, k)
-    return reduce(
-        DataFrame.unionByName,
-        [
-            _missing_dates(series, calendar),
-            _stale_price(series, n),
-            _outlier_return(series, k),
-            duplicate_rows(series.rows),
-            ohlc_inconsistency(series.rows),
-        ],
-    )
+    return _all_flags_in_one_pass(arrange(prices, keyed, max_rows), calendar, n, k)
 
 
 def _all_flags_in_one_pass(series: Series, calendar: Calendar, n: int, k: float) -> DataFrame:
@@ -248,7 +256,7 @@ def _all_flags_in_one_pass(series: Series, calendar: Calendar, n: int, k: float)
         f"transform(filter({DAYS_BETWEEN}, day -> {is_weekday('day')}), day -> {missing}) "
         "ELSE array() END"
     )
-    bars = _profile(series, before=REACH).where(calendar.known("_exchange"))
+    bars = _profile(series, before=REACH).where(f"NOT {CONTEXT}").where(calendar.known("_exchange"))
     # A plain filter first: building arrays costs far more than the few conditions.
     any_flag = " OR ".join(f"({condition})" for condition, _ in on_this_bar)
     flags = bars.where(f"{HAS_GAP} OR {any_flag}").selectExpr(

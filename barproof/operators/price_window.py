@@ -6,32 +6,41 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barproof.functions.text import history_line
-from barproof.operators.series import CONTEXT, MAX_ROWS, Series, arrange
+from barproof.operators.series import CONTEXT, MAX_ROWS, Series, arrange, measure
 from barproof.schemas import BAR_VALUES, KEY, PRICE_COLUMNS
 
 #: Bars on either side of the flagged one.
 SPAN = 10
 
 _ANCHOR = "_anchor"
+#: 0 for a target, which comes first among the rows of its day, 1 for a bar.
+_BAR = "_is_bar"
 
 
 def _anchored(prices: DataFrame, targets: DataFrame, keyed: bool, max_rows: int, span: int):
     """Arrange the bars of tickers that have targets, marking the bars on a target day.
 
-    One join by ticker serves for both. If the targets are few, Spark broadcasts them and drops all
-    other tickers before any shuffle; if not, its shuffle by ticker is the one the windows need.
+    Targets are rows among the bars, so that one sweep in the order of days marks what it meets: the
+    cost is that of bars and targets, in the one shuffle that the windows need. Only where series
+    are too long for a task, bars and targets are joined by ticker and day instead.
     """
-    days = (
-        targets.where("date IS NOT NULL")
-        .groupBy("ticker")
-        .agg(F.collect_set("date").alias("_days"))  # distinct days: bounded by the calendar
-    )
-    marked = (
-        prices.select(*PRICE_COLUMNS)
-        .join(days, "ticker")
-        .selectExpr(*PRICE_COLUMNS, f"array_contains(_days, date) AS {_ANCHOR}")
-    )
-    series = arrange(marked, keyed, max_rows, extra_columns=(_ANCHOR,), measured=prices)
+    days = targets.where("date IS NOT NULL").select(*KEY).distinct()
+    # Few tickers are broadcast and drop the bars of all others before any shuffle.
+    wanted = prices.select(*PRICE_COLUMNS).join(days.select("ticker").distinct(), "ticker", "left_semi")
+    layout = measure(prices, keyed, max_rows)
+    if layout.cut:
+        marked = wanted.join(days.withColumn(_ANCHOR, F.lit(True)), KEY, "left")
+        marked = marked.selectExpr(*PRICE_COLUMNS, f"coalesce({_ANCHOR}, false) AS {_ANCHOR}")
+        series = arrange(marked, keyed, max_rows, extra_columns=(_ANCHOR,), layout=layout)
+    else:
+        both = wanted.withColumn(_BAR, F.lit(1)).unionByName(
+            days.withColumn(_BAR, F.lit(0)), allowMissingColumns=True
+        )
+        arranged = arrange(both, keyed, max_rows, layout=layout)
+        sweep = Series(arranged.rows, ["date", _BAR, *arranged.order[1:]])
+        last = f"max(CASE WHEN {_BAR} = 0 THEN date END) {sweep.over('UNBOUNDED PRECEDING', 'CURRENT ROW')}"
+        met = sweep.rows.selectExpr("*", f"coalesce({last} = date, false) AS {_ANCHOR}")
+        series = Series(met.where(f"{_BAR} = 1"), sweep.order)
     return series, series.with_context(before=span, after=span)
 
 

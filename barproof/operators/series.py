@@ -76,33 +76,48 @@ class Series:
         return self.rows.selectExpr("*", f"inline({copies})")
 
 
+@dataclass(frozen=True)
+class Layout:
+    """How many tasks the bars are for, and whether a ticker has too many for one."""
+
+    cut: bool = False
+    tasks: int = 0
+
+
+def measure(prices: DataFrame, keyed: bool = False, max_rows: int = MAX_ROWS) -> Layout:
+    """One small count per ticker, unless (ticker, date) is known to be unique."""
+    if keyed:
+        return Layout()
+    sizes = prices.groupBy("ticker").count()
+    found = sizes.agg(F.max("count").alias("largest"), F.sum("count").alias("total")).first()
+    if found.largest is None:
+        return Layout()
+    return Layout(found.largest > max_rows, -(-found.total // MAX_ROWS))
+
+
 def arrange(
     prices: DataFrame,
     keyed: bool = False,
     max_rows: int = MAX_ROWS,
     extra_columns: tuple[str, ...] = (),
-    measured: DataFrame | None = None,
+    layout: Layout | None = None,
 ) -> Series:
     """Arrange bars into series.
 
     Pass ``keyed=True`` when (ticker, date) is known to be unique: the stored ``prices`` table, or
     an aggregate grouped by that key. Otherwise one small count per ticker decides about cutting.
     Bars of one ticker and day are ordered by their values, so results never depend on task order.
-    ``measured`` names a cheaper table to count, if ``prices`` is derived from it.
     """
     if keyed:
         return Series(prices, ["date"])
+    layout = layout or measure(prices, keyed, max_rows)
     order = ["date", *BAR_VALUES, *extra_columns]
-    sizes = (measured or prices).groupBy("ticker").count()
-    found = sizes.agg(F.max("count").alias("largest"), F.sum("count").alias("total")).first()
-    if found.largest is None or found.largest <= max_rows:
-        return Series(prices, order)
-    parts = max(
-        int(prices.sparkSession.conf.get("spark.sql.shuffle.partitions")),
-        -(-found.total // MAX_ROWS),
-    )
+    usual = int(prices.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if not layout.cut:
+        return Series(prices.repartition(layout.tasks, "ticker") if layout.tasks > usual else prices, order)
     columns = [*PRICE_COLUMNS, *extra_columns]
-    return Series(number_rows(prices.select(*columns), ["ticker", *order], parts), [POSITION], max_rows)
+    rows = number_rows(prices.select(*columns), ["ticker", *order], max(usual, layout.tasks))
+    return Series(rows, [POSITION], max_rows)
 
 
 def number_rows(df: DataFrame, order: list[str], parts: int) -> DataFrame:
@@ -119,15 +134,12 @@ def number_rows(df: DataFrame, order: list[str], parts: int) -> DataFrame:
         .drop("_source")
         .withColumn("_id", F.monotonically_increasing_id())
     ).selectExpr("*", "shiftright(_id, 33) AS _part", f"_id & {(1 << 33) - 1} AS _place")
-    # One row per range partition, so a single-task window and a broadcast are both bounded.
+    # One row per range partition; written, so that its size is known where it is joined.
     until = "OVER (ORDER BY _part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
-    offsets = (
-        placed.groupBy("_part")
-        .count()
-        .selectExpr("_part", f"coalesce(sum(count) {until}, 0) AS _offset")
-    )
+    counts = placed.groupBy("_part").count()
+    offsets = materialize(counts.selectExpr("_part", f"coalesce(sum(count) {until}, 0) AS _offset"))
     return (
-        placed.join(F.broadcast(offsets), "_part")
+        placed.join(offsets, "_part")
         .selectExpr("*", f"_offset + _place AS {POSITION}")
         .drop("_id", "_part", "_place", "_offset")
     )

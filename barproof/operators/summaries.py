@@ -1,6 +1,6 @@
 """Counts and scopes over prices and flags."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barproof.schemas import KEY
@@ -59,6 +59,11 @@ def repeated_keys(df: DataFrame, key: list[str] = KEY) -> DataFrame:
     return df.groupBy(*key).count().where(F.col("count") > 1)
 
 
+def percent_passed(total: Column, failed: Column) -> Column:
+    """Rows that did not fail, in percent; 0.0 if there are no rows."""
+    return F.when(total == 0, 0.0).otherwise(100.0 * (total - failed) / total)
+
+
 def pass_rate(prices: DataFrame, flags: DataFrame) -> DataFrame:
     """Share of rows without a flag, in percent; 0.0 if there are no rows.
 
@@ -70,8 +75,7 @@ def pass_rate(prices: DataFrame, flags: DataFrame) -> DataFrame:
     flagged_existing = prices.join(pairs, KEY, "left_semi").agg(F.count(F.lit(1))).scalar()
 
     def percent(failed):
-        total = F.col("total_rows")
-        return F.when(total == 0, 0.0).otherwise(100.0 * (total - failed) / total)
+        return percent_passed(F.col("total_rows"), failed)
 
     return (
         prices.agg(F.count(F.lit(1)).alias("total_rows"))

@@ -12,8 +12,8 @@ from barproof.functions.text import prompt_text
 from barproof.operators.flag_joins import unexplained_flags
 from barproof.operators.price_window import SPAN, history_lines
 from barproof.schemas import EXPLANATIONS, FLAG_COLUMNS, FLAG_KEY, FLAGS, KEY, conform
-from barproof.session import materialize
-from barproof.sources.tables import append_table, read_series, read_table, replace_table
+from barproof.session import materialize, new_path
+from barproof.sources.tables import append_table, exists, read_series, read_table, replace_table
 
 RESULTS = T.StructType(
     [
@@ -98,30 +98,38 @@ def run_explanations(
 ) -> dict[str, int]:
     """Explain the flags that have no explanation yet, append the new ones, and return counts.
 
-    Answers are appended round by round, so that a job that dies keeps all finished rounds. Failed
-    flags stay unexplained and are tried again by the next run; their reasons are a table beside the
+    Prompts are written once, in a folder for each round, and each round reads its own. Answers are
+    appended round by round, so that a job that dies keeps all finished rounds. Failed flags stay
+    unexplained and are tried again by the next run; their reasons are a table beside the
     explanations (:func:`failures_path`).
     """
     prices = read_series(spark, prices_path)
     flags = read_table(spark, flags_path, FLAGS)
     stored = read_table(spark, explanations_path, EXPLANATIONS, may_be_absent=True)
     # Fixed before the first answer is stored, as what is pending changes with it.
-    pending = materialize(prompts(prices, unexplained_flags(flags, stored), span))
+    pending = materialize(unexplained_flags(flags, stored))
     total = pending.count()
-    rounds = max(1, -(-total // ROUND))
-    explained, failures = 0, None
+    rounds = -(-total // ROUND)
+    work, answers = new_path(spark, "prompts"), new_path(spark, "answers")
+    if rounds:
+        number = F.pmod(F.xxhash64(*FLAG_KEY), F.lit(rounds)).cast("int")
+        prompted = prompts(prices, pending, span).withColumn("round", number)
+        prompted.repartition("round").write.partitionBy("round").parquet(work)
+    explained = 0
     for number in range(rounds):
-        some = pending.where(F.pmod(F.xxhash64(*FLAG_KEY), F.lit(rounds)) == number)
+        some = f"{work}/round={number}"
+        if not exists(spark, some):  # no flag has fallen into it
+            continue
         # The user's function runs once; counting and appending read what it returned.
-        results = materialize(explain(some, explain_fn, parallelism))
-        new = results.where(F.col("status") == EXPLAINED)
+        results = f"{answers}/round={number}"
+        explain(spark.read.parquet(some), explain_fn, parallelism).write.parquet(results)
+        new = spark.read.schema(RESULTS).parquet(results).where(F.col("status") == EXPLAINED)
         count = new.count()
         if count:
             append_table(conform(new, EXPLANATIONS), explanations_path)
         explained += count
-        failed = results.where(F.col("status") == FAILED)
-        failures = failed if failures is None else failures.unionByName(failed)
-    replace_table(spark, failures, failures_path(explanations_path))
+    every = spark.read.schema(RESULTS).parquet(answers) if rounds else spark.createDataFrame([], RESULTS)
+    replace_table(spark, every.where(F.col("status") == FAILED).select(*RESULTS.fieldNames()), failures_path(explanations_path))
     return {
         "newly_explained": explained,
         "already_cached": flags.count() - total,

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import date
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barproof.functions import text
 from barproof.operators.flag_joins import with_explanations
-from barproof.operators.summaries import flag_counts, pass_rate, scope_stats
+from barproof.operators.summaries import percent_passed
 from barproof.schemas import EXPLANATIONS, FLAG_COLUMNS, FLAGS
+from barproof.session import materialize
 from barproof.sources.tables import read_prices, read_table
 
 # Sections in document order.
@@ -27,36 +28,82 @@ _PLACE = {
     "place": "string",
 }
 
+#: Fixed value: a ticker's share of the hash over all names, which needs no order of them.
+_NAME_PIECE = "CAST(conv(substr(sha2(ticker, 256), 1, 15), 16, 10) AS DECIMAL(20, 0))"
 
-def _text(df: DataFrame, section: int, content: str, **keys: str) -> DataFrame:
-    """Turn each row into text with its place in the document."""
-    columns = [
-        f"CAST({keys.get(name, 'NULL')} AS {kind}) AS {name}" for name, kind in _PLACE.items()
-    ]
-    return df.selectExpr(f"{section} AS section", *columns, f"{content} AS text")
 
+def _line(section: int, content: str, when: str = "true", **keys: str) -> str:
+    """A text with its place in the document, as a struct; NULL unless ``when``."""
+    places = ", ".join(f"'{name}', CAST({keys.get(name, 'NULL')} AS {kind})" for name, kind in _PLACE.items())
+    return f"CASE WHEN {when} THEN named_struct('section', {section}, {places}, 'text', {content}) END"
 
-def _ticker_lines(prices: DataFrame) -> DataFrame:
-    """``- Tickers: A,`` and so on, one line per name; Markdown joins such lines with a blank."""
-    names = prices.select("ticker").distinct()
-    placed = names.select(
-        "ticker",
-        names.agg(F.min("ticker")).scalar().alias("first"),
-        names.agg(F.max("ticker")).scalar().alias("last"),
+
+def _lines(df: DataFrame, *lines: str) -> DataFrame:
+    return df.selectExpr(f"inline(array_compact(array({', '.join(lines)})))")
+
+
+@dataclass(frozen=True)
+class Facts:
+    """All counts of a report: one aggregate of the prices and one of the flags, put together.
+
+    ``rows`` is stored: a row for each ticker (its bars, first and last day, and flags), and one for each
+    flag type with its severity. ``total`` is the sum of them all, a single row of literals.
+    """
+
+    rows: DataFrame
+    total: DataFrame
+
+    @property
+    def tickers(self) -> DataFrame:
+        return self.rows.where("bars > 0")
+
+
+def report_facts(prices: DataFrame, flags: DataFrame) -> Facts:
+    by_ticker = prices.groupBy("ticker").agg(
+        F.count(F.lit(1)).alias("bars"), F.min("date").alias("first_day"), F.max("date").alias("last_day")
     )
-    line = (
-        "concat(CASE WHEN ticker = first THEN '- Tickers: ' ELSE '  ' END, ticker, "
-        "CASE WHEN ticker = last THEN '' ELSE ',' END)"
+    # The first flag of a ticker and day stands for the pair, a NULL day included.
+    pair = "row_number() OVER (PARTITION BY ticker, date ORDER BY flag_type)"
+    by_kind = (
+        flags.selectExpr("ticker", "flag_type", "severity", f"int({pair} = 1) AS new")
+        .groupingSets([["ticker"], ["flag_type", "severity"]], "ticker", "flag_type", "severity")
+        .agg(F.count(F.lit(1)).alias("flags"), F.sum("new").alias("pairs"))
     )
-    none = names.agg(F.count("*").alias("tickers")).where("tickers = 0")
-    return _text(placed, TICKERS, line, ticker="ticker").unionByName(
-        _text(none, TICKERS, "'- Tickers: '")
+    keys = ["ticker", "flag_type", "severity"]
+    facts = materialize(
+        by_ticker.unionByName(by_kind, allowMissingColumns=True)
+        .groupBy(*keys)
+        .agg(
+            F.coalesce(F.sum("bars"), F.lit(0)).alias("bars"),
+            F.min("first_day").alias("first_day"),
+            F.max("last_day").alias("last_day"),
+            F.coalesce(F.sum("flags"), F.lit(0)).alias("flags"),
+            F.coalesce(F.sum("pairs"), F.lit(0)).alias("pairs"),
+        )
     )
+    known = "CASE WHEN bars > 0 THEN ticker END"
+    total = facts.selectExpr(
+        f"min({known}) AS first_ticker",
+        f"max({known}) AS last_ticker",
+        f"count({known}) AS tickers",
+        f"sum(CASE WHEN bars > 0 THEN {_NAME_PIECE} END) AS name_pieces",
+        "min(first_day) AS min_date",
+        "max(last_day) AS max_date",
+        "bigint(coalesce(sum(bars), 0)) AS total_rows",
+        "bigint(coalesce(sum(CASE WHEN flag_type IS NULL THEN pairs END), 0)) AS flagged_rows",
+        "count(flag_type) AS kinds",
+    )
+    row = total.first()
+    literals = [F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in total.schema]
+    return Facts(facts, prices.sparkSession.range(1).select(*literals))
 
 
 def report_entries(prices: DataFrame, flags: DataFrame, explanations: DataFrame) -> DataFrame:
     """Flags of the tickers in ``prices``, each with its explanation or a fallback note."""
-    known = prices.select("ticker").distinct()
+    return _entries(prices.select("ticker").distinct(), flags, explanations)
+
+
+def _entries(known: DataFrame, flags: DataFrame, explanations: DataFrame) -> DataFrame:
     fallback = (
         f"CASE WHEN flag_type = 'MISSING_DATES' THEN {text.quoted(text.HOLIDAY_NOTE)} "
         f"ELSE {text.quoted(text.NO_EXPLANATION_NOTE)} END"
@@ -69,71 +116,86 @@ def report_entries(prices: DataFrame, flags: DataFrame, explanations: DataFrame)
     )
 
 
-def _summary(prices: DataFrame, flags: DataFrame) -> list[DataFrame]:
+def _fixed_lines(total: DataFrame) -> DataFrame:
+    """The lines that a report has once."""
     head = text.joined(
         text.quoted("# Data Quality Report\n\n## Summary\n\n- Date range: "),
         "coalesce(string(min_date), 'None')",
         "' to '",
         "coalesce(string(max_date), 'None')",
     )
-    total = "concat('- Total rows: ', total_rows, '\n')"
-    scope = scope_stats(prices)
-    counts = flag_counts(flags)
     table_head = text.quoted("| Flag Type | Severity | Count |\n|---|---|---|")
-    heading = counts.selectExpr(
-        f"CASE WHEN count(*) = 0 THEN {text.quoted(text.NO_FLAGS_NOTE)} ELSE {table_head} END AS text"
+    heading = f"CASE WHEN kinds = 0 THEN {text.quoted(text.NO_FLAGS_NOTE)} ELSE {table_head} END"
+    # Without any ticker, the empty ticker section leaves a blank line of its own.
+    result = text.joined(
+        "CASE WHEN total_rows = 0 THEN '\n' ELSE '' END",
+        text.quoted("## Result\n\n"),
+        text.fixed("pass_rate", 1),
+        "'% of rows passed all validation checks.'",
+    )
+    return _lines(
+        total.withColumn("pass_rate", percent_passed(F.col("total_rows"), F.col("flagged_rows"))),
+        _line(HEAD, head),
+        _line(TICKERS, "'- Tickers: '", when="tickers = 0"),
+        _line(TOTAL, "concat('- Total rows: ', total_rows, '\n')"),
+        _line(COUNTS, heading, entry="0"),
+        _line(AFTER_COUNTS, "''"),
+        _line(RESULT, result),
     )
-    row = "concat_ws(' ', '|', flag_type, '|', severity, '|', count, '|')"
-    return [
-        _text(scope, HEAD, head),
-        _ticker_lines(prices),
-        _text(scope, TOTAL, total),
-        _text(heading, COUNTS, "text", entry="0"),
-        _text(counts, COUNTS, row, entry="1", flag_type="flag_type", severity="severity"),
-        _text(prices.sparkSession.range(1), AFTER_COUNTS, "''"),
-    ]
-
-
-def _by_ticker(prices: DataFrame, flags: DataFrame, explanations: DataFrame) -> list[DataFrame]:
-    known = prices.select("ticker").distinct()
-    unflagged = known.join(flags.select("ticker").distinct(), "ticker", "left_anti")
-    note = text.quoted(text.NO_TICKER_FLAGS_NOTE + "\n")
-    return [
-        _text(known, BY_TICKER, "concat('## ', ticker, '\n')", ticker="ticker", entry="0"),
-        _text(unflagged, BY_TICKER, note, ticker="ticker", entry="1"),
-        _text(
-            report_entries(prices, flags, explanations),
+
+
+def _counted_lines(facts: Facts) -> DataFrame:
+    """The lines of each ticker and flag type.
+
+    ``- Tickers: A,`` and so on, one line per name; Markdown joins such lines with a blank.
+    """
+    name = (
+        "concat(CASE WHEN ticker = first_ticker THEN '- Tickers: ' ELSE '  ' END, ticker, "
+        "CASE WHEN ticker = last_ticker THEN '' ELSE ',' END)"
+    )
+    ends = facts.total.select("first_ticker", "last_ticker")
+    return _lines(
+        facts.rows.join(ends),  # a single row of literals
+        _line(TICKERS, name, when="bars > 0", ticker="ticker"),
+        _line(BY_TICKER, "concat('## ', ticker, '\n')", when="bars > 0", ticker="ticker", entry="0"),
+        _line(
             BY_TICKER,
-            text.report_entry(),
+            text.quoted(text.NO_TICKER_FLAGS_NOTE + "\n"),
+            when="bars > 0 AND flags = 0",
             ticker="ticker",
             entry="1",
-            date="date",
+        ),
+        _line(
+            COUNTS,
+            "concat_ws(' ', '|', flag_type, '|', severity, '|', flags, '|')",
+            when="flag_type IS NOT NULL",
+            entry="1",
             flag_type="flag_type",
             severity="severity",
-            place="concat_ws('\n', details, explanation)",
         ),
-    ]
-
-
-def _result(prices: DataFrame, flags: DataFrame) -> DataFrame:
-    # Without any ticker, the empty ticker section leaves a blank line of its own.
-    content = text.joined(
-        "CASE WHEN total_rows = 0 THEN '\n' ELSE '' END",
-        text.quoted("## Result\n\n"),
-        text.fixed("pass_rate", 1),
-        "'% of rows passed all validation checks.'",
     )
-    return _text(pass_rate(prices, flags), RESULT, content)
 
 
 def report_text(prices: DataFrame, flags: DataFrame, explanations: DataFrame) -> DataFrame:
     """The report as rows of markdown text in document order; a row may span several lines."""
-    parts = [
-        *_summary(prices, flags),
-        *_by_ticker(prices, flags, explanations),
-        _result(prices, flags),
-    ]
-    whole = reduce(DataFrame.unionByName, parts)
+    return _report_text(report_facts(prices, flags), flags, explanations)
+
+
+def _report_text(facts: Facts, flags: DataFrame, explanations: DataFrame) -> DataFrame:
+    entries = _lines(
+        _entries(facts.tickers, flags, explanations),
+        _line(
+            BY_TICKER,
+            text.report_entry(),
+            ticker="ticker",
+            entry="1",
+            date="date",
+            flag_type="flag_type",
+            severity="severity",
+            place="concat_ws('\n', details, explanation)",
+        ),
+    )
+    whole = _fixed_lines(facts.total).unionByName(_counted_lines(facts)).unionByName(entries)
     order = [F.asc_nulls_last(name) if name == "date" else F.asc(name) for name in whole.columns]
     return whole.orderBy(*order[:-1])
 
@@ -149,24 +211,32 @@ def scope_hash(prices: DataFrame) -> DataFrame:
     The names enter as their number and the sum of their digests, which needs no order and no row
     that holds them all.
     """
-    piece = "CAST(conv(substr(sha2(ticker, 256), 1, 15), 16, 10) AS DECIMAL(20, 0))"
-    names = prices.select("ticker").distinct()
-    scope = names.selectExpr(f"concat_ws(',', count(*), sum({piece})) AS names")
-    basis = (
-        "concat_ws('|', names, coalesce(string(min_date), 'None'), coalesce(string(max_date), 'None'))"
-    )
-    return (
-        scope_stats(prices)
-        .withColumn("names", scope.scalar())
-        .selectExpr(f"substr(sha2({basis}, 256), 1, 8) AS scope_hash")
+    by_ticker = prices.groupBy("ticker").agg(F.min("date").alias("first_day"), F.max("date").alias("last_day"))
+    return _hashed(
+        by_ticker.selectExpr(
+            "count(*) AS tickers",
+            f"sum({_NAME_PIECE}) AS name_pieces",
+            "min(first_day) AS min_date",
+            "max(last_day) AS max_date",
+        )
     )
 
 
+def _hashed(total: DataFrame) -> DataFrame:
+    names = "concat_ws(',', tickers, name_pieces)"
+    days = "coalesce(string(min_date), 'None'), coalesce(string(max_date), 'None')"
+    return total.selectExpr(f"substr(sha2(concat_ws('|', {names}, {days}), 256), 1, 8) AS scope_hash")
+
+
 def report_name(prices: DataFrame, report_date: date | None = None) -> DataFrame:
     """Name of the report for this scope and day."""
+    return _named(scope_hash(prices), report_date)
+
+
+def _named(hashed: DataFrame, report_date: date | None) -> DataFrame:
     day = (report_date or date.today()).isoformat()
     name = F.concat(F.lit(f"market_data_quality_report_{day}_"), F.col("scope_hash"), F.lit(".md"))
-    return scope_hash(prices).select(name.alias("report_name"))
+    return hashed.select(name.alias("report_name"))
 
 
 def run_report(
@@ -181,7 +251,8 @@ def run_report(
     prices = read_prices(spark, prices_path)
     flags = read_table(spark, flags_path, FLAGS)
     explanations = read_table(spark, explanations_path, EXPLANATIONS, may_be_absent=True)
-    name = report_name(prices, report_date).first().report_name
+    facts = report_facts(prices, flags)
+    name = _named(_hashed(facts.total), report_date).first().report_name
     path = f"{reports_path.rstrip('/')}/{name}"
-    save_report(report_text(prices, flags, explanations), path)
+    save_report(_report_text(facts, flags, explanations), path)
     return path

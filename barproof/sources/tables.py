@@ -1,18 +1,21 @@
-"""Stored tables: keyed upsert, replace, and append, all on plain parquet."""
+"""Stored tables: keyed upsert, replace, and append, on plain parquet in versions."""
 
 from __future__ import annotations
 
-import uuid
+from dataclasses import dataclass
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barproof.functions.numeric import round_to_bigint
 from barproof.operators.summaries import repeated_keys
 from barproof.schemas import KEY, PRICES, conform
+from barproof.session import materialize
+from barproof.sources import versions
+from barproof.sources.versions import Version, hadoop_path
 
 #: Prices are stored in one folder per month, so that a daily batch rewrites recent months only.
 MONTH = "month"
@@ -22,29 +25,37 @@ TASK_BYTES = 256 * 1024 * 1024
 #: How much a compressed columnar byte grows as a row in memory.
 ROW_BYTES_PER_STORED_BYTE = 4
 
+#: The part that a replaced table consists of.
+WHOLE = "whole"
+
 
 class DuplicateKeyError(ValueError):
     """A batch repeats a (ticker, date)."""
 
 
-def _hadoop_path(spark: SparkSession, path: str):
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
-
-
 def exists(spark: SparkSession, path: str) -> bool:
-    fs, jvm_path = _hadoop_path(spark, path)
+    fs, jvm_path = hadoop_path(spark, path)
     return fs.exists(jvm_path)
 
 
 def is_folder(spark: SparkSession, path: str) -> bool:
-    fs, jvm_path = _hadoop_path(spark, path)
+    fs, jvm_path = hadoop_path(spark, path)
     return fs.exists(jvm_path) and fs.getFileStatus(jvm_path).isDirectory()
 
 
-def stored_bytes(spark: SparkSession, path: str) -> int:
-    fs, jvm_path = _hadoop_path(spark, path)
-    return fs.getContentSummary(jvm_path).getLength() if fs.exists(jvm_path) else 0
+def _read(spark: SparkSession, path: str, version: Version, schema: T.StructType, parts=None) -> DataFrame:
+    """The parts of a version that are asked for, or all."""
+    chosen = [folder for part, folder in version.parts.items() if parts is None or part in parts]
+    if not chosen:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*[f"{path.rstrip('/')}/{folder.name}" for folder in chosen])
+
+
+def _version(spark: SparkSession, path: str, may_be_absent: bool) -> Version:
+    version = versions.current(spark, path)
+    if version is None and not may_be_absent:
+        raise FileNotFoundError(f"No table is stored at {path}.")
+    return version or Version()
 
 
 def read_table(
@@ -52,31 +63,9 @@ def read_table(
 ) -> DataFrame:
     """Read a stored table; an absent one is an error, or empty where it ``may_be_absent``.
 
-    Where a replacement was interrupted between its two moves, the table set aside is read.
+    Reading changes nothing. The rows are those of one version, also while others write.
     """
-    if exists(spark, path):
-        return spark.read.schema(schema).parquet(path)
-    if exists(spark, _aside(path)):
-        return spark.read.schema(schema).parquet(_aside(path))
-    if may_be_absent:
-        return spark.createDataFrame([], schema)
-    raise FileNotFoundError(f"No table is stored at {path}.")
-
-
-def _aside(path: str) -> str:
-    return f"{path.rstrip('/')}.aside"
-
-
-def _move(spark: SparkSession, source: str, target: str) -> None:
-    fs, old = _hadoop_path(spark, source)
-    _, new = _hadoop_path(spark, target)
-    if not fs.rename(old, new):
-        raise OSError(f"Could not move {source} to {target}.")
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    fs, target = _hadoop_path(spark, path)
-    fs.delete(target, True)
+    return _read(spark, path, _version(spark, path, may_be_absent), schema)
 
 
 def from_pandas(spark: SparkSession, frame: pd.DataFrame, schema: T.StructType) -> DataFrame:
@@ -94,38 +83,9 @@ def month_of(day="date"):
     return F.date_format(day, "yyyy-MM")
 
 
-def _stored_prices(spark: SparkSession, path: str, may_be_absent: bool = False) -> DataFrame:
-    _finish_upsert(spark, path)
-    with_month = T.StructType([*PRICES.fields, T.StructField(MONTH, T.StringType())])
-    return read_table(spark, path, with_month, may_be_absent)
-
-
-def _ready(path: str) -> str:
-    return f"{path.rstrip('/')}.ready"
-
-
-def _finish_upsert(spark: SparkSession, path: str) -> None:
-    """Move months that an upsert has written whole into the table, one after the other.
-
-    A month leaves the ready folder in one move, just after its old folder is gone; whoever comes
-    after an interruption, a reader or the next upsert, goes on where it stopped.
-    """
-    if not exists(spark, _ready(path)):
-        return
-    fs, ready = _hadoop_path(spark, _ready(path))
-    _, table = _hadoop_path(spark, path)
-    fs.mkdirs(table)
-    for status in fs.listStatus(ready):
-        name = status.getPath().getName()
-        if name.startswith(f"{MONTH}="):
-            _delete(spark, f"{path.rstrip('/')}/{name}")
-            _move(spark, f"{_ready(path)}/{name}", f"{path.rstrip('/')}/{name}")
-    _delete(spark, _ready(path))
-
-
 def read_prices(spark: SparkSession, path: str) -> DataFrame:
     """The stored prices; unique by (ticker, date)."""
-    return _stored_prices(spark, path).select(*PRICES.fieldNames())
+    return read_table(spark, path, PRICES)
 
 
 def read_series(spark: SparkSession, path: str, task_bytes: int = TASK_BYTES) -> DataFrame:
@@ -135,8 +95,9 @@ def read_series(spark: SparkSession, path: str, task_bytes: int = TASK_BYTES) ->
     too large for the session's number of partitions gets a number of its own. Windows by ticker
     work on this partitioning as it is.
     """
-    prices = read_prices(spark, path)
-    tasks = stored_bytes(spark, path) * ROW_BYTES_PER_STORED_BYTE // task_bytes
+    version = _version(spark, path, may_be_absent=False)
+    prices = _read(spark, path, version, PRICES)
+    tasks = version.bytes * ROW_BYTES_PER_STORED_BYTE // task_bytes
     if tasks <= int(spark.conf.get("spark.sql.shuffle.partitions")):
         return prices
     return prices.repartition(tasks, "ticker")
@@ -148,68 +109,85 @@ def upserted(old: DataFrame, batch: DataFrame) -> DataFrame:
     return kept.select(*batch.columns).unionByName(batch)
 
 
+@dataclass(frozen=True)
+class Batch:
+    """Rows for the prices, written once; what they come from is not read again."""
+
+    rows: DataFrame
+    count: int
+    incomplete: int
+
+
+def stage(batch: DataFrame, *more: F.Column) -> tuple[DataFrame, dict]:
+    """Write a DataFrame to the shared folder once, and what is ``observed`` of it on the way."""
+    seen = Observation()
+    return materialize(batch.observe(seen, *more)), seen.get
+
+
+def staged_batch(batch: DataFrame) -> Batch:
+    incomplete = "count_if(ticker IS NULL OR exchange IS NULL OR date IS NULL) AS incomplete"
+    rows, seen = stage(conform(batch, PRICES), F.expr("count(*) AS rows"), F.expr(incomplete))
+    return Batch(rows, seen["rows"], seen["incomplete"])
+
+
 def upsert_prices(spark: SparkSession, batch: DataFrame, path: str) -> dict[str, int]:
     """Upsert a batch into the stored prices and return its row and ticker counts.
 
-    Only months that the batch touches are read and rewritten. They are written whole beside the table
-    first, then moved in month by month; a run that dies half way loses nothing, as the next reader
-    or upsert moves in what is left.
+    The batch is computed once and staged. Only months that it touches are read and rewritten, into
+    folders of their own; then a new version of the table names them. Until then, readers and
+    a job that dies leave the old version as it is; after that all of the batch is there.
     """
-    batch = conform(batch, PRICES)
+    return upsert_staged(spark, staged_batch(batch), path)
+
+
+def upsert_staged(spark: SparkSession, batch: Batch, path: str) -> dict[str, int]:
+    path = path.rstrip("/")
+    if batch.incomplete:
+        raise ValueError("The batch holds rows without ticker, exchange or date.")
     found = (
-        batch.groupBy(*KEY)
-        .agg(F.count(F.lit(1)).alias("count"), F.expr("count_if(exchange IS NULL)").alias("homeless"))
+        batch.rows.groupBy(*KEY)
+        .count()
         .agg(
-            F.expr("bool_or(ticker IS NULL OR date IS NULL OR homeless > 0)").alias("incomplete"),
-            F.coalesce(F.sum("count"), F.lit(0)).alias("rows"),
             F.count_distinct("ticker").alias("tickers"),
             F.max("count").alias("most"),
             F.collect_set(month_of()).alias("months"),  # bounded by the calendar
         )
         .first()
     )
-    if found.incomplete:
-        raise ValueError("The batch holds rows without ticker, exchange or date.")
     if found.most is not None and found.most > 1:
-        listed = f"{path.rstrip('/')}.repeated-keys"
-        replace_table(spark, repeated_keys(batch), listed)
-        count = spark.read.parquet(listed).count()
-        raise DuplicateKeyError(f"The batch repeats {count} (ticker, date), listed in {listed}.")
-    if found.rows:
-        stored = _stored_prices(spark, path, may_be_absent=True).where(F.col(MONTH).isin(*found.months))
-        merged = upserted(stored.select(*PRICES.fieldNames()), batch)
-        staged = f"{path.rstrip('/')}.staged-{uuid.uuid4().hex}"
+        listed = f"{path}.repeated-keys"
+        repeated = materialize(repeated_keys(batch.rows))
+        replace_table(spark, repeated, listed)
+        raise DuplicateKeyError(f"The batch repeats {repeated.count()} (ticker, date), listed in {listed}.")
+    base = versions.current(spark, path)
+    if batch.count:
+        stored = _read(spark, path, base or Version(), PRICES, found.months)
+        merged = upserted(stored, batch.rows)
+        folder = versions.new_folder()
         (
             merged.withColumn(MONTH, month_of())
             .hint("rebalance", MONTH)
             .sortWithinPartitions(MONTH, *KEY)
             .write.partitionBy(MONTH)
-            .parquet(staged)
+            .parquet(f"{path}/{folder}")
         )
-        # From this move on the upsert counts as done.
-        _move(spark, staged, _ready(path))
-        _finish_upsert(spark, path)
-    elif not exists(spark, path):
-        spark.createDataFrame([], PRICES).withColumn(MONTH, month_of()).write.partitionBy(
-            MONTH
-        ).parquet(path)
-    return {"rows": found.rows, "tickers": found.tickers}
+        written = {month: f"{folder}/{MONTH}={month}" for month in found.months}
+        versions.commit(spark, path, base, {**(base.parts if base else {}), **written})
+    elif base is None:
+        versions.commit(spark, path, None, {})
+    return {"rows": batch.count, "tickers": found.tickers}
 
 
 def replace_table(spark: SparkSession, df: DataFrame, path: str) -> None:
-    """Replace a stored table.
-
-    The old table is set aside until the new one is in its place, so that a reader finds one of the
-    two whole whenever the job is interrupted.
-    """
-    staged = f"{path.rstrip('/')}.staged-{uuid.uuid4().hex}"
-    df.write.parquet(staged)
-    if exists(spark, path):
-        _delete(spark, _aside(path))
-        _move(spark, path, _aside(path))
-    _move(spark, staged, path)
-    _delete(spark, _aside(path))
+    """Replace a stored table; readers find the old one or the new one, each whole."""
+    path, folder = path.rstrip("/"), versions.new_folder()
+    df.write.parquet(f"{path}/{folder}")
+    versions.commit(spark, path, versions.current(spark, path), {WHOLE: folder})
 
 
 def append_table(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
+    """Add rows to a stored table, or begin one; readers find all of the rows or none."""
+    spark, path, folder = df.sparkSession, path.rstrip("/"), versions.new_folder()
+    df.write.parquet(f"{path}/{folder}")
+    base = versions.current(spark, path) or Version()
+    versions.commit(spark, path, base, {**base.parts, folder: folder})

@@ -5,7 +5,7 @@ from itertools import cycle, islice
 
 import duckdb
 import pytest
-from conftest import bar, prices_of, weekdays
+from tests.bars import bar, prices_of, weekdays
 
 import comparison_sql as sql
 from barproof.functions import numeric, text

@@ -1,16 +1,16 @@
 from datetime import date
 
 import pytest
-from conftest import bar, explanations_of, flags_of, prices_of, weekdays
+from tests.bars import bar, explanations_of, flags_of, prices_of, weekdays
 
 import comparison_sql as sql
 from barproof.operators.flag_joins import unexplained_flags, with_explanations
 from barproof.operators.price_window import price_window
 from barproof.plans import explain as explain_plan
-from barproof.plans.explain import explain, explain_counts, failures_path, prompts, run_explanations
+from barproof.plans.explain import RESULTS, explain, explain_counts, failures_path, prompts, run_explanations
 from barproof.schemas import EXPLANATIONS
 from barproof.sources.tables import append_table, exists, read_table, replace_table, upsert_prices
-from test_checks import expected, got, random_bars
+from tests.test_checks import expected, got, random_bars
 
 DAYS = weekdays(date(2026, 1, 5), 30)
 
@@ -196,7 +196,7 @@ def test_failures_do_not_stop_the_batch_and_are_retried(spark, paths):
     counts = run_explanations(spark, *paths, fail)
     assert counts == {"newly_explained": 0, "already_cached": 0, "failed": 2}
     assert not exists(spark, paths[2])
-    reasons = spark.read.parquet(failures_path(paths[2])).collect()
+    reasons = read_table(spark, failures_path(paths[2]), RESULTS).collect()
     assert [r.error for r in reasons] == ["RuntimeError: no answer"] * 2
 
     def fail_sometimes(prompt):
@@ -214,7 +214,7 @@ def test_answers_that_are_no_text_are_failures(spark, paths):
     for answer in (None, "  ", 7):
         counts = run_explanations(spark, *paths, lambda prompt, answer=answer: answer)
         assert counts == {"newly_explained": 0, "already_cached": 0, "failed": 2}
-        assert all(r.error for r in spark.read.parquet(failures_path(paths[2])).collect())
+        assert all(r.error for r in read_table(spark, failures_path(paths[2]), RESULTS).collect())
 
 
 def test_answers_of_finished_rounds_stay(spark, paths, tmp_path, monkeypatch):

@@ -3,7 +3,6 @@ from datetime import date
 from pathlib import Path
 
 import pytest
-from conftest import weekdays
 
 from barproof.operators.checks import all_flags
 from barproof.plans.pipeline import Paths, StageFailed, run_pipeline
@@ -11,8 +10,7 @@ from barproof.plans.validate import run_validations
 from barproof.schemas import FLAGS
 from barproof.sources.tables import read_series, read_table, upsert_prices
 
-from conftest import bar, prices_of
-from test_report import saved
+from tests.bars import bar, prices_of, saved, weekdays
 
 DAYS = [d for d in weekdays(date(2026, 1, 5), 20) if d != date(2026, 1, 19)]
 

@@ -3,7 +3,7 @@ from datetime import date
 from pathlib import Path
 
 import pytest
-from conftest import bar, explanations_of, flags_of, prices_of, weekdays
+from tests.bars import bar, explanations_of, flags_of, prices_of, saved, weekdays
 
 from barproof.operators.summaries import pass_rate
 from barproof.plans.report import report_name, report_text, run_report, save_report, scope_hash
@@ -175,10 +175,6 @@ def test_report_name(spark):
     assert today.startswith(f"market_data_quality_report_{date.today().isoformat()}_")
 
 
-def saved(path):
-    return "".join(p.read_text(encoding="utf-8") for p in sorted(Path(path).glob("part-*")))
-
-
 def test_saved_report_reads_in_order(spark, tmp_path):
     rows = [bar(f"T{n:03}", d) for n in range(300) for d in DAYS[:2]]
     flags = [(f"T{n:03}", DAYS[n % 2], "STALE_PRICE", "medium", f"d{n}") for n in range(0, 300, 3)]
