@@ -33,26 +33,27 @@ class Config:
 
 
 def load_config(spark: SparkSession, path: str) -> Config:
-    """Read and validate a JSON file with ``tickers``, ``db_path`` and ``period``."""
+    """Read and validate a JSON file with ``tickers``, ``db_path`` and ``period``.
+
+    A large universe may be a folder of such files; the settings are then those that any of them has.
+    """
     try:
         config = spark.read.schema(_CONFIG).json(
             path, multiLine=True, columnNameOfCorruptRecord="_corrupt"
         )
-        settings = config.select(
-            "db_path",
-            "period",
-            F.col("_corrupt").isNotNull().alias("corrupt"),
-            F.coalesce(F.size("tickers"), F.lit(0)).alias("entries"),
-            F.exists(
-                "tickers",
-                lambda t: t.isNull() | t["symbol"].isNull() | t["exchange"].isNull(),
-            ).alias("incomplete"),
+        incomplete = F.exists("tickers", lambda t: t.isNull() | t["symbol"].isNull() | t["exchange"].isNull())
+        settings = config.agg(
+            F.max("db_path").alias("db_path"),
+            F.max("period").alias("period"),
+            F.coalesce(F.bool_or(F.col("_corrupt").isNotNull()), F.lit(False)).alias("corrupt"),
+            F.coalesce(F.sum(F.greatest(F.size("tickers"), F.lit(0))), F.lit(0)).alias("entries"),
+            F.coalesce(F.bool_or(incomplete), F.lit(False)).alias("incomplete"),
         ).first()
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"There is no configuration at {path}.") from error
         raise
-    if settings is None or (not settings.corrupt and settings.entries < 1):
+    if not settings.corrupt and settings.entries < 1:
         raise ValueError(f"The configuration {path} names no tickers.")
     if settings.corrupt or settings.incomplete:
         raise ValueError(

@@ -240,7 +240,8 @@ anchors AS (
 windows AS (
     SELECT a.ticker, a.date AS target_date, r.date, r.open, r.high, r.low, r.close, r.volume,
            r.adj_close
-    FROM anchors a JOIN ranked r ON r.ticker = a.ticker AND r.rn BETWEEN a.rn - {span} AND a.rn + {span}
+    FROM (SELECT *, unnest(range(rn - {span}, rn + {span} + 1)) AS place FROM anchors) a
+    JOIN ranked r ON r.ticker = a.ticker AND r.rn = a.place
 )"""
 
 
@@ -410,6 +411,21 @@ REPORT = " UNION ALL ".join(
 )
 
 
+# --- jobs over stored tables ------------------------------------------------------------------
+
+CONFIGURED = """
+universe AS (
+    SELECT 'U' || c_custkey AS symbol, CASE WHEN c_custkey % 2 = 0 THEN 'NYSE' ELSE 'LSE' END AS exchange
+    FROM customer
+)"""
+
+#: The bars of configured tickers take the place of all bars.
+CONFIGURED_BARS = BARS.replace("\nbars AS (", "\nevery_bar AS (") + f""",{CONFIGURED},
+bars AS (SELECT * FROM every_bar WHERE ticker IN (SELECT symbol FROM universe))"""
+
+#: All flags of configured tickers, none explained before.
+FIRST_RUN = RESULTS.replace(BARS, CONFIGURED_BARS).replace("FROM flags WHERE day(date) % 3 = 0", "FROM flags WHERE false")
+
 COMPARISON_SQL = {
     "bars": f"WITH {BARS} SELECT * FROM bars",
     "supplier_bars": f"WITH {SUPPLIERS} SELECT * FROM bars",
@@ -471,4 +487,30 @@ COMPARISON_SQL = {
         FROM results""",
     "report_entries": f"WITH {ENTRIES} SELECT * FROM entries",
     "report_lines": f"WITH {ENTRIES}, {RATE} {REPORT}",
+    "stored_universe": f"WITH {CONFIGURED} SELECT * FROM universe",
+    "stored_ingest": f"""WITH {CONFIGURED_BARS} SELECT * FROM bars
+        QUALIFY date >= CAST(max(date) OVER (PARTITION BY ticker) - INTERVAL 1 MONTH AS DATE)""",
+    "stored_rejects": f"""WITH {CONFIGURED_BARS}
+        SELECT ticker, 'Close is much' AS reason, count(*) FILTER (WHERE day(date) = 13) AS rows,
+               count(*) FILTER (WHERE day(date) <> 13) AS ingested
+        FROM bars GROUP BY ticker HAVING rows > 0 AND ingested > 0""",
+    "stored_flags": f"WITH {FLAGS} SELECT * FROM flags",
+    "stored_explanations": f"""WITH {STORED} SELECT * FROM stored UNION ALL
+        SELECT ticker, date, flag_type, explanation || ' again' FROM stored""",
+    "stored_explained": f"""WITH {RESULTS}
+        SELECT *, CAST(NULL AS VARCHAR) AS error FROM stored UNION ALL
+        SELECT ticker, date, flag_type, explanation, error FROM results""",
+    "stored_report": f"""WITH {ENTRIES}, {RATE},
+        hashed AS ({SCOPE_HASH}), report AS ({REPORT}),
+        split AS (SELECT unnest(string_split(text, chr(10))) AS value FROM report)
+        SELECT value, count(*) AS lines,
+               (SELECT 'market_data_quality_report_2026-12-25_' || scope_hash || '.md' FROM hashed) AS report_name
+        FROM split GROUP BY value""",
+    "stored_pipeline": f"""WITH {FIRST_RUN}
+        SELECT f.*, r.explanation FROM flags f
+        LEFT JOIN results r ON r.ticker = f.ticker AND r.date = f.date AND r.flag_type = f.flag_type""",
+    "flag_shares": f"""WITH {FLAGS}
+        SELECT ticker, date, flag_type, count(*) OVER (PARTITION BY flag_type, severity) AS of_kind FROM flags""",
+    "no_flags": f"WITH {FLAGS} SELECT * FROM flags WHERE false",
 }
+COMPARISON_SQL["stored_upsert"] = COMPARISON_SQL["upsert_prices"]
