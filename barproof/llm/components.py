@@ -28,6 +28,15 @@ def _starred(links: DataFrame, large: bool) -> DataFrame:
     return moved.where("src > dst").distinct()
 
 
+def _are_stars(links: DataFrame) -> bool:
+    """Whether every node has one link to a smaller one at most, and none to a node that has one."""
+    ends = links.select(F.col("src").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+        links.select("dst", F.lit(0), F.lit(1))
+    )
+    nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return nodes.where("up > 1 or up > 0 and down > 0").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """The smallest node each linked node can reach: (node, component).
 
@@ -41,12 +50,7 @@ def components(links: DataFrame) -> DataFrame:
         .where("src > dst")
         .distinct()
     )
-    mark = None
-    while True:
-        seen = state.agg(F.count("*"), F.sum(F.xxhash64("src", "dst").cast("decimal(38,0)"))).first()
-        if seen == mark:
-            break
-        mark = seen
+    while not _are_stars(state):
         state = materialize(_starred(materialize(_starred(state, large=True)), large=False))
     # All links now lead from a node to the smallest one of its component.
     found = state.select(F.col("src").alias("node"), F.col("dst").alias("component"))

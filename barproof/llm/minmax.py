@@ -6,12 +6,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barproof.llm.components import components
-from barproof.llm.rolling import chunks, mixed, shingle_sets
+from barproof.llm.rolling import column_texts, mixed, shingle_sets
 from barproof.session import materialize
 
 #: Permutations; each gives two values of a signature, its minimum and its maximum.
@@ -19,12 +18,14 @@ PERMUTATIONS = 48
 #: Values of a band. Sets with similarity s share one of the 24 bands but for (1 - s ** 4) ** 24,
 #: which is 2e-8 at 0.85.
 ROWS = 4
-#: Pairs whose signatures agree in fewer than this part of their values less than the least
-#: similarity are dropped before texts are read: some 6 standard deviations of the estimate.
-MARGIN = 0.21
+#: Pairs whose signatures agree in less than the least similarity, less this part of the values, are
+#: dropped before texts are read: some 5 standard deviations of the estimate.
+MARGIN = 0.19
 #: Documents that a task compares on each side, and documents compared with a copy of a head's text.
-BLOCK = 512
+BLOCK = 2048
 SHARE = 256
+#: Bits of the filter ahead of joins with texts (512 KB), and of one row of it, as Spark lays them out.
+FILTER_BITS, MAP_BITS = 1 << 22, 1 << 15
 #: Fixed value: the multipliers come from these numbers by ``mixed``.
 SEED = 0x2545F4914F6CDD1D
 
@@ -57,21 +58,13 @@ def bands(values: np.ndarray, rows: int = ROWS) -> np.ndarray:
     return mixed(total)
 
 
-def _texts(column: pa.Array) -> Iterator[list[bytes]]:
-    """The texts of a column by parts of bounded size; null as empty."""
-    column = column.cast(pa.binary())
-    sizes = pc.binary_length(column).fill_null(0).to_pylist()
-    for part in chunks(sizes):
-        yield [text or b"" for text in column.slice(part.start, part.stop - part.start).to_pylist()]
-
-
 def _described(docs: DataFrame, shingle: int) -> DataFrame:
     """For each row its set's size, two sums that tell sets apart, bands, and a byte of each value."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = 0
-            for texts in _texts(batch.column("text")):
+            for texts in column_texts(batch.column("text")):
                 sets = list(shingle_sets(texts, shingle))
                 some = [i for i, tokens in enumerate(sets) if len(tokens)]
                 values = np.zeros((len(sets), 2 * PERMUTATIONS), np.uint64)
@@ -97,6 +90,21 @@ def _described(docs: DataFrame, shingle: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, _DESCRIBED)
 
 
+def only(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``docs`` (doc, text) without most rows whose ``doc`` is not in ``wanted``, before any shuffle.
+
+    A bitmap of hashed numbers, of ``FILTER_BITS`` bits however many are wanted, goes to all tasks. It
+    lets some others pass, more where more are wanted, so the join that follows still decides.
+    """
+    hashed = F.pmod(F.xxhash64("doc"), F.lit(FILTER_BITS))
+    bucket, position = (hashed / MAP_BITS).cast("int"), F.pmod(hashed, F.lit(MAP_BITS))
+    maps = wanted.groupBy(bucket.alias("bucket")).agg(F.bitmap_construct_agg(position).alias("map"))
+    byte = F.conv(F.hex(F.substr("map", (position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    bit = F.getbit(byte, F.pmod(position, F.lit(8)).cast("int"))
+    placed = docs.withColumn("bucket", bucket).join(F.broadcast(maps), "bucket")
+    return placed.where(bit == 1).drop("bucket", "map")
+
+
 def _agreeing(pairs: DataFrame, kinds: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs (doc, head) whose sizes and signatures allow a link."""
     least = (num / den - MARGIN) * 2 * PERMUTATIONS
@@ -146,7 +154,7 @@ def confirmed(docs: DataFrame, pairs: DataFrame, shingle: int, num: int, den: in
         head, own = None, []
         for batch in batches:
             rows = zip(*(batch.column(n).to_pylist() for n in ("head", "part", "side", "doc")), strict=True)
-            sets = (tokens for texts in _texts(batch.column("text")) for tokens in shingle_sets(texts, shingle))
+            sets = (tokens for texts in column_texts(batch.column("text")) for tokens in shingle_sets(texts, shingle))
             found = []
             for (name, part, side, doc), tokens in zip(rows, sets, strict=True):
                 if head != (name, part):
@@ -163,7 +171,8 @@ def confirmed(docs: DataFrame, pairs: DataFrame, shingle: int, num: int, den: in
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc"), "text")
     return (
-        texts.join(wanted, "doc")
+        only(texts, wanted)
+        .join(wanted, "doc")
         .select("head", "part", "side", "doc", "text")
         .repartition("head", "part")
         .sortWithinPartitions("head", "part", "side")
@@ -171,84 +180,116 @@ def confirmed(docs: DataFrame, pairs: DataFrame, shingle: int, num: int, den: in
     )
 
 
-def _apart(postings: DataFrame, kinds: DataFrame, groups: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs (doc, head) of a band's documents that are in different groups and whose signatures agree.
+class Groups:
+    """Groups of documents in one task, by the names they come with, joined on the way."""
+
+    def __init__(self, names: np.ndarray):
+        _, self.of = np.unique(names, return_inverse=True)
+
+    def join(self, a: int, b: int) -> None:
+        self.of[self.of == self.of[b]] = self.of[a]
+
 
-    ``postings``: band, value, doc. Of documents that share a value, most are in one group by now.
-    The others are compared with all, block by block, and nothing else is.
+def _first_groups(links: DataFrame) -> DataFrame:
+    """doc and ``of``: a smaller document that it is linked with, over two links at most.
+
+    Most documents are linked with the same heads, so this is nearly their component, at far less cost;
+    what it tells apart though it is connected is only looked at once more.
+    """
+    both = links.union(links.select("dst", "src"))
+    near = materialize(both.groupBy(F.col("src").alias("doc")).agg(F.min("dst").alias("near")))
+    near = near.select("doc", F.least("doc", "near").alias("near"))
+    further = near.select(F.col("doc").alias("near"), F.col("near").alias("of"))
+    return near.join(further, "near").select("doc", "of")
+
+
+def _cells(postings: DataFrame, groups: DataFrame) -> DataFrame:
+    """Documents that may be linked to another group than their own, dealt to cells that fit a task.
+
+    The documents of a band's value are mostly in one group, the value's main one; those of all values
+    with one main group are a cluster. Those out of the main group are compared with all of a cluster:
+    a cell (cluster, block, strip) holds a block of all on side 0, and a strip of the others on side 1.
     """
     key = ["band", "value"]
-    named = groups.select(F.col("node").alias("doc"), "component")
-    placed = materialize(
-        postings.join(named, "doc", "left").select(*key, "doc", F.coalesce("component", "doc").alias("of"))
-    )
+    # Two or three documents have met each other.
+    shared = postings.where("members > 3").select(*key, "doc")
+    placed = materialize(shared.join(groups, "doc", "left").withColumn("of", F.coalesce("of", "doc")))
     counts = placed.groupBy(*key, "of").agg(F.count("*").alias("members"))
-    mixed_up = (
+    main = (
         counts.groupBy(*key)
-        .agg(F.sum("members").alias("members"), F.max(F.struct("members", "of")).alias("most"), F.count("*").alias("groups"))
-        # Two or three documents have met each other as heads.
-        .where("groups > 1 and members > 3")
-        .select(
-            *key,
-            F.col("most.of").alias("main"),
-            F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"),
-            F.ceil((F.col("members") - F.col("most.members")) / BLOCK).cast("int").alias("strips"),
-        )
+        .agg(F.max(F.struct("members", "of")).alias("most"), F.count("*").alias("groups"))
+        .where("groups > 1")
+        .select(*key, F.col("most.of").alias("cluster"))
     )
-    deal = F.pmod(F.xxhash64("doc"), F.lit(1 << 30))
-    members = materialize(
-        placed.join(mixed_up, key).select("*", F.xxhash64(*key).alias("bucket"), deal.alias("deal"))
+    members = materialize(placed.join(main, key).select("cluster", "doc", "of").distinct())
+    sizes = members.groupBy("cluster").agg(
+        F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"),
+        F.ceil(F.count_if(F.col("of") != F.col("cluster")) / BLOCK).cast("int").alias("strips"),
     )
-    # Cell (block, strip) of a bucket: all members of a block, and those out of the main group of a strip.
-    every = members.select(
-        "bucket", F.pmod("deal", "blocks").cast("int").alias("block"),
+    deal = F.pmod(F.xxhash64("doc"), F.lit(1 << 30))
+    dealt = materialize(members.join(sizes, "cluster").select("*", deal.alias("deal")))
+    every = dealt.select(
+        "cluster", F.pmod("deal", "blocks").cast("int").alias("block"),
         F.explode(F.sequence(F.lit(0), F.col("strips") - 1)).alias("strip"), F.lit(0).alias("side"), "doc", "of",
     )
-    others = members.where("of <> main").select(
-        "bucket", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
+    others = dealt.where("of <> cluster").select(
+        "cluster", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
         F.pmod("deal", "strips").cast("int").alias("strip"), F.lit(1).alias("side"), "doc", "of",
     )
-    signed = kinds.select(F.col("kind").alias("doc"), "n", "signature")
-    cells = every.unionByName(others).join(signed, "doc")
+    return every.unionByName(others)
+
+
+def _remaining(
+    docs: DataFrame, postings: DataFrame, kinds: DataFrame, groups: DataFrame, shingle: int, num: int, den: int
+) -> DataFrame:
+    """Links (src, dst) from one group to another, as far as they join groups.
+
+    In each cell signatures choose and whole sets decide; pairs that are in one group by then are
+    passed over, so a cell gives fewer rows than it has.
+    """
     least = (num / den - MARGIN) * 2 * PERMUTATIONS
+    cell = ["cluster", "block", "strip"]
 
-    def compared(rows: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def answered(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         side, doc, of, n = (rows.column(c).to_numpy() for c in ("side", "doc", "of", "n"))
         signature = _matrix(rows.column("signature").combine_chunks())
-        one, two = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        for start in range(0, len(two), 64):  # a strip has BLOCK rows on average, whatever it has at most
-            few = two[start : start + 64]
-            agree = (signature[one][:, None, :] == signature[few][None, :, :]).sum(axis=2, dtype=np.int32)
-            small, large = np.minimum(n[one][:, None], n[few]), np.maximum(n[one][:, None], n[few])
-            x, y = np.nonzero((agree >= least) & (of[one][:, None] != of[few]) & (den * small >= num * large))
-            yield doc[one[x]], doc[few[y]]
+        texts = column_texts(rows.column("text").combine_chunks())
+        sets = [tokens for part in texts for tokens in shingle_sets(part, shingle)]
+        joined, found = Groups(of), []
+        block, strip = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        for b in strip.tolist():
+            other = block[joined.of[block] != joined.of[b]]
+            other = other[den * np.minimum(n[other], n[b]) >= num * np.maximum(n[other], n[b])]
+            agree = (signature[other] == signature[b]).sum(axis=1)
+            near = np.flatnonzero(agree >= least)
+            # The likeliest first: once a link is there, its group needs no other.
+            for a in other[near[np.argsort(-agree[near], kind="stable")]].tolist():
+                if joined.of[a] != joined.of[b] and linked(sets[a], sets[b], num, den):
+                    joined.join(a, b)
+                    found.append((doc[a], doc[b]))
+        if found:
+            src, dst = zip(*found, strict=True)
+            yield pa.RecordBatch.from_pydict({"src": pa.array(src, pa.int64()), "dst": pa.array(dst, pa.int64())})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell = ["bucket", "block", "strip"]
         held: pa.Table | None = None
         for batch in batches:
             rows = pa.Table.from_batches([batch])
             held = rows if held is None else pa.concat_tables([held, rows])
             keys = np.column_stack([held.column(c).to_numpy() for c in cell])
-            edges = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
-            bounds = [0, *edges.tolist()]  # the last cell may go on in the next batch
-            for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-                yield from answered(held.slice(a, b - a))
+            # The last cell may go on in the next batch.
+            bounds = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist()]
+            for start, end in zip(bounds[:-1], bounds[1:], strict=True):
+                yield from answered(held.slice(start, end - start))
             held = held.slice(bounds[-1])
         if held is not None and len(held):
             yield from answered(held)
 
-    def answered(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        for one, two in compared(rows):
-            if len(one):
-                yield pa.RecordBatch.from_pydict({"doc": np.maximum(one, two), "head": np.minimum(one, two)})
-
-    return (
-        cells.repartition("bucket", "block", "strip")
-        .sortWithinPartitions("bucket", "block", "strip")
-        .mapInArrow(run, "doc bigint, head bigint")
-        .distinct()
-    )
+    cells = _cells(postings, groups)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc"), "text")
+    signed = kinds.select(F.col("kind").alias("doc"), "n", "signature")
+    whole = only(texts, cells).join(cells, "doc").join(signed, "doc")
+    return whole.repartition(*cell).sortWithinPartitions(*cell).mapInArrow(run, "src bigint, dst bigint")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, num: int = 85, den: int = 100) -> DataFrame:
@@ -261,12 +302,13 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, num: int = 85, den: int =
 
     How: a permutation of the shingles gives a signature two values, the smallest and the largest
     place of a set, each equal for two sets with a chance of their similarity. ``PERMUTATIONS``
-    evaluations give twice as many values, banded by ``ROWS``. Equal sets are one. Of the sets that
-    share a band's value, each meets the smallest and the largest document. Where the signatures
-    agree well enough the whole sets decide. What then is not in the main group of a value meets
-    all others of that value, block by block, in the same way. No pair within a group is looked
-    at, a value shared by any number of documents is dealt to many tasks, and nothing is capped;
-    that second look grows with the documents of a value times those outside its main group.
+    evaluations give twice as many values, banded by ``ROWS``. Equal sets are one. The sets that
+    share a band's value all meet the most central one, which shares most values with others. Where
+    the signatures agree well enough the whole sets decide. What then is not in the main group of
+    a value meets all others of the values with that main group, block by block, in the same way.
+    No pair within a group is looked at, a value shared by any number of documents is dealt to many
+    tasks, and nothing is capped; the second look grows with the documents of a cluster times those
+    outside its main group.
 
     A link is missed where no band agrees: 2e-8 of the pairs at a similarity of 0.85, fewer above.
 
@@ -290,16 +332,21 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, num: int = 85, den: int =
         .distinct()
     )
     listed = kinds.select(F.col("kind").alias("doc"), F.posexplode("bands").alias("band", "value"))
-    ends = listed.groupBy("band", "value").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
-    postings = materialize(listed.join(ends.where("least < most"), ["band", "value"]))
-    met = postings.select("doc", F.explode(F.array("least", "most")).alias("head")).where("doc <> head").distinct()
+    key = ["band", "value"]
+    ends = listed.groupBy(*key).agg(
+        F.min("doc").alias("least"), F.max("doc").alias("most"), F.count("*").alias("members")
+    )
+    postings = materialize(listed.join(ends.where("least < most"), key))
+    # Three documents meet when all meet the first and the last; of more, the most central is the head.
+    few = postings.where("members <= 3").select("doc", F.explode(F.array("least", "most")).alias("head"))
+    many = postings.where("members > 3")
+    weights = many.groupBy("doc").agg(F.sum("members").alias("weight"))
+    heads = many.join(weights, "doc").groupBy(*key).agg(F.max_by("doc", F.struct("weight", -F.col("doc"))).alias("head"))
+    met = few.unionByName(many.select(*key, "doc").join(heads, key).select("doc", "head")).where("doc <> head").distinct()
     likely = materialize(_agreeing(met, kinds, num, den))
     links = materialize(confirmed(docs, likely, shingle, num, den))
-    apart = materialize(_apart(postings.select("band", "value", "doc"), kinds, components(links), num, den))
-    links = links.union(copies)
-    if not apart.isEmpty():
-        links = links.union(confirmed(docs, apart, shingle, num, den))
-    found = components(materialize(links))
+    groups = _first_groups(links)
+    found = components(links.union(_remaining(docs, postings, kinds, groups, shingle, num, den)).union(copies))
     component = F.coalesce("component", "doc_id")
     return described.join(found, described["doc_id"] == found["node"], "left").select(
         "doc_id",

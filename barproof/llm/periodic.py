@@ -6,11 +6,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barproof.llm.rolling import OTHER_BASE, chunks, mixed, word_hashes
+from barproof.llm.rolling import OTHER_BASE, column_texts, mixed, word_hashes
 
 #: Words that a run has at least.
 LEAST = 12
@@ -214,22 +213,23 @@ def word_runs(docs: DataFrame, least: int = LEAST) -> DataFrame:
     repeated strings. Other columns are ignored. An empty table gives no rows.
     """
 
+    names = ("start", "length", "period")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            column = batch.column("text").cast(pa.binary())
-            sizes = [0 if n is None else n for n in pc.binary_length(column).to_pylist()]
-            for part in chunks(sizes):
-                texts = [text or b"" for text in column.slice(part.start, part.stop - part.start).to_pylist()]
+            at = 0
+            for texts in column_texts(batch.column("text")):
                 found, short = zip(*_searched(texts, least), strict=True)
-                named = [[dict(zip(("start", "length", "period"), r, strict=True)) for r in one] for one in found]
+                named = [[dict(zip(names, r, strict=True)) for r in one] for one in found]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("doc_id").slice(part.start, part.stop - part.start),
-                        pa.array(named, pa.list_(pa.struct([(n, pa.int64()) for n in ("start", "length", "period")]))),
+                        batch.column("doc_id").slice(at, len(texts)),
+                        pa.array(named, pa.list_(pa.struct([(n, pa.int64()) for n in names]))),
                         pa.array(short, pa.binary()).cast(pa.string()),
                     ],
                     names=["doc_id", "runs", "collapsed"],
                 )
+                at += len(texts)
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, f"doc_id bigint, {_RUNS}, collapsed string")
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Fixed odd multipliers; arithmetic is modulo 2**64.
 BASE = 0x9E3779B97F4A7C15
@@ -66,6 +68,13 @@ def chunks(sizes: list[int], most: int = CHUNK) -> Iterator[slice]:
         yield slice(start, len(sizes))
 
 
+def column_texts(column: pa.Array) -> Iterator[list[bytes]]:
+    """The texts of an Arrow column in turn, by parts of bounded size; null as empty."""
+    column = column.cast(pa.binary())
+    for part in chunks(pc.binary_length(column).fill_null(0).to_pylist()):
+        yield [text or b"" for text in column.slice(part.start, part.stop - part.start).to_pylist()]
+
+
 #: For each byte whether it stands between words: white space, or all ASCII but letters and digits.
 SPACE = np.array([b == 32 or 9 <= b <= 13 for b in range(256)])
 SIGNS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
