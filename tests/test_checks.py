@@ -1,7 +1,6 @@
 import math
 import random
 from datetime import date, timedelta
-from itertools import cycle, islice
 
 import duckdb
 import pytest
@@ -113,29 +112,30 @@ def test_null_close_continues_a_streak_and_ends_it_for_the_next(spark):
 
 # --- outlier return -------------------------------------------------------------------------
 
-PATTERN = [0.5, -0.3, 0.4, -0.2, 0.6, -0.4, 0.3, -0.5, 0.2, -0.1]
-
-
-def compounded(returns):
-    closes = [100.0]
+def closes_after(returns, first=40.0):
+    closes = [first]
     for value in returns:
-        closes.append(round(closes[-1] * (1 + value / 100), 6))
+        closes.append(closes[-1] * (1 + value / 100))
     return closes
 
 
 @pytest.mark.parametrize("keyed", [True, False])
 def test_outlier_return(spark, keyed):
-    days = weekdays(START, 33)
+    days = weekdays(START, 46)
+    swell = [0.7 * math.sin(1.9 * i) for i in range(45)]
 
     def series(returns):
-        return prices_of(spark, [bar("AAA", d, c) for d, c in zip(days, compounded(returns))])
-
-    steady = list(islice(cycle(PATTERN), 32))
-    assert checks.outlier_return(series(steady), 3.0, keyed).count() == 0
-    found = rows(checks.outlier_return(series([*steady[:31], 25.0]), 3.0, keyed))
-    assert [(day, severity) for day, severity, _ in found] == [(days[-1], "medium")]
-    assert found[0][2].startswith("daily return 25.00% vs trailing 30-day mean 0.0")
-    assert found[0][2].endswith(" std devs from mean")
+        return prices_of(spark, [bar("AAA", d, c) for d, c in zip(days, closes_after(returns))])
+
+    assert checks.outlier_return(series(swell), 3.0, keyed).count() == 0
+    # The crash of the 41st return is not held against the days after it.
+    crash = [*swell[:40], -18.0, *swell[41:]]
+    ((day, severity, details),) = rows(checks.outlier_return(series(crash), 3.0, keyed))
+    assert (day, severity) == (days[41], "medium")
+    past = swell[10:40]
+    deviation = math.sqrt(sum((x - sum(past) / 30) ** 2 for x in past) / 29)
+    assert details.startswith(f"daily return -18.00% vs trailing 30-day mean {sum(past) / 30:.2f}% (std {deviation:.2f}%)")
+    assert details.endswith(f" {(-18 - sum(past) / 30) / deviation:.1f} std devs from mean")
 
 
 def test_two_earlier_returns_are_needed(spark):
