@@ -5,8 +5,9 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barproof.functions import text
 from barproof.operators.flag_joins import with_explanations
@@ -47,11 +48,21 @@ class Facts:
     """All counts of a report: one aggregate of the prices and one of the flags, put together.
 
     ``rows`` is stored: a row for each ticker (its bars, first and last day, and flags), and one for each
-    flag type with its severity. ``total`` is the sum of them all, a single row of literals.
+    flag type with its severity. ``sums`` is a single row over them all.
     """
 
     rows: DataFrame
-    total: DataFrame
+    sums: Row
+    kinds: T.StructType
+
+    @property
+    def total(self) -> DataFrame:
+        """``sums`` as a table of literals."""
+        literals = [self.literal(field.name) for field in self.kinds]
+        return self.rows.sparkSession.range(1).select(*literals)
+
+    def literal(self, name: str) -> Column:
+        return F.lit(self.sums[name]).cast(self.kinds[name].dataType).alias(name)
 
     @property
     def tickers(self) -> DataFrame:
@@ -93,9 +104,7 @@ def report_facts(prices: DataFrame, flags: DataFrame) -> Facts:
         "bigint(coalesce(sum(CASE WHEN flag_type IS NULL THEN pairs END), 0)) AS flagged_rows",
         "count(flag_type) AS kinds",
     )
-    row = total.first()
-    literals = [F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in total.schema]
-    return Facts(facts, prices.sparkSession.range(1).select(*literals))
+    return Facts(facts, total.first(), total.schema)
 
 
 def report_entries(prices: DataFrame, flags: DataFrame, explanations: DataFrame) -> DataFrame:
@@ -153,9 +162,8 @@ def _counted_lines(facts: Facts) -> DataFrame:
         "concat(CASE WHEN ticker = first_ticker THEN '- Tickers: ' ELSE '  ' END, ticker, "
         "CASE WHEN ticker = last_ticker THEN '' ELSE ',' END)"
     )
-    ends = facts.total.select("first_ticker", "last_ticker")
     return _lines(
-        facts.rows.join(ends),  # a single row of literals
+        facts.rows.select("*", facts.literal("first_ticker"), facts.literal("last_ticker")),
         _line(TICKERS, name, when="bars > 0", ticker="ticker"),
         _line(BY_TICKER, "concat('## ', ticker, '\n')", when="bars > 0", ticker="ticker", entry="0"),
         _line(

@@ -186,8 +186,17 @@ def replace_table(spark: SparkSession, df: DataFrame, path: str) -> None:
 
 
 def append_table(df: DataFrame, path: str) -> None:
-    """Add rows to a stored table, or begin one; readers find all of the rows or none."""
+    """Add rows to a stored table, or begin one; readers find all of the rows or none.
+
+    Rows that are added do not depend on those that are there, so a job that was faster is no reason to
+    fail: the written folder is put on the next list.
+    """
     spark, path, folder = df.sparkSession, path.rstrip("/"), versions.new_folder()
     df.write.parquet(f"{path}/{folder}")
-    base = versions.current(spark, path) or Version()
-    versions.commit(spark, path, base, {**base.parts, folder: folder})
+    while True:
+        base = versions.current(spark, path) or Version()
+        try:
+            versions.commit(spark, path, base, {**base.parts, folder: folder})
+            return
+        except versions.ConcurrentWriteError:
+            continue
