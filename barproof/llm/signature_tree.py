@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barproof.llm.components import components
-from barproof.llm.rolling import mixed, shingle_sets
+from barproof.llm.rolling import column_texts, mixed, shingle_sets
 from barproof.session import materialize
 
 #: Least bits of a token bitmap (larger sets have two for each token or more), members of a leaf,
@@ -26,6 +28,8 @@ TREE_MEMBERS = 4096
 SAMPLE_DOCS = 20_000
 COMMON = 4
 MOST_COMMON = 1 << 20
+#: Sets that a task remembers, so as to read equal ones once.
+SEEN = 1 << 16
 
 
 class SignatureTree:
@@ -223,41 +227,39 @@ def _tasks(members: DataFrame, num: int, den: int, more: list[str]) -> DataFrame
     key = ["block", "chunk", "other"]
     columns = [*key, "side", "doc", "n", "map", *more]
 
-    def grouped(rows: pd.DataFrame) -> Iterator[tuple[tuple[int, int], np.ndarray, np.ndarray]]:
-        keys = rows[key].to_numpy(np.int64)
-        bounds = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]).any(axis=1))).tolist() + [len(rows)]
-        docs, sizes = rows["doc"].to_numpy(np.int64), rows["n"].to_numpy(np.int64)
-        side, maps = rows["side"].to_numpy(), rows["map"].tolist()
-        sets = rows["tokens"].tolist() if more else None
-        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-            own = Members(docs[a:b], sizes[a:b], maps[a:b], sets[a:b] if sets else None, num, den)
-            yield (keys[a, 0], keys[a, 1]), docs[a:b], joined(own, side[a:b], keys[a, 0])
-
-    def answered(rows: pd.DataFrame) -> pd.DataFrame:
-        parts = [
-            np.column_stack([np.full(len(docs), block), np.full(len(docs), chunk), docs, least])
-            for (block, chunk), docs, least in grouped(rows)
-        ]
-        return pd.DataFrame(np.concatenate(parts), columns=["block", "chunk", "doc", "least"])
+    def answered(rows: pa.Table) -> pa.RecordBatch:
+        """One group, of which nothing is left afterwards."""
+        block, chunk = rows.column("block")[0].as_py(), rows.column("chunk")[0].as_py()
+        docs, sizes, side = (rows.column(c).to_numpy() for c in ("doc", "n", "side"))
+        sets = rows.column("tokens").to_pylist() if more else None
+        own = Members(docs, sizes, rows.column("map").to_pylist(), sets, num, den)
+        least = joined(own, side, block)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(docs), block)), pa.array(np.full(len(docs), chunk, np.int32)), pa.array(docs), pa.array(least)],
+            names=["block", "chunk", "doc", "least"],
+        )
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[pd.DataFrame] = []
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
         for batch in batches:
-            held.append(batch)
+            rows = pa.Table.from_batches([batch])
+            held = rows if held is None else pa.concat_tables([held, rows])
+            del batch, rows
+            keys = np.column_stack([held.column(c).to_numpy() for c in key])
             # The last group may go on in the next batch.
-            if not batch.empty and (held[0][key].iloc[0] != batch[key].iloc[-1]).any():
-                rows = pd.concat(held, ignore_index=True)
-                open_ = (rows[key] == rows[key].iloc[-1]).all(axis=1)
-                yield answered(rows[~open_])
-                held = [rows[open_]]
-        if held and sum(map(len, held)):
-            yield answered(pd.concat(held, ignore_index=True))
+            bounds = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist()]
+            for start, end in zip(bounds[:-1], bounds[1:], strict=True):
+                yield answered(held.slice(start, end - start))
+            # Copied, so that the batch it comes from can go.
+            held = held.slice(bounds[-1]).combine_chunks() if len(bounds) > 1 else held
+        if held is not None and len(held):
+            yield answered(held)
 
     return (
         members.select(*columns)
         .repartition(*key)
         .sortWithinPartitions(*key, "n", "doc")
-        .mapInPandas(run, "block long, chunk int, doc long, least long")
+        .mapInArrow(run, "block long, chunk int, doc long, least long")
     )
 
 
@@ -336,16 +338,23 @@ def bitmap(tokens: np.ndarray) -> bytes:
 def _described(docs: DataFrame, shingle: int) -> DataFrame:
     """doc, n, map, and two sums that tell sets apart (same_a, same_b)."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for tokens in _sets(batch["text"], shingle):
-                sums = (mixed(tokens).sum(dtype=np.uint64), mixed(~tokens).sum(dtype=np.uint64))
-                rows.append((len(tokens), bitmap(tokens), *(int(s.view(np.int64)) for s in sums)))
-            described = pd.DataFrame(rows, columns=["n", "map", "same_a", "same_b"])
-            yield described.assign(doc_id=batch["doc_id"].to_numpy())
-
-    return docs.select("doc_id", "text").mapInPandas(
+            at = 0
+            for texts in column_texts(batch.column("text")):
+                sizes, maps, sums = [], [], []
+                for tokens in shingle_sets(texts, shingle):
+                    sizes.append(len(tokens))
+                    maps.append(bitmap(tokens))
+                    sums.append((tokens.sum(dtype=np.uint64), mixed(tokens).sum(dtype=np.uint64)))
+                same = np.array(sums, np.uint64).view(np.int64)
+                arrays = [pa.array(sizes, pa.int64()), pa.array(maps, pa.binary()), pa.array(same[:, 0]), pa.array(same[:, 1])]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").slice(at, len(texts)), *arrays], names=["doc_id", "n", "map", "same_a", "same_b"]
+                )
+                at += len(texts)
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
         run, "doc_id long, n long, map binary, same_a long, same_b long"
     )
 
@@ -383,39 +392,40 @@ def _prefixes(docs: DataFrame, shingle: int, num: int, den: int, common: np.ndar
     """
     shared = docs.sparkSession.sparkContext.broadcast(common)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        often, seen = shared.value, set()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often = shared.value
+        # The last sets read, by their marks: a table of fixed size.
+        seen = np.zeros(SEEN, np.uint64)
         for batch in batches:
-            tokens_out, docs_out, sizes_out, flags_out = [], [], [], []
-            for doc_id, tokens in zip(batch["doc_id"], _sets(batch["text"], shingle), strict=True):
-                n = len(tokens)
-                if not n:
-                    continue
-                mark = (n, int(tokens.sum(dtype=np.uint64)), int(mixed(tokens).sum(dtype=np.uint64)))
-                if mark in seen:
-                    continue
-                if len(seen) < 1 << 18:
-                    seen.add(mark)
-                is_common = np.zeros(n, bool)
-                if len(often):
-                    is_common = often[np.minimum(np.searchsorted(often, tokens), len(often) - 1)] == tokens
-                length = n - -(-num * n // den) + 1
-                first = np.concatenate([np.flatnonzero(~is_common), np.flatnonzero(is_common)])[:length]
-                tokens_out.append(tokens[first])
-                flags_out.append(is_common[first])
-                docs_out.append(np.full(len(first), doc_id, np.int64))
-                sizes_out.append(np.full(len(first), n, np.int32))
-            if tokens_out:
-                yield pd.DataFrame(
-                    {
-                        "token": np.concatenate(tokens_out).view(np.int64),
-                        "doc_id": np.concatenate(docs_out),
-                        "n": np.concatenate(sizes_out),
-                        "common": np.concatenate(flags_out),
-                    }
-                )
-
-    return docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text").mapInPandas(
+            at = 0
+            for texts in column_texts(batch.column("text")):
+                ids = batch.column("doc_id").slice(at, len(texts)).to_pylist()
+                at += len(texts)
+                out = [taken for taken in map(prefix, ids, shingle_sets(texts, shingle), repeat(often), repeat(seen)) if taken]
+                if out:
+                    tokens, docs_out, sizes, flags = (np.concatenate(column) for column in zip(*out, strict=True))
+                    yield pa.RecordBatch.from_pydict(
+                        {"token": tokens.view(np.int64), "doc_id": docs_out, "n": sizes, "common": flags}
+                    )
+
+    def prefix(doc_id: int, tokens: np.ndarray, often: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, ...] | None:
+        n = len(tokens)
+        if not n:
+            return None
+        mark = mixed(np.array([tokens.sum(dtype=np.uint64), mixed(tokens).sum(dtype=np.uint64), n], np.uint64))
+        mark = (mark * np.array([1, 3, 5], np.uint64)).sum(dtype=np.uint64) | np.uint64(1)
+        place = int(mark >> np.uint64(40)) % SEEN
+        if seen[place] == mark:
+            return None
+        seen[place] = mark
+        is_common = np.zeros(n, bool)
+        if len(often):
+            is_common = often[np.minimum(np.searchsorted(often, tokens), len(often) - 1)] == tokens
+        length = n - -(-num * n // den) + 1
+        first = np.concatenate([np.flatnonzero(~is_common), np.flatnonzero(is_common)])[:length]
+        return tokens[first], np.full(len(first), doc_id, np.int64), np.full(len(first), n, np.int32), is_common[first]
+
+    return docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), "text").mapInArrow(
         run, "token long, doc_id long, n int, common boolean"
     )
 
@@ -512,16 +522,21 @@ def ngram_jaccard_join(docs: DataFrame, shingle: int = 5, num: int = 8, den: int
     with_maps = materialize(blocks.join(facts, "doc_id").withColumnRenamed("doc_id", "doc"))
     likely = components(materialize(block_links(with_maps, num, den)))
 
-    def with_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(len(tokens), bitmap(tokens), tokens.tobytes()) for tokens in _sets(batch["text"], shingle)]
-            out = pd.DataFrame(rows, columns=["n", "map", "tokens"])
-            yield out.assign(block=batch["component"].to_numpy(), doc=batch["node"].to_numpy())
+            at = 0
+            for texts in column_texts(batch.column("text")):
+                rows = [(len(tokens), bitmap(tokens), tokens.tobytes()) for tokens in shingle_sets(texts, shingle)]
+                sizes, maps, tokens = zip(*rows, strict=True)
+                named = [batch.column(c).slice(at, len(texts)) for c in ("component", "node")]
+                made = [pa.array(sizes, pa.int64()), pa.array(maps, pa.binary()), pa.array(tokens, pa.binary())]
+                yield pa.RecordBatch.from_arrays([*named, *made], names=["block", "doc", "n", "map", "tokens"])
+                at += len(texts)
 
     members = materialize(
-        docs.select(F.col("doc_id").alias("node"), "text")
+        docs.select(F.col("doc_id").cast("long").alias("node"), "text")
         .join(likely, "node")
-        .mapInPandas(with_sets, "block long, doc long, n long, map binary, tokens binary")
+        .mapInArrow(with_sets, "block long, doc long, n long, map binary, tokens binary")
     )
     links = block_links(members, num, den).union(copies.select("doc_id", "kind"))
     found = components(materialize(links))
