@@ -179,13 +179,16 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -
 def mixed_rows(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
     """The mix itself: each row of ``docs`` as often as it is taken, with all its columns."""
     _, plan = _planned(docs, weights, most)
-    limits = plan.select("key", F.struct("passes", "threshold").alias("__plan")).withColumnRenamed("key", "__key")
-    times = _times(doc_hash(F.col("doc_id")), "__plan.")
+    # Names of our own that no column has, in whatever case.
+    taken = {name.lower() for name in docs.columns}
+    key, own, copy = (name + "_" * (1 + max(map(len, taken), default=0)) for name in ("key", "plan", "copy"))
+    limits = plan.select(F.col("key").alias(key), F.struct("passes", "threshold").alias(own))
+    times = _times(doc_hash(F.col("doc_id")), f"{own}.")
     return (
-        docs.withColumn("__key", _source_key())
-        .join(limits, "__key")
-        .withColumn("__copy", F.explode(F.sequence(F.lit(0).cast("long"), times)))
-        .where("__copy > 0")
+        docs.withColumn(key, _source_key())
+        .join(limits, key)
+        .withColumn(copy, F.explode(F.sequence(F.lit(0).cast("long"), times)))
+        .where(F.col(copy) > 0)
         .select(*[F.col(f"`{name}`") for name in docs.columns])
     )
 

@@ -51,3 +51,12 @@ def test_stages_take_empty_tables(spark, documents, tmp_path):
     documents([]).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_mix_keeps_columns_of_any_name(spark):
+    names = ["__key", "__plan", "__copy", "KEY", "plan", "times"]
+    rows = [(i, "w " * 5, f"s{i % 2}", *range(len(names))) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"{n} int" for n in names))
+    mixed = corpus_pipeline.mixing_stage(spark, docs, "")
+    assert mixed.columns == docs.columns
+    assert {tuple(r)[3:] for r in mixed.collect()} == {tuple(range(len(names)))}
