@@ -23,10 +23,10 @@ def con():
 
 #: Queries that SQL can't express, with the tests that compare their whole results otherwise.
 TESTED_ELSEWHERE = {
-    "op3_toxicity": "tests/llm/test_texts.py",
-    "op6_pack_tokens": "tests/llm/test_texts.py",
-    "op7_decontaminate": "tests/llm/test_whole_results.py",
-    "op9_language_id": "tests/llm/test_texts.py",
+    "op3_toxicity": "tests/llm/test_plain_versions.py",
+    "op6_pack_tokens": "tests/llm/test_plain_versions.py",
+    "op7_decontaminate": "tests/llm/test_plain_versions.py",
+    "op9_language_id": "tests/llm/test_plain_versions.py",
     "op10_suffix_sort_dedup": "tests/llm/test_pairs.py",
     "pipeline": "tests/llm/test_corpus_pipeline.py",
 }
