@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 from barproof.llm.folds import fold, held_out
 from barproof.session import materialize
 
-#: Training sample: labelled documents, those with the smallest hashes of all.
+#: Training sample: about so many labelled documents, by their hashes; never more than twice as many.
 SAMPLE_DOCS = 24_000
+#: ``TERMS`` is the size of the model: those of the largest odds, then the first by code point.
 #: A term is learned from so many toxic documents at least, with log odds of at least this.
 LEAST_DOCS, LEAST_ODDS, TERMS = 6, 3.0, 5_000
 #: Words between a term and a pronoun that count as close.
@@ -64,7 +65,11 @@ def terms_of(word: str) -> Iterator[str]:
 
 
 class WordFlags(dict):
-    """The flags of a word, looked up once for each word; the memory of words is bounded."""
+    """The flags and odds of a word, looked up once for each word.
+
+    The memory of words is cleared between texts only, so a text's features are a function of the
+    text, whatever was read before it.
+    """
 
     LIMIT = 500_000
 
@@ -73,6 +78,14 @@ class WordFlags(dict):
         self.known = odds
         self.odds: dict[str, float] = {}
 
+    def of(self, words: list[str]) -> tuple[np.ndarray, list[float]]:
+        """The flags of a text's words, and the odds of those that are terms."""
+        if len(self) >= self.LIMIT:
+            self.clear()
+            self.odds.clear()
+        flags = np.frombuffer(bytes(map(self.__getitem__, words)), np.uint8)
+        return flags, [self.odds.get(words[i], 0.0) for i in np.flatnonzero(flags & TERM)]
+
     def __missing__(self, word: str) -> int:
         low, flags, weight = word.strip(EDGES).lower(), 0, 0.0
         flags |= INSULT * (low in INSULTS) | PERSON * (low in SECOND_PERSON)
@@ -86,9 +99,6 @@ class WordFlags(dict):
             plain = low.translate(DISGUISE)
             if plain != low and (plain in INSULTS or f"={plain}" in self.known):
                 flags |= HIDDEN
-        if len(self) >= self.LIMIT:
-            self.clear()
-            self.odds.clear()
         if weight:
             self.odds[word] = weight
         self[word] = flags
@@ -100,10 +110,9 @@ def features_of(text: str, memory: WordFlags) -> list[float]:
     n = len(words)
     if not n:
         return [0.0] * len(FEATURES)
-    flags = np.frombuffer(bytes(map(memory.__getitem__, words)), np.uint8)
+    flags, odds = memory.of(words)
     count = lambda bit: int(np.count_nonzero(flags & bit))
     hits = np.flatnonzero(flags & TERM)
-    odds = [memory.odds.get(words[i], 0.0) for i in hits]
     near = 0
     if len(hits):
         people = np.flatnonzero(flags & PERSON)
@@ -197,13 +206,15 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) ->
         labels.where(~held_out() & F.col("toxic").isNotNull())
         .groupBy("doc_id")
         .agg(F.max("toxic").cast("int").alias("toxic"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(sample_docs)
     )
+    # The labelled rows with hashes under the threshold that their number gives: a filter in every
+    # task. The limit is for the case that the hashes are uneven.
+    part = (sample_docs << 30) // max(1, marked.count())
+    few = marked.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < part).limit(2 * sample_docs)
     sample = materialize(
         docs.where(F.col("text").isNotNull())
         .select("doc_id", "text", fold().alias("fold"))
-        .join(marked, "doc_id")
+        .join(F.broadcast(few), "doc_id")  # bounded by the sample
         .groupBy(F.sha2("text", 256).alias("same"))
         .agg(F.min_by(F.struct("text", "fold", "toxic"), "doc_id").alias("row"))
         .select("row.*")
