@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -20,6 +21,9 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 ROW_TOKENS = 2048
 #: Tokens that a task holds before it packs what it has.
 HELD_TOKENS = 8 << 20
+#: White space as the pattern has it, and so long a run of it that the pattern's own matching gives up.
+WHITE_SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+LONG_SPACE = re.compile(f"[{WHITE_SPACE}]{{50000,}}")
 #: Little-endian ids of a row; the vocabulary has fewer than 65,536.
 ID_TYPE = "<u2"
 
@@ -87,6 +91,20 @@ def encoding_of(vocabulary: bytes) -> tiktoken.Encoding:
     return tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def ids_of(encoding: tiktoken.Encoding, text: str) -> list[int]:
+    """The ids of a text of any kind.
+
+    Of a long run of white space the pattern makes one piece: all of it at the end of a text, else
+    all but its last character, which goes with what follows. Such a piece is encoded directly.
+    """
+    ids, at = [], 0
+    for run in LONG_SPACE.finditer(text):
+        ids += encoding.encode_ordinary(text[at : run.start()])
+        at = run.end() if run.end() == len(text) else run.end() - 1
+        ids += encoding._encode_single_piece(text[run.start() : at].encode())
+    return ids + encoding.encode_ordinary(text[at:])
+
+
 def pack(docs: DataFrame, vocabulary: str = VOCABULARY, row_tokens: int = ROW_TOKENS) -> DataFrame:
     """Tokenise ``docs`` (doc_id, text) and pack the ids into rows of ``row_tokens``.
 
@@ -116,7 +134,7 @@ def pack(docs: DataFrame, vocabulary: str = VOCABULARY, row_tokens: int = ROW_TO
         for batch in batches:
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
                 doc_id = None if pd.isna(doc_id) else int(doc_id)
-                ids = np.array([*encoding.encode_ordinary(text or ""), END], ID_TYPE)
+                ids = np.array([*ids_of(encoding, text or ""), END], ID_TYPE)
                 items += [(doc_id, i, ids[i : i + row_tokens]) for i in range(0, len(ids), row_tokens)]
                 held += len(ids)
                 if held >= HELD_TOKENS:
