@@ -62,10 +62,14 @@ def _rule_events(rules: DataFrame) -> DataFrame:
             ).alias("entry"),
         )
     )
-    prefixes = keyed.select(
-        F.col("rule_key").alias("inner_key"),
-        F.explode(F.sequence(F.lit(1), F.length("rule_key"))).alias("upto"),
-    ).withColumn("rule_key", F.expr("substring(inner_key, 1, upto)"))
+    # Only prefixes that are as long as some rule can be one.
+    lengths = keyed.agg(F.sort_array(F.collect_set(F.length("rule_key")))).scalar()
+    prefixes = (
+        keyed.withColumn("lengths", lengths)
+        .select(F.col("rule_key").alias("inner_key"), F.explode("lengths").alias("upto"))
+        .where(F.col("upto") <= F.length("inner_key"))
+        .withColumn("rule_key", F.expr("substring(inner_key, 1, upto)"))
+    )
     # A stack is no deeper than the rule's key is long.
     stacks = (
         prefixes.join(keyed, "rule_key")
@@ -89,8 +93,8 @@ def url_filter(pages: DataFrame, rules: DataFrame, otherwise: str = OTHERWISE) -
     path, rule (its host and path, or null), verdict (the rule's, or ``otherwise``).
 
     How: a canonical key is the host with its labels reversed, then the path. A url has one such
-    key for its host and one for each parent domain, which turns each rule into one interval of
-    keys. Rule boundaries and keys are sorted together: Spark samples splitters and sorts each
+    key for its host and one for each parent domain of no more labels than some rule has, which
+    turns each rule into one interval of keys. Rule boundaries and keys are sorted together: Spark samples splitters and sorts each
     range, the sweep keeps the stack of the rules that are active, and each range starts with the
     stack that the ranges before it left. Only distinct urls are swept, and ties of one key are
     spread over ranges, so neither a common url nor a common path gathers in one task.
@@ -104,8 +108,10 @@ def url_filter(pages: DataFrame, rules: DataFrame, otherwise: str = OTHERWISE) -
     parsed = pages.select("page_id", host.alias("host"), path.alias("path"))
     urls = parsed.select("host", "path").distinct()
     labels = _reversed_labels(F.col("host"))
+    # A domain of more labels than any rule has fits none.
+    most = F.coalesce(rules.agg(F.max(F.size(F.split(F.coalesce("host", F.lit("")), r"\.")))).scalar(), F.lit(1))
     levels = urls.withColumn("labels", labels).select(
-        "host", "path", F.explode(F.sequence(F.lit(1), F.size("labels"))).alias("level"), "labels"
+        "host", "path", F.explode(F.sequence(F.lit(1), F.least(F.size("labels"), most))).alias("level"), "labels"
     )
     keys = levels.select(
         _key(F.slice("labels", 1, F.col("level")), F.col("path")).cast("binary").alias("key"),
