@@ -5,15 +5,18 @@ from __future__ import annotations
 import base64
 import hashlib
 import io
-import math
+import re
 import struct
 from collections.abc import Iterator
+from dataclasses import dataclass
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barproof.llm.rolling import chunks
 from barproof.session import materialize, new_path
 
 #: Fixed values of the format: magic numbers of skippable frames, and the revisit profile.
@@ -26,8 +29,12 @@ PADDING = struct.pack("<II", PADDING_MAGIC, 0).decode("ascii")
 
 #: Payloads shorter than this are never revisits.
 LEAST_BYTES = 1000
-#: Bytes of payload an archive holds, about.
-ARCHIVE_BYTES = 64 << 20
+#: Bytes of payload an archive holds, about, and at most if all of its payloads were the largest one.
+ARCHIVE_BYTES, MOST_BYTES = 64 << 20, 1 << 30
+#: Bytes that a record's headers take, about.
+HEADER_BYTES = 512
+#: Bytes of payloads that a task has in Python at a time, besides one Arrow batch.
+HELD_BYTES = 4 << 20
 #: The sample that the dictionary is built from: records, and bytes of each; bytes of the dictionary.
 SAMPLE_RECORDS = 512
 SAMPLE_BYTES = 16 << 10
@@ -63,16 +70,17 @@ def record(page_id, url, payload: bytes, refers_to, date: str = DATE) -> bytes:
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
-def records(archive: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
+def records(archive: bytes | memoryview) -> Iterator[tuple[dict[str, str], bytes]]:
     """The records of an archive in turn: headers by lower-case name, and the block."""
-    if not archive:
+    if not len(archive):
         return
+    archive = memoryview(archive)
     magic, length = struct.unpack_from("<II", archive)
     if magic != DICTIONARY_MAGIC:
         raise ValueError("archive without a leading dictionary")
-    dictionary = zstandard.ZstdCompressionDict(archive[8 : 8 + length]) if length else None
+    dictionary = zstandard.ZstdCompressionDict(bytes(archive[8 : 8 + length])) if length else None
     frames = zstandard.ZstdDecompressor(dict_data=dictionary)
-    with frames.stream_reader(io.BytesIO(archive[8 + length :]), read_across_frames=True) as raw:
+    with frames.stream_reader(archive[8 + length :], read_across_frames=True) as raw:
         stream = io.BufferedReader(raw, 1 << 20)
         while first := stream.readline():
             if first != b"WARC/1.1\r\n":
@@ -95,22 +103,50 @@ def build_dictionary(samples: list[bytes], size: int = DICTIONARY_BYTES) -> byte
         return b""
 
 
-def _decided(pages: DataFrame, least_bytes: int) -> tuple[DataFrame, int]:
-    """Pages with ``refers_to`` (null for responses), and the bytes of all payloads."""
-    payload = F.coalesce("html", F.lit("")).cast("binary")
-    keyed = pages.select(
-        "page_id", "url", payload.alias("payload"), F.sha1(payload).alias("digest"), F.length(payload).alias("bytes")
-    )
+@dataclass(frozen=True)
+class Copies:
+    """What is known of all payloads without reading them again."""
+
+    shared: DataFrame  # digest, largest: payloads that several pages have, with their largest page_id
+    rows: int
+    bytes: int
+    most_bytes: int  # of one payload
+
+
+def _payload() -> Column:
+    return F.coalesce("html", F.lit("")).cast("binary")
+
+
+def _copies(pages: DataFrame, least_bytes: int) -> Copies:
+    keyed = pages.select("page_id", F.sha1(_payload()).alias("digest"), F.length(_payload()).alias("bytes"))
     copies = materialize(
         keyed.groupBy("digest", "bytes").agg(F.count("*").alias("rows"), F.max("page_id").alias("largest"))
     )
-    total = copies.agg(F.sum(F.col("rows") * F.col("bytes"))).first()[0] or 0
+    total = copies.agg(F.sum("rows"), F.sum(F.col("rows") * F.col("bytes")), F.max("bytes")).first()
     shared = copies.where((F.col("rows") > 1) & (F.col("bytes") >= least_bytes)).select("digest", "largest")
+    return Copies(shared, *(value or 0 for value in total))
+
+
+def _decided(pages: DataFrame, copies: Copies) -> DataFrame:
+    """Pages with ``refers_to``, which is null for responses.
+
+    The payloads move for this join only, and not at all where few payloads are shared.
+    """
+    keyed = pages.select("page_id", "url", _payload().alias("payload"), F.sha1(_payload()).alias("digest"))
     revisits = ~F.col("page_id").eqNullSafe(F.col("largest"))
-    decided = keyed.join(shared, "digest", "left").select(
+    return keyed.join(copies.shared, "digest", "left").select(
         "page_id", "url", "payload", F.when(revisits, F.col("largest")).alias("refers_to")
     )
-    return decided, total
+
+
+def _sample(pages: DataFrame, rows: int) -> list[bytes]:
+    """About ``SAMPLE_RECORDS`` records, those with hashes under the threshold that ``rows`` gives."""
+    cut = F.substring(F.coalesce("html", F.lit("")), 1, SAMPLE_BYTES)
+    part = (SAMPLE_RECORDS << 30) // max(1, rows)
+    position = F.pmod(F.xxhash64("page_id", "url", "html"), F.lit(1 << 30))
+    some = pages.where(position < part).select("page_id", "url", cut.alias("html"))
+    # The limit is for rows that repeat one hash; the samples' order does not matter.
+    return sorted(record(r.page_id, r.url, r.html.encode()[:SAMPLE_BYTES], None) for r in some.limit(2 * SAMPLE_RECORDS).collect())
 
 
 def write_warc(pages: DataFrame, path: str, least_bytes: int = LEAST_BYTES, archive_bytes: int = ARCHIVE_BYTES) -> None:
@@ -121,77 +157,74 @@ def write_warc(pages: DataFrame, path: str, least_bytes: int = LEAST_BYTES, arch
     ``least_bytes``, the one with the largest page_id is written whole and the others refer to it.
 
     How: digests and sizes are counted first, with partial sums, so a payload that a third of the
-    pages share costs a row a task. Archives are Spark's own output files, committed by its
-    protocol: a lost executor's tasks run again and leave no halves. The dictionary is trained on
-    a bounded sample (the ``SAMPLE_RECORDS`` records with the smallest hashes of all, up to
-    ``SAMPLE_BYTES`` of each); too few records train none, and the leading frame is then empty.
+    pages share costs a row a task. One join by digest decides; what it deals out is written as it
+    is. Archives are Spark's own output files, committed by its protocol: a lost executor's tasks
+    run again and leave no halves. A task begins a new archive after as many records as
+    ``archive_bytes`` have on average, and before the largest ones could make it too large to be
+    read as one file. The dictionary is trained on a bounded sample (about ``SAMPLE_RECORDS`` records
+    by their hashes, up to ``SAMPLE_BYTES`` of each); too few records train none, and the leading
+    frame is then empty.
 
     Edge cases: null html is an empty payload; a null url leaves its header out; line ends in a
     url are written as %0D and %0A. Pages that repeat the largest page_id are all responses, and a
     null page_id refers to the largest one, if there is any. No pages give no archive.
     """
     spark = pages.sparkSession
-    decided, total = _decided(pages, least_bytes)
-    sample = (
-        pages.select("page_id", "url", F.substring(F.coalesce("html", F.lit("")), 1, SAMPLE_BYTES).alias("html"))
-        .orderBy(F.xxhash64("page_id", "url"), F.xxhash64("html"))
-        .limit(SAMPLE_RECORDS)
-        .collect()
-    )
-    dictionary = build_dictionary(
-        [record(r.page_id, r.url, r.html.encode()[:SAMPLE_BYTES], None) for r in sample]
-    )
+    copies = _copies(pages, least_bytes)
+    dictionary = build_dictionary(_sample(pages, copies.rows))
     lead = struct.pack("<II", DICTIONARY_MAGIC, len(dictionary)) + dictionary
+    average = copies.bytes // max(1, copies.rows) + HEADER_BYTES
+    per_archive = max(1, min(archive_bytes // average, MOST_BYTES // (copies.most_bytes + HEADER_BYTES)))
 
-    def frames(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trained = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
         press = zstandard.ZstdCompressor(level=LEVEL, dict_data=trained, write_checksum=True)
-        begun = False
+        written = 0
         for batch in batches:
-            out = [] if begun or batch.empty else [lead]
-            begun |= not batch.empty
-            for page_id, url, payload, refers_to in batch.itertuples(index=False):
-                whole = record(
-                    None if pd.isna(page_id) else int(page_id), url, bytes(payload), None if pd.isna(refers_to) else int(refers_to)
-                )
-                out.append(press.compress(whole))
-            yield pd.DataFrame({"frame": out})
-
-    archives = max(1, math.ceil(total / archive_bytes))
-    spread = decided.repartition(archives, F.xxhash64("page_id", "url"))
-    # The text writer puts the bytes down as they are.
-    spread.mapInPandas(frames, "frame binary").select(F.col("frame").cast("string")).write.option(
-        "lineSep", PADDING
-    ).text(path)
+            sizes = pc.binary_length(batch.column("payload")).to_pylist()
+            for part in chunks(sizes, HELD_BYTES):
+                rows = batch.slice(part.start, part.stop - part.start)
+                out = []
+                for page_id, url, payload, refers_to in zip(*(column.to_pylist() for column in rows.columns), strict=True):
+                    if written % per_archive == 0:
+                        out.append(lead)
+                    written += 1
+                    out.append(press.compress(record(page_id, url, payload, refers_to)))
+                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["frame"])
+
+    # The text writer puts the bytes down as they are; a file has a leading frame and its records.
+    framed = _decided(pages, copies).mapInArrow(frames, "frame binary").select(F.col("frame").cast("string"))
+    framed.write.option("lineSep", PADDING).option("maxRecordsPerFile", per_archive + 1).text(path)
     _name_archives(spark, path)
 
 
 def _name_archives(spark: SparkSession, path: str) -> None:
+    """part-00012-...-c003.txt becomes pages-00012-003.warc.zst."""
     jvm = spark.sparkContext._jvm
     folder = jvm.org.apache.hadoop.fs.Path(path)
     files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     for status in files.listStatus(folder):
         name = status.getPath().getName()
-        if name.startswith("part-"):
-            number = name.split("-")[1]
-            files.rename(status.getPath(), jvm.org.apache.hadoop.fs.Path(folder, f"pages-{number}.warc.zst"))
+        if found := re.match(r"part-(\d+)-.*-c(\d+)", name):
+            files.rename(status.getPath(), jvm.org.apache.hadoop.fs.Path(folder, f"pages-{found[1]}-{found[2]}.warc.zst"))
 
 
-def read_warc(spark: SparkSession, path: str) -> DataFrame:
+def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
     """Read archives back: page_id, url, payload_bytes, payload_digest, record_type, refers_to, payload.
 
-    A response's payload is checked against its digest. A revisit has a null payload.
+    A response's payload is checked against its digest. A revisit has a null payload, and so has
+    every record without ``payloads``.
     """
 
     def number(uri: str | None) -> int | None:
         digits = (uri or "").removeprefix("<urn:page:").removesuffix(">")
         return int(digits) if digits else None
 
-    def parsed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for archive in batch["content"]:
+            for archive in batch.column("content"):
                 rows, held = [], 0
-                for headers, block in records(bytes(archive)):
+                for headers, block in records(memoryview(archive.as_buffer())):
                     head, _, payload = block.partition(b"\r\n\r\n")
                     length = int(head.rpartition(b"Content-Length: ")[2])
                     digest = base64.b32decode(headers["warc-payload-digest"].removeprefix("sha1:")).hex()
@@ -206,22 +239,24 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                             digest,
                             kind,
                             number(headers.get("warc-refers-to")),
-                            payload if kind == "response" else None,
+                            payload if kind == "response" and payloads else None,
                         )
                     )
-                    held += len(payload)
-                    if held > 8 << 20:
+                    held += len(payload) + HEADER_BYTES
+                    if held > HELD_BYTES:
                         yield frame(rows)
                         rows, held = [], 0
-                yield frame(rows)
+                if rows:
+                    yield frame(rows)
 
-    def frame(rows: list[tuple]) -> pd.DataFrame:
+    def frame(rows: list[tuple]) -> pa.RecordBatch:
+        kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()]
         names = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"]
-        out = pd.DataFrame(rows, columns=names)
-        return out.astype({"page_id": "Int64", "refers_to": "Int64", "payload_bytes": "int64"})
+        columns = [pa.array(column, kind) for column, kind in zip(zip(*rows, strict=True), kinds, strict=True)]
+        return pa.RecordBatch.from_arrays(columns, names=names)
 
     found = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(path)
-    return found.select("content").mapInPandas(
+    return found.select("content").mapInArrow(
         parsed,
         "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary",
     )
@@ -232,7 +267,7 @@ def archived_pages(pages: DataFrame) -> DataFrame:
     spark = pages.sparkSession
     path = new_path(spark, "warc")
     write_warc(pages, path)
-    return read_warc(spark, path).drop("url", "payload")
+    return read_warc(spark, path, payloads=False).drop("url", "payload")
 
 
 SQL = r"""
