@@ -103,39 +103,37 @@ def _with_zeros(matrix: np.ndarray) -> np.ndarray:
     return np.vstack([matrix, np.zeros((1, matrix.shape[1]), matrix.dtype)]).astype(np.float32)
 
 
-def inverse_frequencies(docs: DataFrame) -> np.ndarray:
-    """Inverse document frequency of each hashed word, over all documents."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found, rows = np.zeros(DIM, np.int64), 0
-        for batch in batches:
-            for chunk in _chunks(_encoded(batch["text"])):
-                text = np.repeat(np.arange(len(chunk.bounds) - 1), np.diff(chunk.bounds))
-                found += np.bincount(np.unique(text * DIM + chunk.buckets) % DIM, minlength=DIM)
-            rows += len(batch)
-        if rows:
-            yield pd.DataFrame({"bucket": np.arange(-1, DIM), "docs": np.append(rows, found)})
-
-    counts = docs.select("text").mapInPandas(run, "bucket int, docs long").groupBy("bucket").agg(F.sum("docs").alias("docs"))
-    frame = counts.toPandas().set_index("bucket")["docs"]
-    total = int(frame.get(-1, 0))
-    having = frame.drop(-1, errors="ignore").reindex(range(DIM), fill_value=0).to_numpy(np.float64)
-    return np.log((total + 1) / (having + 1)) + 0.1
-
-
 def _summed(parts: DataFrame, shape: tuple[int, int]) -> np.ndarray:
-    """Sum matrices that tasks have made, in parts of ``PART`` rows: (part, deal, cells)."""
-
-    def add(frame: pd.DataFrame) -> np.ndarray:
-        return sum(np.frombuffer(cells, np.float32).astype(np.float64) for cells in frame["cells"])
-
-    def some(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"part": [key[0]], "deal": [0], "cells": [add(frame).astype(np.float32).tobytes()]})
+    """Sum matrices that tasks have made, in parts of ``PART`` rows: (part, deal, cells).
 
+    Rows of one part and deal are read one after the other and added to a single sum, so memory does
+    not depend on the number of tasks.
+    """
     schema = "part int, deal int, cells binary"
-    first = parts.groupBy("part", "deal").applyInPandas(some, schema)
+
+    def added(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, total = None, np.zeros(0)
+        for batch in batches:
+            for part, deal, cells in zip(batch["part"], batch["deal"], batch["cells"], strict=True):
+                more = np.frombuffer(cells, np.float32).astype(np.float64)
+                if key == (part, deal):
+                    total += more
+                    continue
+                if key:
+                    yield one(key, total)
+                key, total = (part, deal), more
+        if key:
+            yield one(key, total)
+
+    def one(key: tuple, total: np.ndarray) -> pd.DataFrame:
+        return pd.DataFrame({"part": [key[0]], "deal": [key[1]], "cells": [total.astype(np.float32).tobytes()]})
+
+    def met(rows: DataFrame) -> DataFrame:
+        return rows.repartition("part", "deal").sortWithinPartitions("part", "deal").mapInPandas(added, schema)
+
+    first = met(parts).withColumn("deal", F.lit(0))
     out = np.zeros(shape)
-    for row in first.groupBy("part").applyInPandas(some, schema).toLocalIterator():
+    for row in met(first).toLocalIterator():
         cells = np.frombuffer(row["cells"], np.float32).reshape(-1, shape[1])
         out[row["part"] * PART : row["part"] * PART + len(cells)] = cells
     return out
@@ -146,38 +144,55 @@ def _parts(matrix: np.ndarray) -> pd.DataFrame:
     return pd.DataFrame({"part": range(len(cells)), "deal": TaskContext.get().partitionId() % SPREAD, "cells": cells})
 
 
-def latent_vectors(docs: DataFrame, idf: np.ndarray, rank: int = RANK) -> np.ndarray:
-    """Word vectors of a randomised SVD of all TF-IDF passages, scaled by the singular values.
+def frequencies_and_sketch(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Inverse document frequency of each hashed word over all documents, and a sketch of all passages.
 
-    With A as the passages (rows) by hashed words (columns): the first pass sums the sketch S A, where
-    a random S adds each passage with a random sign to one of ``SKETCH`` rows. The sketch's first
-    right singular vectors V span nearly what those of A do; the second pass sums (A V)' (A V), whose
-    eigenvectors turn V into the singular vectors. Tasks send sums only, of a fixed size, and these
-    meet in two steps.
+    With A as the TF-IDF passages (rows) by hashed words (columns), the sketch is S A, where a random S
+    adds each passage with a random sign to one of ``SKETCH`` rows. Weights belong to columns, so words are
+    added as they are and weighted at the end; one pass gives both. Returns idf and (S A)'.
     """
-    context = docs.sparkSession.sparkContext
-    columns = rank + EXTRA
-    texts = docs.select("text")
-    shape = "part int, deal int, cells binary"
-    weights = context.broadcast(idf)
 
-    def sketched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         random = np.random.default_rng([SEED, TaskContext.get().partitionId()])
-        total = np.zeros(SKETCH * DIM)
+        total, having, rows = np.zeros(SKETCH * DIM), np.zeros(DIM, np.int64), 0
         passage_words = BLOCK * LONG_BLOCKS
         for batch in batches:
+            rows += len(batch)
             for chunk in _chunks(_encoded(batch["text"])):
-                lengths = np.diff(chunk.bounds)
+                lengths, buckets = np.diff(chunk.bounds), chunk.buckets
+                text = np.repeat(np.arange(len(lengths)), lengths)
+                # A text and a word each once; small numbers are sorted faster.
+                keys = text * DIM + buckets
+                keys = np.sort(keys.astype(np.int32) if len(lengths) < (1 << 31) // DIM - 1 else keys)
+                having += np.bincount(keys[np.append(True, keys[1:] != keys[:-1])[: len(keys)]] % DIM, minlength=DIM)
                 per_text = -(-lengths // passage_words)
                 place = np.arange(len(chunk.words)) - np.repeat(chunk.bounds[:-1], lengths)
                 passage = np.repeat(np.cumsum(per_text) - per_text, lengths) + place // passage_words
                 count = int(per_text.sum())
                 row, sign = random.integers(0, SKETCH, count), random.choice([-1.0, 1.0], count)
-                buckets = chunk.buckets
-                np.add.at(total, row[passage] * DIM + buckets, sign[passage] * weights.value[buckets])
-        yield _parts(total.reshape(SKETCH, DIM).T)
+                np.add.at(total, row[passage] * DIM + buckets, sign[passage])
+        # The last column has the documents with a word, the last row the number of all.
+        out = np.zeros((DIM + 1, SKETCH + 1))
+        out[:DIM, :SKETCH], out[:DIM, SKETCH], out[DIM, SKETCH] = total.reshape(SKETCH, DIM).T, having, rows
+        yield _parts(out)
+
+    parts = docs.select("text").mapInPandas(counted, "part int, deal int, cells binary")
+    sums = _summed(parts, (DIM + 1, SKETCH + 1))
+    idf = np.log((sums[DIM, SKETCH] + 1) / (sums[:DIM, SKETCH] + 1)) + 0.1
+    return idf, sums[:DIM, :SKETCH] * idf[:, None]
+
 
-    sketch = _summed(texts.mapInPandas(sketched, shape), (DIM, SKETCH))
+def latent_vectors(docs: DataFrame, idf: np.ndarray, sketch: np.ndarray, rank: int = RANK) -> np.ndarray:
+    """Word vectors of a randomised SVD of all TF-IDF passages A, scaled by the singular values.
+
+    The sketch's first right singular vectors V span nearly what those of A do; a pass over the passages
+    sums (A V)' (A V), whose eigenvectors turn V into the singular vectors. Tasks send sums only, of a
+    fixed size, and these meet in two steps.
+    """
+    context = docs.sparkSession.sparkContext
+    columns = rank + EXTRA
+    texts = docs.select("text")
+    shape = "part int, deal int, cells binary"
     left, _, _ = np.linalg.svd(sketch, full_matrices=False)
     basis = left[:, :columns]
     project = context.broadcast(_with_zeros(basis * idf[:, None]))
@@ -324,7 +339,7 @@ def _queries(items: list[Item], vectors: np.ndarray, blocks: int) -> tuple[np.nd
 
 
 def _matches(
-    docs: DataFrame, items: list[Item], vectors: np.ndarray, idf: np.ndarray, least_cosines: tuple[float, float]
+    docs: DataFrame, items: list[Item], vectors: np.ndarray, idf: np.ndarray, least_cosines: tuple[float, float], by_words: bool
 ) -> DataFrame:
     model = docs.sparkSession.sparkContext.broadcast((vectors, idf, [(i.item_id, i.words) for i in items]))
 
@@ -351,12 +366,12 @@ def _matches(
                     rows = _unit(rows)
                     compared.update((number, (rows, text, queries[of == number])) for number in np.unique(of).tolist())
                     for low in range(0, len(rows), 4096):
-                        cosine = rows[low : low + 4096] @ queries.T
-                        for w, q in np.argwhere(cosine >= least).tolist():
-                            key = (int(text[low + w]), int(of[q]))
+                        close = rows[low : low + 4096] @ queries.T >= least
+                        for w in np.flatnonzero(close.any(axis=1)).tolist():
                             first = int(start[low + w]) * BLOCK
-                            near.setdefault(key, []).append((first, first + width * BLOCK))
-                for text, number, at in stretches.within(chunk):
+                            for number in of[close[w]].tolist():
+                                near.setdefault((int(text[low + w]), number), []).append((first, first + width * BLOCK))
+                for text, number, at in stretches.within(chunk) if by_words else ():
                     near.setdefault((text, number), []).append((at, at + 1))
                 for (text, number), hits in near.items():
                     item = items[number]
@@ -391,7 +406,7 @@ def _merged(hits: list[tuple[int, int]], around: int) -> list[tuple[int, int]]:
 
 
 def decontaminate(
-    docs: DataFrame, benchmark: DataFrame, least_cosines: tuple[float, float] = LEAST_COSINES
+    docs: DataFrame, benchmark: DataFrame, least_cosines: tuple[float, float] = LEAST_COSINES, by_words: bool = True
 ) -> DataFrame:
     """Find items of ``benchmark`` (item_id, text) in ``docs`` (doc_id, text), also reworded.
 
@@ -404,7 +419,8 @@ def decontaminate(
     every document is compared with the windows of all items in the latent space; those close
     enough are checked by the longest common subsequence of words. Rewording and windows that lie
     apart can take a match below any useful cosine, so a stretch with enough of an item's rarer
-    words is checked as well (``Stretches``); none that can count is passed over. The items are the query set:
+    words is checked as well (``Stretches``); none that can count is passed over. Without ``by_words``
+    the latent search is left alone, so that its own recall can be measured. The items are the query set:
     they are read in blocks of about ``ITEMS_PER_PASS``, and each block meets all documents. The
     corpus is never shuffled; tasks exchange sums of a fixed size.
 
@@ -418,8 +434,10 @@ def decontaminate(
     items = benchmark.where(F.col("text").isNotNull()).select("item_id", "text")
     count = items.count()
     passes = max(1, math.ceil(count / ITEMS_PER_PASS))
-    idf = inverse_frequencies(docs) if count else np.zeros(DIM)
-    vectors = latent_vectors(docs, idf) if count else np.zeros((DIM + 1, RANK), np.float32)
+    idf, vectors = np.zeros(DIM), np.zeros((DIM + 1, RANK), np.float32)
+    if count:
+        idf, sketch = frequencies_and_sketch(docs)
+        vectors = latent_vectors(docs, idf, sketch)
     found = None
     for number in range(passes):
         some = items.where(F.pmod(F.xxhash64("item_id"), F.lit(passes)) == number).orderBy("item_id").toPandas()
@@ -428,6 +446,6 @@ def decontaminate(
             words = word_hashes([text], SIGNS)[0].tolist()
             if words:
                 block.append(Item(None if pd.isna(item_id) else int(item_id), words))
-        matches = _matches(docs, block, vectors, idf, least_cosines)
+        matches = _matches(docs, block, vectors, idf, least_cosines, by_words)
         found = matches if found is None else found.union(matches)
     return found
