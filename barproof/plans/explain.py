@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,8 +24,9 @@ RESULTS = T.StructType(
     ]
 )
 
-#: Flags explained between two writes of answers.
-ROUND = 10_000
+#: Flags explained between two writes of answers, at least; and the most rounds of a run, so that a job
+#: that dies loses the answers of one round in 50 and the writes between do not grow with the flags.
+ROUND, ROUNDS = 10_000, 50
 
 EXPLAINED = "explained"
 FAILED = "failed"
@@ -109,12 +110,12 @@ def run_explanations(
     # Fixed before the first answer is stored, as what is pending changes with it.
     pending = materialize(unexplained_flags(flags, stored))
     total = pending.count()
-    rounds = -(-total // ROUND)
+    rounds = min(-(-total // ROUND), ROUNDS)
     work, answers = new_path(spark, "prompts"), new_path(spark, "answers")
     if rounds:
         number = F.pmod(F.xxhash64(*FLAG_KEY), F.lit(rounds)).cast("int")
-        prompted = prompts(prices, pending, span).withColumn("round", number)
-        prompted.repartition("round").write.partitionBy("round").parquet(work)
+        prompted = prompts(prices, pending, span)
+        prompted.withColumn("round", number).repartition("round").write.partitionBy("round").parquet(work)
     explained = 0
     for number in range(rounds):
         some = f"{work}/round={number}"
@@ -122,9 +123,11 @@ def run_explanations(
             continue
         # The user's function runs once; counting and appending read what it returned.
         results = f"{answers}/round={number}"
-        explain(spark.read.parquet(some), explain_fn, parallelism).write.parquet(results)
-        new = spark.read.schema(RESULTS).parquet(results).where(F.col("status") == EXPLAINED)
-        count = new.count()
+        is_new, seen = F.col("status") == EXPLAINED, Observation()
+        answered = explain(spark.read.schema(prompted.schema).parquet(some), explain_fn, parallelism)
+        answered.observe(seen, F.count_if(is_new).alias("explained")).write.parquet(results)
+        new = spark.read.schema(RESULTS).parquet(results).where(is_new)
+        count = seen.get["explained"]
         if count:
             append_table(conform(new, EXPLANATIONS), explanations_path)
         explained += count

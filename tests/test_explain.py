@@ -235,6 +235,18 @@ def test_answers_of_finished_rounds_stay(spark, paths, tmp_path, monkeypatch):
     assert again == {"newly_explained": 1, "already_cached": 1, "failed": 0}
 
 
+def test_rounds_do_not_grow_with_the_flags(spark, paths, monkeypatch):
+    days = [date(2026, 3, day) for day in range(1, 13)]
+    replace_table(spark, flags_of(spark, [flag("AAA", day, "X") for day in days]), paths[1])
+    monkeypatch.setattr(explain_plan, "ROUND", 1)
+    monkeypatch.setattr(explain_plan, "ROUNDS", 3, raising=False)
+    real, stores = explain_plan.append_table, []
+    monkeypatch.setattr(explain_plan, "append_table", lambda *args: (stores.append(1), real(*args)))
+    counts = run_explanations(spark, *paths, lambda prompt: "text")
+    assert counts == {"newly_explained": 12, "already_cached": 0, "failed": 0}
+    assert len(stores) <= 3
+
+
 def test_results_carry_the_error(spark):
     prices = prices_of(spark, series("AAA", 10.0))
     flags = flags_of(spark, [flag("AAA", DAYS[1], "X"), flag("AAA", DAYS[2], "Y")])
