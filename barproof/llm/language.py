@@ -24,7 +24,7 @@ NGRAMS = 20_000
 SLOTS = 1 << 18
 HASHES = 3
 #: Characters whose arrays are in memory at a time, besides one whole text.
-CHUNK = 1 << 20
+CHUNK = 1 << 17
 
 LETTER = re.compile(r"[^\W\d_]")
 _TABLE: list[np.ndarray] = []

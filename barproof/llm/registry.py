@@ -9,6 +9,10 @@ from barproof.llm import content_sort, language, latent, minmax, mixing, packing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: Bytes of an Arrow batch, unless the session sets its own: each task has several batches in memory, on
+#: both sides, and Spark's 64 MB are much for small executors. Results don't depend on it.
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "2m"
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     importable(spark)
@@ -18,8 +22,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def importable(spark: SparkSession) -> None:
     """Let Python workers on this machine import the library from wherever the driver did.
 
-    On a cluster the library is shipped with ``--py-files``.
+    On a cluster the library is shipped with ``--py-files``. The workers get texts in small batches.
     """
+    name, size = BATCH_BYTES
+    if name not in spark.conf.getAll:
+        spark.conf.set(name, size)
     spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
 
 

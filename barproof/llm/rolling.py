@@ -13,7 +13,7 @@ BASE = 0x9E3779B97F4A7C15
 OTHER_BASE = 0xD1342543DE82EF95
 FIRST_MIX, SECOND_MIX = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 #: Bytes whose arrays are in memory at a time, besides one whole text.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
