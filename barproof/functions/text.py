@@ -4,6 +4,8 @@ Each function takes and returns SQL text, to be handed to ``expr`` once: one par
 instead of some hundred Python-to-JVM calls, and it still runs inside generated code.
 """
 
+from collections.abc import Callable
+
 from barproof.functions.numeric import ieee_divide
 
 # Wording that has to equal the expected output character for character.
@@ -60,8 +62,13 @@ def stale_price_details(close: str, length: str) -> str:
     )
 
 
-def outlier_return_details(ret: str, mean: str, deviation: str) -> str:
-    distance = ieee_divide(f"({ret} - {mean})", deviation)
+def deviations(ret: str, mean: str, deviation: str) -> str:
+    return ieee_divide(f"({ret} - {mean})", deviation)
+
+
+def outlier_return_details(ret: str, mean: str, deviation: str, distance: str = "") -> str:
+    """``distance``: a column that holds the deviations already."""
+    distance = distance or deviations(ret, mean, deviation)
     return joined(
         "'daily return '",
         fixed(ret, 2),
@@ -96,13 +103,11 @@ def breaks_bar_rule() -> str:
     return "(" + " OR ".join(" ".join(rule) for rule in BAR_RULES) + ")"
 
 
-def bar_rule_details() -> str:
+def bar_rule_details(shown: Callable[[str], str] = lambda price: fixed(price, 2)) -> str:
     """Every violated rule with its two prices; ``concat_ws`` skips the NULLs of the others."""
     texts = [
         f"CASE WHEN {left} {sign} {right} THEN "
-        + joined(
-            f"'{left} ('", fixed(left, 2), f"') {sign} {right} ('", fixed(right, 2), "')'"
-        )
+        + joined(f"'{left} ('", shown(left), f"') {sign} {right} ('", shown(right), "')'")
         + " END"
         for left, sign, right in BAR_RULES
     ]

@@ -27,13 +27,6 @@ TRAILING = 30
 REACH = TRAILING + 1
 
 
-def _flag(day: str, flag_type: str, details: str) -> str:
-    return (
-        f"named_struct('date', {day}, 'flag_type', '{flag_type}', "
-        f"'severity', '{SEVERITY[flag_type]}', 'details', {details})"
-    )
-
-
 def _as_flags(df: DataFrame, flag_type: str, details: str) -> DataFrame:
     return df.selectExpr(
         "ticker",
@@ -97,11 +90,45 @@ def _carried(series: Series) -> DataFrame:
     )
 
 
-def _profile(series: Series, before: int) -> DataFrame:
+def _may_be_outlier(k: float) -> str:
+    """False only where a return is surely within ``k`` deviations of its trailing mean.
+
+    The trailing sums are differences of running sums over ``_n`` returns, so each is off by some
+    ``_n`` roundings of the whole sum at most; the margins are far wider than these and than what
+    the exact mean and deviation are off themselves. What is not finite may always be an outlier.
+    """
+    n = "greatest(size(_trailing), 1)"
+    total, squares = "(_sum - coalesce(_sum_before, 0D))", "(_squares - coalesce(_squares_before, 0D))"
+    off, off_squares = "(1e-14D * _n * sqrt(_n * _squares))", "(1e-14D * _n * _squares)"
+    least = f"({squares} - {off_squares} - (abs({total}) + {off}) * (abs({total}) + {off}) / {n})"
+    distance = f"(abs(pct_return - {total} / {n}) + 2 * {off} / {n}) * 1.00001D"
+    within = f"{distance} <= double('{float(k)}') * sqrt({least} / greatest({n} - 1, 1))"
+    sure = f"_squares < double('Infinity') AND {least} > 1e-8D * {squares} AND {within}"
+    return f"size(_trailing) > 1 AND NOT coalesce({sure}, false)"
+
+
+def _mean(values: str) -> str:
+    """As ``avg`` does it, step by step."""
+    return f"aggregate({values}, 0D, (total, x) -> total + x) / size({values})"
+
+
+def _deviation(values: str) -> str:
+    """As ``stddev_samp`` does it, step by step; for two values or more."""
+    step = (
+        "named_struct('n', s.n + 1D, 'mean', s.mean + (x - s.mean) / (s.n + 1D), "
+        "'squares', s.squares + (x - s.mean) * ((x - s.mean) - (x - s.mean) / (s.n + 1D)))"
+    )
+    start = "named_struct('n', 0D, 'mean', 0D, 'squares', 0D)"
+    return f"aggregate({values}, {start}, (s, x) -> {step}, s -> sqrt(s.squares / (s.n - 1D)))"
+
+
+def _profile(series: Series, before: int, k: float = 3.0) -> DataFrame:
     """Add to each bar what the checks need to know about the bars around it.
 
     All windows share one layout, so they cost one shuffle and one sort, and run as two operators:
-    neighbours first, then running values. Columns that a check does not use are pruned.
+    neighbours first, then running values. Columns that a check does not use are pruned. The
+    trailing mean and deviation are given for returns that may be ``k`` deviations off, else NULL:
+    running sums leave out most returns, and walking 30 bars for each costs more than all the rest.
     """
     df = _neighbours(series, before)
     skipped = f"{weekdays_before('date')} - {weekdays_before('date_add(previous_date, 1)')}"
@@ -112,6 +139,8 @@ def _profile(series: Series, before: int) -> DataFrame:
     )
     so_far = series.over("UNBOUNDED PRECEDING", "CURRENT ROW")
     trailing = series.over(f"{TRAILING} PRECEDING", "1 PRECEDING")
+    until_last = series.over("UNBOUNDED PRECEDING", "1 PRECEDING")
+    until_trailing = series.over("UNBOUNDED PRECEDING", f"{TRAILING + 1} PRECEDING")
     streak, day = f"max(_streak_start) {so_far}", f"max(_day_start) {so_far}"
     if series.is_cut:
         df = df.join(_carried(series), ["ticker", BLOCK])
@@ -123,8 +152,16 @@ def _profile(series: Series, before: int) -> DataFrame:
         "*",
         f"{POSITION} - {streak} + 1 AS streak_length",
         f"{POSITION} - {day} + 1 AS occurrences",
-        f"avg(pct_return) {trailing} AS rolling_mean",
-        f"stddev_samp(pct_return) {trailing} AS rolling_std",
+        f"collect_list(pct_return) {trailing} AS _trailing",
+        f"count(pct_return) {until_last} AS _n",
+        f"sum(pct_return) {until_last} AS _sum",
+        f"sum(pct_return * pct_return) {until_last} AS _squares",
+        f"sum(pct_return) {until_trailing} AS _sum_before",
+        f"sum(pct_return * pct_return) {until_trailing} AS _squares_before",
+    ).selectExpr(
+        "*",
+        f"CASE WHEN {_may_be_outlier(k)} THEN {_mean('_trailing')} END AS rolling_mean",
+        f"CASE WHEN {_may_be_outlier(k)} THEN {_deviation('_trailing')} END AS rolling_std",
     )
 
 
@@ -144,7 +181,8 @@ HAS_GAP = "weekdays_skipped > 0"
 IS_REPEATED_DAY = "occurrences > 1 AND (_next_date IS NULL OR _next_date <> date)"
 DAYS_BETWEEN = "sequence(date_add(previous_date, 1), date_sub(date, 1))"
 STALE_DETAILS = text.stale_price_details("close", "streak_length")
-OUTLIER_DETAILS = text.outlier_return_details("pct_return", "rolling_mean", "rolling_std")
+RETURN = ("pct_return", "rolling_mean", "rolling_std")
+OUTLIER_DETAILS = text.outlier_return_details(*RETURN)
 
 
 # --- single checks --------------------------------------------------------------------------
@@ -201,7 +239,7 @@ def outlier_return(
 
 
 def _outlier_return(series: Series, k: float) -> DataFrame:
-    outliers = _profile(series, before=REACH).where(f"NOT {CONTEXT} AND {_is_outlier(k)}")
+    outliers = _profile(series, before=REACH, k=k).where(f"NOT {CONTEXT} AND {_is_outlier(k)}")
     return _as_flags(outliers, "OUTLIER_RETURN", OUTLIER_DETAILS)
 
 
@@ -230,7 +268,7 @@ def all_flags(
 ) -> DataFrame:
     """All five checks as one set of flags, duplicates kept.
 
-    The series are shuffled and sorted once for all five checks: every bar yields an array of its
+    The series are shuffled and sorted once for all five checks: every bar yields its
     flags. Cut series do so block by block, with what a prefix scan over the blocks hands on.
     """
     return _all_flags_in_one_pass(arrange(prices, keyed, max_rows), calendar, n, k)
@@ -238,29 +276,41 @@ def all_flags(
 
 def _all_flags_in_one_pass(series: Series, calendar: Calendar, n: int, k: float) -> DataFrame:
     on_this_bar = [
-        (_has_stale_price(n), _flag("date", "STALE_PRICE", STALE_DETAILS)),
-        (_is_outlier(k), _flag("date", "OUTLIER_RETURN", OUTLIER_DETAILS)),
-        (
-            IS_REPEATED_DAY,
-            _flag("date", "DUPLICATE_ROW", text.duplicate_row_details("occurrences")),
-        ),
-        (
-            text.breaks_bar_rule(),
-            _flag("date", "OHLC_INCONSISTENCY", text.bar_rule_details()),
-        ),
+        ("STALE_PRICE", _has_stale_price(n), STALE_DETAILS),
+        ("OUTLIER_RETURN", _is_outlier(k), text.outlier_return_details(*RETURN, "_distance")),
+        ("DUPLICATE_ROW", IS_REPEATED_DAY, text.duplicate_row_details("occurrences")),
+        ("OHLC_INCONSISTENCY", text.breaks_bar_rule(), text.bar_rule_details("_{}_text".format)),
     ]
-    cases = ", ".join(f"CASE WHEN {condition} THEN {flag} END" for condition, flag in on_this_bar)
-    missing = _flag("day", "MISSING_DATES", text.missing_date_details("day"))
-    in_the_gap = (
-        f"CASE WHEN {HAS_GAP} THEN "
-        f"transform(filter({DAYS_BETWEEN}, day -> {is_weekday('day')}), day -> {missing}) "
-        "ELSE array() END"
+    bars = _profile(series, before=REACH, k=k).where(f"NOT {CONTEXT}").where(calendar.known("_exchange"))
+    # A plain filter first: most bars have no flag.
+    any_flag = " OR ".join(f"({condition})" for _, condition, _ in on_this_bar)
+    # Each bar once for each check on it (numbers below 0), and once for each day of the gap before it.
+    # Plain numbers instead of arrays of flags: texts are built for flags alone, in generated code.
+    in_the_gap = f"CASE WHEN {HAS_GAP} THEN datediff(date, previous_date) - 2 ELSE -1 END"
+    numbered = bars.where(f"{HAS_GAP} OR {any_flag}").selectExpr(
+        "*", f"explode(sequence(-{len(on_this_bar)}, {in_the_gap})) AS _number"
     )
-    bars = _profile(series, before=REACH).where(f"NOT {CONTEXT}").where(calendar.known("_exchange"))
-    # A plain filter first: building arrays costs far more than the few conditions.
-    any_flag = " OR ".join(f"({condition})" for condition, _ in on_this_bar)
-    flags = bars.where(f"{HAS_GAP} OR {any_flag}").selectExpr(
-        "ticker", "_exchange", f"inline(concat(array_compact(array({cases})), {in_the_gap}))"
+    day = "date_add(previous_date, _number + 1)"
+
+    def by_check(values: list[str], missing: str) -> str:
+        cases = " ".join(f"WHEN {i - len(values)} THEN {value}" for i, value in enumerate(values))
+        return f"CASE _number {cases} ELSE {missing} END"
+
+    def named(values: list[str]) -> str:
+        return f"array({', '.join(map(text.quoted, values))})[least(_number, 0) + {len(on_this_bar)}]"
+
+    types = [flag_type for flag_type, _, _ in on_this_bar] + ["MISSING_DATES"]
+    # What a text needs several times is a column first: Java compiles no method beyond 8,000 bytes.
+    parts = [f"CASE WHEN _number = -1 THEN {text.fixed(c, 2)} END AS _{c}_text" for c in ("open", "high", "low", "close")]
+    parts.append(f"CASE WHEN _number = -3 THEN {text.deviations(*RETURN)} END AS _distance")
+    wanted = numbered.where(by_check([c for _, c, _ in on_this_bar], is_weekday(day))).selectExpr("*", *parts)
+    flags = wanted.selectExpr(
+        "ticker",
+        "_exchange",
+        f"CASE WHEN _number < 0 THEN date ELSE {day} END AS date",
+        f"{named(types)} AS flag_type",
+        f"{named([SEVERITY[t] for t in types])} AS severity",
+        f"{by_check([d for _, _, d in on_this_bar], text.missing_date_details(day))} AS details",
     )
     # Only missing days are compared with the holidays; a NULL exchange matches none.
     flags = flags.selectExpr(

@@ -63,17 +63,16 @@ class Series:
         size = self.block_rows
         if max(before, after) > size:
             raise ValueError(f"A frame of {max(before, after)} rows does not fit blocks of {size}.")
-        block, place = f"{POSITION} div {size}", f"pmod({POSITION}, {size})"
-
-        def copy(to: str, context: str) -> str:
-            return f"named_struct('{BLOCK}', {to}, '{CONTEXT}', {context})"
-
-        copies = (
-            f"array_compact(array({copy(block, 'false')}, "
-            f"CASE WHEN {place} >= {size - before} THEN {copy(f'{block} + 1', 'true')} END, "
-            f"CASE WHEN {place} < {after} THEN {copy(f'{block} - 1', 'true')} END))"
+        place = f"pmod({POSITION}, {size})"
+        first, last = f"{place} < {after}", f"{place} >= {size - before}"
+        # Constant arrays, and no lambda: the copies are made in generated code.
+        steps = (
+            f"CASE WHEN {first} AND {last} THEN array(-1, 0, 1) WHEN {first} THEN array(-1, 0) "
+            f"WHEN {last} THEN array(0, 1) ELSE array(0) END"
+        )
+        return self.rows.selectExpr("*", f"explode({steps}) AS _step").selectExpr(
+            *self.rows.columns, f"{POSITION} div {size} + _step AS {BLOCK}", f"_step <> 0 AS {CONTEXT}"
         )
-        return self.rows.selectExpr("*", f"inline({copies})")
 
 
 @dataclass(frozen=True)
